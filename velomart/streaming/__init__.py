@@ -1,0 +1,7 @@
+"""Streaming operators.
+
+The workload is batch only: monthly landed files become bronze partitions and
+marts are rebuilt in full.  There are no watermarks, event-time windows or
+state to keep, so this package holds nothing; the "hourly" marts are batch
+group-bys on date plus hour of day.
+"""
