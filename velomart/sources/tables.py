@@ -78,7 +78,8 @@ def write_mart(
     balanced = df.hint("rebalance", *hint_cols) if hint_cols else df.hint("rebalance")
     if sort_keys:
         balanced = balanced.sortWithinPartitions(*sort_keys)
-    writer = balanced.write.mode("overwrite")
+    # A full rebuild: static overwrite drops date partitions that no longer exist.
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
