@@ -19,6 +19,7 @@ from velomart.functions.calendar import DAY_NAMES, MONTH_NAMES
 from velomart.functions.daypart import HOUR_BUCKETS
 from velomart.functions.time import month_window, previous_month, yyyymm, zero_pad_month
 from velomart.operators import marts, quality, reports
+from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.operators.weather import pivot_observations
 from velomart.plans.ledger import LoadLedger, pending_months
@@ -176,9 +177,10 @@ def _ledger_roundtrip(i: Inputs) -> DataFrame:
 
 
 def _mart_roundtrip(i: Inputs) -> DataFrame:
-    """Store the station-daily mart partitioned by date and read it back in order."""
+    """Store the station-daily mart in month folders and read it back in order."""
     path = scratch_path(i.spark, "fct_station_daily")
-    tables.write_mart(i.station_daily, path, marts.mart_sort_keys("fct_station_daily"), ["trip_date"])
+    stored = with_trip_month(i.station_daily)
+    tables.write_mart(stored, path, marts.mart_sort_keys("fct_station_daily"), [TRIP_MONTH])
     df = tables.read_mart(i.spark, path, i.station_daily.columns)
     return df.orderBy(*marts.mart_sort_keys("fct_station_daily"))
 

@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from velomart.operators import marts
+from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.quality import assert_checks_pass, check_results, checks_for
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.plans.ingest import Layout
 from velomart.sources.seed import read_holidays
 from velomart.sources.tables import read_bronze, read_bronze_weather, read_mart, write_mart
 
-# Marts partitioned by date on disk: readers prune them by trip_date
-# (statically on literals, dynamically from the filtered days).
-DATE_PARTITIONED = {
+# Marts stored in month folders (``trip_month=YYYY-MM-01``).  Report joins key
+# on (trip_month, trip_date), so a day selection prunes whole months
+# dynamically; within a file rows are sorted by date for row-group skipping.
+MONTH_PARTITIONED = {
     "fct_trips",
     "fct_station_daily",
     "fct_station_hourly",
@@ -49,9 +51,11 @@ def _gate(tables: dict[str, DataFrame]) -> None:
 
 def _materialise(spark: SparkSession, layout: Layout, name: str, df: DataFrame, check: bool) -> DataFrame:
     path = mart_path(layout, name)
-    partition_by = ["trip_date"] if name in DATE_PARTITIONED else []
-    write_mart(df, path, marts.mart_sort_keys(name), partition_by)
-    stored = read_mart(spark, path, df.columns)
+    if name in MONTH_PARTITIONED:
+        write_mart(with_trip_month(df), path, marts.mart_sort_keys(name), [TRIP_MONTH])
+    else:
+        write_mart(df, path, marts.mart_sort_keys(name))
+    stored = read_mart(spark, path)
     if check:
         _gate({name: stored})
     return stored
