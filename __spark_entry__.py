@@ -192,7 +192,7 @@ flows_hourly AS (
   GROUP BY 1, 2, 3, 4, 5, 6, 9, 10
 ),
 requested AS (
-  SELECT DISTINCT 'citibike_trips' AS pipeline_name,
+  SELECT DISTINCT 'trips' AS pipeline_name,
          cast(year(o_orderdate) AS INTEGER) AS year, cast(month(o_orderdate) AS INTEGER) AS month
   FROM orders
 ),
@@ -274,7 +274,7 @@ LIMIT {limit}"""
 
 
 _CHECK_CTE = {
-    "stg_citibike_trips": "stg",
+    "stg_trips": "stg",
     "stg_weather_daily": "weather",
     "fct_trips": "fct_trips",
     "fct_trip_daily": "trip_daily",

@@ -80,7 +80,7 @@ def main() -> None:
         "fct_station_flows_daily": m["fct_station_flows_daily"],
         "fct_station_hourly": m["fct_station_hourly"],
         "fct_station_flows_hourly": m["fct_station_flows_hourly"],
-        "stg_citibike_trips": inputs.staged,
+        "stg_trips": inputs.staged,
         "stg_weather_daily": inputs.weather,
         "holiday_calendar": read_holidays(spark),
     }

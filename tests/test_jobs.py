@@ -99,3 +99,19 @@ def test_monthly_run_builds_marts_and_gate_stops_bad_data(spark, layout):
     before = marts["fct_station_daily"].count()
     build.build_marts(spark, layout, check=False)
     assert build.load_marts(spark, layout)["fct_station_daily"].count() == before
+
+
+def test_views_allow_plain_sql(spark, layout):
+    from velomart.plans.views import read_ordered_mart, register_views
+
+    monthly_load(spark, layout, YEAR, MONTH, check=False)
+    names = register_views(spark, layout)
+    assert "fct_station_flows_hourly" in names and "stg_trips" in names
+    top = spark.sql(
+        """select start_station_id, end_station_id, sum(trip_count) as trip_count
+           from fct_station_flows_daily group by 1, 2 order by trip_count desc limit 5"""
+    ).collect()
+    assert len(top) == 5
+    ordered = read_ordered_mart(spark, layout, "fct_station_hourly").collect()
+    keys = [(r.trip_date, r.trip_hour, -r.trip_count) for r in ordered]
+    assert keys == sorted(keys) and "trip_month" not in ordered[0].asDict()

@@ -21,7 +21,7 @@ def test_report_on_fixture_flags_unknown_riders(spark):
     report = {(r.table_name, r.column_name, r.check_name): r for r in quality.check_results(i.checked_tables()).collect()}
     assert len(report) == 59
     bad = {k for k, r in report.items() if not r.passed}
-    assert ("stg_citibike_trips", "member_casual", "accepted_values") in bad
+    assert ("stg_trips", "member_casual", "accepted_values") in bad
     # hourly flows keep trips with missing station names, so their name checks fail
     assert ("fct_station_flows_hourly", "start_station_name", "not_null") in bad
     unexpected = quality.unexpected_values(i.checked_tables()).collect()

@@ -117,7 +117,7 @@ class Inputs:
 
     def checked_tables(self) -> dict[str, DataFrame]:
         return {
-            "stg_citibike_trips": self.staged,
+            "stg_trips": self.staged,
             "stg_weather_daily": self.weather,
             "fct_trips": self.facts,
             "fct_trip_daily": self.daily,

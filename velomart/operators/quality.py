@@ -40,9 +40,9 @@ RIDER_TYPES = ("member", "casual")
 
 # The declared checks, table by table (59 in total).
 DECLARED_CHECKS: list[Check] = [
-    *_nn("stg_citibike_trips", "ride_id", "started_at", "ended_at", "member_casual"),
-    Check("stg_citibike_trips", "ride_id", UNIQUE),
-    Check("stg_citibike_trips", "member_casual", ACCEPTED_VALUES, RIDER_TYPES),
+    *_nn("stg_trips", "ride_id", "started_at", "ended_at", "member_casual"),
+    Check("stg_trips", "ride_id", UNIQUE),
+    Check("stg_trips", "member_casual", ACCEPTED_VALUES, RIDER_TYPES),
     *_nn("stg_weather_daily", "weather_date"),
     Check("stg_weather_daily", "weather_date", UNIQUE),
     *_nn("fct_trips", "ride_id", "trip_date"),

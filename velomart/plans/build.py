@@ -67,7 +67,7 @@ def build_marts(spark: SparkSession, layout: Layout, check: bool = True) -> dict
     weather = stage_weather(read_bronze_weather(spark, layout.weather_bronze))
     holidays = read_holidays(spark, layout.seed)
     if check:
-        _gate({"stg_citibike_trips": staged, "stg_weather_daily": weather, "holiday_calendar": holidays})
+        _gate({"stg_trips": staged, "stg_weather_daily": weather, "holiday_calendar": holidays})
 
     facts = _materialise(spark, layout, "fct_trips", marts.trip_facts(staged), check)
     daily = _materialise(spark, layout, "fct_trip_daily", marts.trip_daily(facts), check)

@@ -19,8 +19,8 @@ from velomart.plans.ledger import LoadLedger
 from velomart.sources.landing import read_observation_pages, read_trip_csvs
 from velomart.sources.tables import month_partition, path_exists, write_bronze
 
-TRIPS_PIPELINE = "citibike_trips"
-WEATHER_PIPELINE = "noaa_weather"
+TRIPS_PIPELINE = "trips"
+WEATHER_PIPELINE = "weather"
 
 LOADED, SKIPPED_EXISTS, SKIPPED_RECORDED = "loaded", "skipped: partition exists", "skipped: already recorded"
 

@@ -23,7 +23,7 @@ UNKNOWN_EVENT_TYPES = ["error"]
 OBSERVATION_KINDS = ["TMAX", "TMIN", "PRCP", "SNOW", "AWND"]  # index = event_id % 7
 OTHER_OBSERVATION_KIND = "TAVG"
 MISSING_WEATHER_DAY_OF_MONTH = 13
-TRIPS_PIPELINE = "citibike_trips"
+TRIPS_PIPELINE = "trips"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
