@@ -43,9 +43,16 @@ def test_minute_boundaries_ignore_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = spark.createDataFrame(
-            [(ts("2024-03-10 01:59:00"), ts("2024-03-10 03:01:00"))], "a timestamp_ntz, b timestamp_ntz"
+            [
+                (ts("2024-03-10 01:59:00"), ts("2024-03-10 03:01:00"), 62),
+                (ts("2024-03-10 01:29:47"), ts("2024-03-10 02:46:56"), 77),
+                (ts("2024-03-10 02:06:40"), ts("2024-03-10 03:59:36"), 113),
+                (ts("2024-11-03 01:30:00"), ts("2024-11-03 01:10:00"), -20),
+            ],
+            "a timestamp_ntz, b timestamp_ntz, want int",
         )
-        assert df.select(minute_boundaries_between("a", "b")).first()[0] == 62
+        got = df.select(minute_boundaries_between("a", "b").alias("got"), "want").collect()
+        assert [r.got for r in got] == [r.want for r in got]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

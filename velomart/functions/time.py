@@ -7,9 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Anchor for minute-boundary counting; earlier than any representable trip so the
-# full-minute count from it is a floor, not a truncation toward zero.
-_MINUTE_ANCHOR_SQL = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
+MINUTES_PER_DAY = 1440
 
 
 def _col(c: Column | str) -> Column:
@@ -21,6 +19,21 @@ def trip_day(ts: Column | str) -> Column:
     return _col(ts).cast("date")
 
 
+def minute_index(ts: Column | str) -> Column:
+    """Whole minutes since 1970-01-01 00:00 of a wall-clock timestamp.
+
+    Built from the date and the clock fields only (``unix_date``, ``hour``,
+    ``minute``), so it never passes through a time zone: a wall-clock time that
+    falls in a daylight-saving gap of the session zone keeps its value.
+    """
+    t = _col(ts)
+    return (
+        F.unix_date(t.cast("date")).cast("bigint") * MINUTES_PER_DAY
+        + F.hour(t) * 60
+        + F.minute(t)
+    )
+
+
 def minute_boundaries_between(start: Column | str, end: Column | str) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end``.
 
@@ -28,10 +41,7 @@ def minute_boundaries_between(start: Column | str, end: Column | str) -> Column:
     Computed as the difference of whole-minute indexes, which is zone independent
     and stays inside whole-stage codegen.
     """
-    anchor = F.expr(_MINUTE_ANCHOR_SQL)
-    start_idx = F.timestamp_diff("MINUTE", anchor, _col(start))
-    end_idx = F.timestamp_diff("MINUTE", anchor, _col(end))
-    return end_idx - start_idx
+    return minute_index(end) - minute_index(start)
 
 
 def month_window(year: Column | str, month: Column | str) -> tuple[Column, Column]:

@@ -53,7 +53,12 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder, creating a local one only if unset.
+
+    ``spark.checkpoint.dir`` is a core setting that cannot be changed on a
+    running session, so the local fallback (tests, a laptop) goes through
+    ``setCheckpointDir``; Spark then reports ``<root>/<application uuid>``.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -61,10 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
     if current:
-        # Spark appends a per-application uuid; keep the parent as our root.
         return current.rstrip("/").rsplit("/", 1)[0]
     local_root = tempfile.mkdtemp(prefix="velomart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_root)
     spark.sparkContext.setCheckpointDir(local_root)
     return local_root
 
