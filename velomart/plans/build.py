@@ -8,6 +8,8 @@ mart).  A failing check stops the job before anything downstream is written.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor, wait
+
 from pyspark.sql import DataFrame, SparkSession
 
 from velomart.operators import marts
@@ -61,21 +63,45 @@ def _materialise(spark: SparkSession, layout: Layout, name: str, df: DataFrame,
     return stored
 
 
-def build_marts(spark: SparkSession, layout: Layout, check: bool = True) -> dict[str, str]:
-    """Rebuild every mart from the bronze tables; returns mart name -> path."""
+def build_marts(
+    spark: SparkSession, layout: Layout, check: bool = True, concurrent_jobs: int = 5
+) -> dict[str, str]:
+    """Rebuild every mart from the bronze tables; returns mart name -> path.
+
+    The trip chain (facts -> daily -> enriched) and the four station / flow marts
+    do not depend on each other, so they are submitted as concurrent Spark jobs
+    from driver threads (Spark's scheduler interleaves their stages on the
+    executors).  Any failure -- a task error or a failed check -- is raised
+    after the running lanes finish; nothing downstream of a failed lane runs.
+    """
     staged = stage_trips(read_bronze(spark, layout.trips_bronze))
     weather = stage_weather(read_bronze_weather(spark, layout.weather_bronze))
     holidays = read_holidays(spark, layout.seed)
     if check:
         _gate({"stg_trips": staged, "stg_weather_daily": weather, "holiday_calendar": holidays})
 
-    facts = _materialise(spark, layout, "fct_trips", marts.trip_facts(staged), check)
-    daily = _materialise(spark, layout, "fct_trip_daily", marts.trip_daily(facts), check)
-    _materialise(spark, layout, "fct_trip_daily_enriched", marts.daily_enriched(daily, weather, holidays), check)
-    _materialise(spark, layout, "fct_station_daily", marts.station_daily(staged), check)
-    _materialise(spark, layout, "fct_station_hourly", marts.station_hourly(staged), check)
-    _materialise(spark, layout, "fct_station_flows_daily", marts.flows_daily(staged), check)
-    _materialise(spark, layout, "fct_station_flows_hourly", marts.flows_hourly(staged), check)
+    def trip_chain() -> None:
+        facts = _materialise(spark, layout, "fct_trips", marts.trip_facts(staged), check)
+        daily = _materialise(spark, layout, "fct_trip_daily", marts.trip_daily(facts), check)
+        enriched = marts.daily_enriched(daily, weather, holidays)
+        _materialise(spark, layout, "fct_trip_daily_enriched", enriched, check)
+
+    lanes = [
+        trip_chain,
+        lambda: _materialise(spark, layout, "fct_station_daily", marts.station_daily(staged), check),
+        lambda: _materialise(spark, layout, "fct_station_hourly", marts.station_hourly(staged), check),
+        lambda: _materialise(spark, layout, "fct_station_flows_daily", marts.flows_daily(staged), check),
+        lambda: _materialise(spark, layout, "fct_station_flows_hourly", marts.flows_hourly(staged), check),
+    ]
+    if concurrent_jobs <= 1:
+        for lane in lanes:
+            lane()
+    else:
+        with ThreadPoolExecutor(max_workers=concurrent_jobs, thread_name_prefix="mart") as pool:
+            futures = [pool.submit(lane) for lane in lanes]
+            wait(futures)
+        for f in futures:
+            f.result()
     return {name: mart_path(layout, name) for name in MART_ORDER}
 
 
