@@ -1,16 +1,31 @@
-"""Build-all job: stage -> check -> marts in dependency order -> check.
-
-Marts are written as parquet tables under ``layout.marts``.  Downstream marts
-read their inputs back from the written tables, which cuts the lineage at
-every stage (a lost executor never recomputes from raw trips past a written
-mart).  A failing check stops the job before anything downstream is written.
+"""Mart build job: stage -> check -> marts in dependency order -> check.
+
+Marts are parquet tables under ``layout.marts``, each stored in month folders
+(``trip_month=YYYY-MM-01``).  Two modes:
+
+* full rebuild (``months=None``): every mart is recomputed from all of bronze
+  and replaced (static overwrite drops months that no longer exist);
+* month refresh (``months=[(year, month), ...]``): only those trip months are
+  recomputed -- bronze is read through a ``started_at`` range that parquet
+  pushes down -- and only their folders are replaced (dynamic partition
+  overwrite).  Every mart row belongs to the month of its trip date, so a
+  refresh gives the same rows as a full rebuild for those months, while a
+  monthly run reads one month of history instead of all of it.
+
+Downstream marts read their inputs back from the written tables, which cuts
+the lineage at every stage.  A failing check stops its lane before anything
+downstream is written.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from velomart.operators import marts
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
@@ -20,16 +35,6 @@ from velomart.plans.ingest import Layout
 from velomart.sources.seed import read_holidays
 from velomart.sources.tables import read_bronze, read_bronze_weather, read_mart, write_mart
 
-# Marts stored in month folders (``trip_month=YYYY-MM-01``).  Report joins key
-# on (trip_month, trip_date), so a day selection prunes whole months
-# dynamically; within a file rows are sorted by date for row-group skipping.
-MONTH_PARTITIONED = {
-    "fct_trips",
-    "fct_station_daily",
-    "fct_station_hourly",
-    "fct_station_flows_daily",
-    "fct_station_flows_hourly",
-}
 MART_ORDER = [
     "fct_trips",
     "fct_trip_daily",
@@ -40,33 +45,69 @@ MART_ORDER = [
     "fct_station_flows_hourly",
 ]
 
+Months = Sequence[tuple[int, int]]
+
 
 def mart_path(layout: Layout, name: str) -> str:
     return f"{layout.marts.rstrip('/')}/{name}"
 
 
+def _month_bounds(months: Months) -> list[tuple[dt.date, dt.date]]:
+    bounds = []
+    for year, month in sorted(set(months)):
+        first = dt.date(year, month, 1)
+        bounds.append((first, dt.date(year + month // 12, month % 12 + 1, 1)))
+    return bounds
+
+
+def in_months(col: str, months: Months, as_timestamp: bool) -> Column:
+    """``col`` falls in one of the months: an OR of half-open literal ranges,
+    which parquet evaluates against row-group min/max statistics."""
+
+    def lit(d: dt.date) -> Column:
+        return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz") if as_timestamp else F.lit(d)
+
+    ranges = [(F.col(col) >= lit(a)) & (F.col(col) < lit(b)) for a, b in _month_bounds(months)]
+    return reduce(lambda x, y: x | y, ranges)
+
+
+def _month_folders(months: Months) -> Column:
+    return F.col(TRIP_MONTH).isin(*[a for a, _ in _month_bounds(months)])
+
+
 def _gate(tables: dict[str, DataFrame]) -> None:
     checks = checks_for(tables)
     if checks:
         assert_checks_pass(check_results(tables, checks))
 
 
-def _materialise(spark: SparkSession, layout: Layout, name: str, df: DataFrame, check: bool) -> DataFrame:
+def _materialise(
+    spark: SparkSession,
+    layout: Layout,
+    name: str,
+    df: DataFrame,
+    check: bool,
+    months: Months | None = None,
+) -> DataFrame:
+    """Write one mart (all months, or just ``months``) and return what was written."""
     path = mart_path(layout, name)
-    if name in MONTH_PARTITIONED:
-        write_mart(with_trip_month(df), path, marts.mart_sort_keys(name), [TRIP_MONTH])
-    else:
-        write_mart(df, path, marts.mart_sort_keys(name))
+    write_mart(with_trip_month(df), path, marts.mart_sort_keys(name), [TRIP_MONTH], dynamic=months is not None)
     stored = read_mart(spark, path)
+    if months is not None:
+        stored = stored.where(_month_folders(months))
     if check:
         _gate({name: stored})
     return stored
 
 
 def build_marts(
-    spark: SparkSession, layout: Layout, check: bool = True, concurrent_jobs: int = 5
+    spark: SparkSession,
+    layout: Layout,
+    check: bool = True,
+    concurrent_jobs: int = 5,
+    months: Months | None = None,
 ) -> dict[str, str]:
-    """Rebuild every mart from the bronze tables; returns mart name -> path.
+    """Rebuild every mart (or refresh ``months``); returns mart name -> path.
 
     The trip chain (facts -> daily -> enriched) and the four station / flow marts
     do not depend on each other, so they are submitted as concurrent Spark jobs
@@ -74,24 +115,32 @@ def build_marts(
     executors).  Any failure -- a task error or a failed check -- is raised
     after the running lanes finish; nothing downstream of a failed lane runs.
     """
+    if months is not None and not months:
+        return {name: mart_path(layout, name) for name in MART_ORDER}
     staged = stage_trips(read_bronze(spark, layout.trips_bronze))
     weather = stage_weather(read_bronze_weather(spark, layout.weather_bronze))
     holidays = read_holidays(spark, layout.seed)
+    if months is not None:
+        staged = staged.where(in_months("started_at", months, as_timestamp=True))
+        weather = weather.where(in_months("weather_date", months, as_timestamp=False))
     if check:
+        # In a refresh the staging checks cover the refreshed months only.
         _gate({"stg_trips": staged, "stg_weather_daily": weather, "holiday_calendar": holidays})
 
+    def mat(name: str, df: DataFrame) -> DataFrame:
+        return _materialise(spark, layout, name, df, check, months)
+
     def trip_chain() -> None:
-        facts = _materialise(spark, layout, "fct_trips", marts.trip_facts(staged), check)
-        daily = _materialise(spark, layout, "fct_trip_daily", marts.trip_daily(facts), check)
-        enriched = marts.daily_enriched(daily, weather, holidays)
-        _materialise(spark, layout, "fct_trip_daily_enriched", enriched, check)
+        facts = mat("fct_trips", marts.trip_facts(staged))
+        daily = mat("fct_trip_daily", marts.trip_daily(facts))
+        mat("fct_trip_daily_enriched", marts.daily_enriched(daily, weather, holidays))
 
     lanes = [
         trip_chain,
-        lambda: _materialise(spark, layout, "fct_station_daily", marts.station_daily(staged), check),
-        lambda: _materialise(spark, layout, "fct_station_hourly", marts.station_hourly(staged), check),
-        lambda: _materialise(spark, layout, "fct_station_flows_daily", marts.flows_daily(staged), check),
-        lambda: _materialise(spark, layout, "fct_station_flows_hourly", marts.flows_hourly(staged), check),
+        lambda: mat("fct_station_daily", marts.station_daily(staged)),
+        lambda: mat("fct_station_hourly", marts.station_hourly(staged)),
+        lambda: mat("fct_station_flows_daily", marts.flows_daily(staged)),
+        lambda: mat("fct_station_flows_hourly", marts.flows_hourly(staged)),
     ]
     if concurrent_jobs <= 1:
         for lane in lanes:
@@ -105,6 +154,23 @@ def build_marts(
     return {name: mart_path(layout, name) for name in MART_ORDER}
 
 
+def trip_months_in_partition(spark: SparkSession, layout: Layout, year: int, month: int) -> list[tuple[int, int]]:
+    """Trip months (of ``started_at``) present in one landed bronze partition.
+
+    A monthly refresh recomputes these months (before and after a reload), so
+    a trip landed in a neighbouring month's file is never missed.  The result
+    has one row per distinct month, so collecting it is bounded.
+    """
+    trips = read_bronze(spark, layout.trips_bronze).where((F.col("year") == year) & (F.col("month") == month))
+    rows = (
+        trips.where(F.col("started_at").isNotNull())
+        .select(F.year("started_at").alias("y"), F.month("started_at").alias("m"))
+        .distinct()
+        .collect()
+    )
+    return sorted((r.y, r.m) for r in rows)
+
+
 def load_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """The stored marts as DataFrames (for the report layer)."""
     return {name: spark.read.parquet(mart_path(layout, name)) for name in MART_ORDER}

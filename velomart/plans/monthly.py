@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from velomart.plans.build import build_marts
-from velomart.plans.ingest import Layout, ingest_trips_month, ingest_weather_month
+from velomart.plans.build import build_marts, trip_months_in_partition
+from velomart.plans.ingest import LOADED, Layout, ingest_trips_month, ingest_weather_month
 from velomart.plans.ledger import LoadLedger
+from velomart.sources.tables import month_partition, path_exists
 
 
 def previous_month_of(as_of: dt.date | None = None) -> tuple[int, int]:
@@ -28,15 +29,26 @@ def monthly_load(
     force: bool = False,
     station: str | None = None,
     check: bool = True,
+    full_rebuild: bool = False,
 ) -> dict[str, object]:
     """Trips -> weather -> marts for one month (default: the previous month).
 
     Each step raises on failure, so a later step never runs on a failed one.
+    Marts are refreshed for the trip months the load touches -- the landed
+    month plus every month of ``started_at`` found in its bronze partition
+    before and after the load -- unless ``full_rebuild`` asks for all months.
     """
     if year is None or month is None:
         year, month = previous_month_of()
     ledger = LoadLedger(spark, layout.ledger)
+    partition = month_partition(layout.trips_bronze, year, month)
+    touched = {(year, month)}
+    if path_exists(spark, partition):
+        touched |= set(trip_months_in_partition(spark, layout, year, month))
     trips = ingest_trips_month(spark, layout, ledger, year, month, force)
     weather = ingest_weather_month(spark, layout, ledger, year, month, force, station)
-    marts = build_marts(spark, layout, check)
-    return {"year": year, "month": month, "trips": trips, "weather": weather, "marts": marts}
+    if trips == LOADED:
+        touched |= set(trip_months_in_partition(spark, layout, year, month))
+    months = None if full_rebuild else sorted(touched)
+    marts = build_marts(spark, layout, check, months=months)
+    return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}

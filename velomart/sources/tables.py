@@ -66,20 +66,24 @@ def write_mart(
     path: str,
     sort_keys: Sequence[Column] = (),
     partition_by: Sequence[str] = (),
+    dynamic: bool = False,
 ) -> str:
-    """Materialise a mart with a full rebuild.
+    """Materialise a mart.
 
-    ``rebalance`` lets AQE pick the file count and split a skewed date into
+    ``rebalance`` lets AQE pick the file count and split a skewed partition into
     several files; rows are sorted within files by the mart's order so parquet
     min/max statistics skip row groups on date filters.  ``partition_by`` writes
-    date directories that readers prune (statically or dynamically).
+    folders that readers prune (statically or dynamically).  By default the
+    whole table is replaced; ``dynamic=True`` replaces only the partitions
+    present in ``df`` (a refresh of some months).
     """
     hint_cols = list(partition_by)
     balanced = df.hint("rebalance", *hint_cols) if hint_cols else df.hint("rebalance")
     if sort_keys:
         balanced = balanced.sortWithinPartitions(*sort_keys)
-    # A full rebuild: static overwrite drops date partitions that no longer exist.
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    # Static overwrite (full rebuild) also drops partitions that no longer exist.
+    mode = "dynamic" if dynamic else "static"
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
