@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from velomart.operators import marts
 from velomart.operators.staging import stage_trips
@@ -87,3 +88,37 @@ def test_enriched_joins_weather_and_holidays(spark, staged):
     assert july5.is_holiday is False and july5.holiday_name is None and july5.temperature_max_c is None
     assert (july4.month_number, july4.month_name, july4.day_name, july4.season) == (7, "July", "Thursday", "Summer")
     assert july4.is_weekend is False
+
+
+def test_top_flows_daily_splits_pair_by_daily_coordinates(spark):
+    """Daily top flows group by the daily mean coordinates: one OD pair whose
+    means differ between days gives two rows; the hourly version averages them."""
+    from velomart.operators import reports
+
+    rows = [
+        (dt.date(2024, 1, 1), 8, "A", "An", 40.0, -74.0, "B", "Bn", 41.0, -73.0, 3, 2, 1),
+        (dt.date(2024, 1, 2), 8, "A", "An", 40.5, -74.0, "B", "Bn", 41.0, -73.0, 1, 1, 0),
+    ]
+    schema = (
+        "trip_date date, trip_hour int, start_station_id string, start_station_name string, start_lat double, "
+        "start_lng double, end_station_id string, end_station_name string, end_lat double, end_lng double, "
+        "trip_count long, member_trips long, casual_trips long"
+    )
+    flows = spark.createDataFrame(rows, schema)
+    days = flows.select("trip_date").distinct()
+    daily = reports.top_flows_daily(flows.drop("trip_hour"), days).collect()
+    assert [(r.start_lat, r.trip_count) for r in daily] == [(40.0, 3), (40.5, 1)]
+    hourly_in = flows.withColumn("hour_bucket", F.lit("Morning commute")).withColumn("is_rush_hour", F.lit(True))
+    hourly = reports.top_flows_hourly(hourly_in, days).collect()
+    assert [(r.start_lat, r.trip_count) for r in hourly] == [(40.25, 4)]
+
+
+def test_hourly_leaders_combine_ids_by_name(spark):
+    from velomart.operators import reports
+
+    rows = [("S1", "Hub", 5, 3, 2), ("S2", "Hub", 4, 4, 0), ("S3", "Side", 6, 6, 0)]
+    sel = spark.createDataFrame(
+        rows, "station_id string, station_name string, trip_count long, member_trips long, casual_trips long"
+    ).withColumn("trip_hour", F.lit(8))
+    leaders = reports.hourly_leaders(sel).collect()
+    assert [(r.station_name, r.trip_count) for r in leaders] == [("Hub", 9), ("Side", 6)]

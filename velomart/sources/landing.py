@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from velomart.schemas import OBSERVATION_PAGE_SCHEMA, TRIP_CSV_TYPES
 
+HEADER_READ_THREADS = 16
+
 
 def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     """All ``*.csv`` files below ``root`` (recursive), from Spark's file index.
@@ -49,9 +52,12 @@ def read_trip_csvs(spark: SparkSession, root_or_files: str | list[str]) -> DataF
     files = list_csv_files(spark, root_or_files) if isinstance(root_or_files, str) else list(root_or_files)
     if not files:
         raise ValueError(f"no CSV files under {root_or_files}")
+    # One tiny first-line job per file, submitted concurrently from driver threads.
+    with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, len(files))) as pool:
+        headers = list(pool.map(lambda p: csv_header(spark, p), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in files:
-        groups.setdefault(csv_header(spark, path), []).append(path)
+    for path, header in zip(files, headers):
+        groups.setdefault(header, []).append(path)
 
     parts = []
     for header, paths in groups.items():
