@@ -36,8 +36,3 @@ def is_rush_hour(hour: Column | str) -> Column:
     h = _col(hour)
     return F.coalesce(h.between(*MORNING_COMMUTE) | h.between(*EVENING_COMMUTE), F.lit(False))
 
-
-def time_of_day_columns(ts: Column | str) -> dict[str, Column]:
-    """trip_hour, hour_bucket and is_rush_hour of a trip start, sharing one hour()."""
-    h = trip_hour(ts)
-    return {"trip_hour": h, "hour_bucket": hour_bucket(h), "is_rush_hour": is_rush_hour(h)}
