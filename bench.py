@@ -95,7 +95,7 @@ def main() -> None:
         "stg_weather_daily": inputs.weather,
         "holiday_calendar": read_holidays(spark),
     }
-    timed("quality_report", lambda: len(quality.check_results(tables).collect()))
+    timed("quality_report", lambda: len(quality.collect_check_results(tables)))
 
     # 3. reports over the stored marts
     enriched = m["fct_trip_daily_enriched"]

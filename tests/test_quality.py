@@ -56,3 +56,11 @@ def test_clean_rows_pass_the_gate(spark):
     days = spark.createDataFrame([(dt.date(2024, 1, 1), 3), (dt.date(2024, 1, 2), 4)], "trip_date date, n long")
     checks = [quality.Check("d", "trip_date", quality.NOT_NULL), quality.Check("d", "trip_date", quality.UNIQUE)]
     quality.assert_checks_pass(quality.check_results({"d": days}, checks))
+
+
+def test_collected_report_equals_lazy_report(spark):
+    i = Inputs(spark, SF_SMALL)
+    tables = i.checked_tables()
+    lazy = sorted(tuple(r) for r in quality.check_results(tables).collect())
+    collected = sorted(tuple(r) for r in quality.collect_check_results(tables))
+    assert lazy == collected and len(collected) == 59

@@ -9,10 +9,11 @@ the report (one row per declared check) ever reaches the driver, in the gate.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from velomart.functions.daypart import HOUR_BUCKETS
@@ -194,18 +195,38 @@ def unexpected_values(tables: dict[str, DataFrame], checks: Sequence[Check] = DE
     return reduce(DataFrame.unionByName, parts)
 
 
+def collect_check_results(
+    tables: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS, concurrent_jobs: int = 8
+) -> list[Row]:
+    """The check report as rows, one Spark job per table run concurrently.
+
+    The report holds one row per declared check, so collecting it is bounded.
+    """
+    grouped = _by_table(checks)
+
+    def one(table: str) -> list[Row]:
+        return check_results({table: tables[table]}, grouped[table]).collect()
+
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_jobs, len(grouped)))) as pool:
+        parts = list(pool.map(one, grouped))
+    return [row for part in parts for row in part]
+
+
 def checks_for(tables: Iterable[str], checks: Sequence[Check] = DECLARED_CHECKS) -> list[Check]:
     wanted = set(tables)
     return [c for c in checks if c.table in wanted]
 
 
-def assert_checks_pass(report: DataFrame) -> None:
+def assert_checks_pass(report: DataFrame | list[Row]) -> None:
     """Gate: raise :class:`DataQualityError` if any check failed.
 
     The report has one row per declared check, so collecting its failing rows
     is bounded by the number of checks.
     """
-    failing = report.where(~F.col("passed")).collect()
+    if isinstance(report, DataFrame):
+        failing = report.where(~F.col("passed")).collect()
+    else:
+        failing = [r for r in report if not r.passed]
     if failing:
         lines = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.failures} failures" for r in failing]
         raise DataQualityError("data quality checks failed:\n" + "\n".join(lines))

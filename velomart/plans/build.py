@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from velomart.operators import marts
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
-from velomart.operators.quality import assert_checks_pass, check_results, checks_for
+from velomart.operators.quality import assert_checks_pass, checks_for, collect_check_results
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.plans.ingest import Layout
 from velomart.sources.seed import read_holidays
@@ -78,7 +78,7 @@ def _month_folders(months: Months) -> Column:
 def _gate(tables: dict[str, DataFrame]) -> None:
     checks = checks_for(tables)
     if checks:
-        assert_checks_pass(check_results(tables, checks))
+        assert_checks_pass(collect_check_results(tables, checks))
 
 
 def _materialise(
