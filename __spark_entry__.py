@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from velomart.catalog import QUERIES, SAMPLE_DAYS, SAMPLE_HOURS  # noqa: E402
+from velomart.catalog import LISTED_DAYS, QUERIES, SAMPLE_DAYS, SAMPLE_HOURS  # noqa: E402
 from velomart.functions.calendar import DAY_NAMES  # noqa: E402
 from velomart.operators.quality import ACCEPTED_VALUES, DECLARED_CHECKS, NOT_NULL, UNIQUE  # noqa: E402
 from velomart.sources.seed import holiday_rows  # noqa: E402
@@ -387,6 +387,15 @@ SELECT trip_date, total_trips, temperature_max_c, season FROM enriched
 WHERE trip_date IS NOT NULL AND total_trips IS NOT NULL AND temperature_max_c IS NOT NULL
   AND NOT isnan(temperature_max_c) AND season IS NOT NULL""",
         "top_flows_daily": top_daily,
+        "daily_series": "SELECT trip_date, total_trips, member_trips, casual_trips FROM enriched",
+        "listed_days_flows": f"""
+SELECT {_FLOW_COLS}, {_FLOW_SUMS}
+FROM flows_daily
+WHERE trip_date IN (SELECT trip_date FROM enriched
+                    WHERE trip_date IN ({", ".join(f"DATE {_q(d)}" for d in LISTED_DAYS.dates)}))
+GROUP BY {_FLOW_COLS}
+ORDER BY trip_count DESC, {_nulls_last(_FLOW_COLS)}
+LIMIT 100""",
         "flow_map_daily": f"""
 SELECT start_station_name AS origin_station, end_station_name AS destination_station,
        trip_count, member_trips, casual_trips,

@@ -41,6 +41,11 @@ def test_day_filters(days):
     assert len(dates(f(days, DayFilters(day_type=reports.WEEKDAYS_ONLY, holiday=reports.NON_HOLIDAYS_ONLY)))) == 1
     assert dates(f(days, DayFilters(seasons=()))) == []
     assert len(dates(f(days, DayFilters(years=(2024,), month_names=("May",))))) == 3
+    assert dates(f(days, DayFilters(dates=["2024-05-04", dt.date(2024, 12, 25)]))) == [
+        dt.date(2024, 5, 4),
+        dt.date(2024, 12, 25),
+    ]
+    assert dates(f(days, DayFilters(dates=[]))) == []
     with pytest.raises(ValueError):
         f(days, DayFilters(holiday="sometimes"))
 
@@ -65,6 +70,14 @@ def test_weekday_profile_order_and_scatter(days):
     assert dates(reports.weather_scatter(days)) == [dt.date(2024, 5, 3), dt.date(2024, 5, 27)]
 
 
+def test_daily_series_in_date_order(days):
+    series = reports.daily_series(days).collect()
+    assert [r.trip_date for r in series] == sorted(r.trip_date for r in series)
+    assert series[0].asDict() == {
+        "trip_date": dt.date(2024, 5, 3), "total_trips": 10, "member_trips": 6, "casual_trips": 3
+    }
+
+
 def test_top_days(days):
     top = reports.top_days(days, n=2).collect()
     assert [r.date for r in top] == [dt.date(2024, 5, 4), dt.date(2024, 5, 27)]

@@ -44,6 +44,7 @@ SAMPLE_HOURS = reports.HourFilters(
     hour_buckets=tuple(HOUR_BUCKETS[:3]),
     rush=reports.NON_RUSH_ONLY,
 )
+LISTED_DAYS = reports.DayFilters(dates=("2024-01-01", "2024-05-27", "2024-07-04", "2024-12-25"))
 WEATHER_WINDOW = (2024, 2)
 CSV_SPLIT_MONTH = 6  # trips up to June land in one CSV layout, later ones in another
 EXTRA_CSV_COLUMN = "rental_access_method"
@@ -258,6 +259,10 @@ QUERIES: dict[str, Query] = {
     "filtered_days": _q(lambda i: reports.filter_days(i.enriched, SAMPLE_DAYS)),
     "weekday_profile": _q(lambda i: rounded(reports.weekday_profile(i.days), ["avg_total_trips"])),
     "weather_scatter": _q(lambda i: reports.weather_scatter(i.days)),
+    "daily_series": _q(lambda i: reports.daily_series(i.days)),
+    "listed_days_flows": _q(
+        lambda i: reports.top_flows_daily(i.flows_daily, reports.filter_days(i.enriched, LISTED_DAYS))
+    ),
     "top_flows_daily": _q(lambda i: reports.top_flows_daily(i.flows_daily, i.days)),
     "flow_map_daily": _q(
         lambda i: reports.flow_table(

@@ -162,7 +162,7 @@ def check_results(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLAR
                 continue
             parts.append(groups.agg(F.array(_row(c, F.count(F.lit(1)))).alias("r")).select(F.inline("r")))
     report = reduce(DataFrame.unionByName, parts)
-    return report.withColumn("passed", F.col("failures") == 0)
+    return report.withColumn("passed", F.col("failures") == 0).select(*REPORT_COLUMNS)
 
 
 def duplicate_values(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:

@@ -48,6 +48,7 @@ class DayFilters:
     month_names: Sequence[str] | None = None
     holiday: str = ALL
     day_type: str = ALL
+    dates: Sequence[dt.date | str] | None = None  # an explicit list of days
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,8 @@ def filter_days(enriched: DataFrame, f: DayFilters = DayFilters()) -> DataFrame:
         conds.append(_isin(F.year(d), f.years))
     if f.month_names is not None:
         conds.append(_isin(F.col("month_name"), f.month_names))
+    if f.dates is not None:
+        conds.append(_isin(d, [F.lit(v).cast("date") for v in f.dates]))
     for cond in (
         _three_way(F.col("is_holiday"), f.holiday, HOLIDAYS_ONLY, NON_HOLIDAYS_ONLY),
         _three_way(F.col("is_weekend"), f.day_type, WEEKENDS_ONLY, WEEKDAYS_ONLY),
@@ -164,6 +167,11 @@ def weather_scatter(days: DataFrame) -> DataFrame:
     return days.select(*cols).dropna(how="any", subset=cols)
 
 
+def daily_series(days: DataFrame) -> DataFrame:
+    """Trips over time and the member / casual split per day, in date order."""
+    return days.select("trip_date", "total_trips", "member_trips", "casual_trips").orderBy("trip_date")
+
+
 def top_days(days: DataFrame, n: int = TOP_DAYS) -> DataFrame:
     """Busiest days with context; ties broken by the earlier date."""
     return (
@@ -336,7 +344,3 @@ def hourly_leaders(selected: DataFrame, n: int = HOURLY_LEADERS) -> DataFrame:
     agg = selected.where(F.col("station_name").isNotNull()).groupBy("station_name").agg(*_sums())
     return agg.orderBy(F.col("trip_count").desc_nulls_last(), F.col("station_name")).limit(n)
 
-
-def empty_flow_selection(flows: DataFrame) -> DataFrame:
-    """The flow frame of an empty day or bucket selection: no rows, same columns."""
-    return flows.select(*FLOW_REPORT_SCHEMA.names).where(F.lit(False))

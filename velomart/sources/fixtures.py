@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomart.schemas import STAGED_TRIP_COLUMNS, TRIP_CSV_TYPES
+from velomart.schemas import TRIP_CSV_TYPES
 
 # Fixed values of the fixture recipe.
 DAYS_PER_USER_STEP = 30
@@ -69,11 +69,6 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_staged_order(df: DataFrame) -> DataFrame:
-    """Reorder bronze trip columns to the staged order (used by tests)."""
-    return df.select(*STAGED_TRIP_COLUMNS)
-
-
 def fixture_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-form daily observations (obs_date, datatype, value, seq).
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from velomart.functions.time import zero_pad_month
+from velomart.functions.time import iso_date_text, zero_pad_month
 from velomart.schemas import WEATHER_SCHEMA
 
 
@@ -106,7 +106,7 @@ def export_csv(df: DataFrame, path: str, date_cols: Sequence[str] = ("trip_date"
     out = df
     for c in date_cols:
         if c in df.columns:
-            out = out.withColumn(c, F.date_format(F.col(c), "yyyy-MM-dd"))
+            out = out.withColumn(c, iso_date_text(c))
     out.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
