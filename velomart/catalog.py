@@ -236,6 +236,14 @@ def _weather_window(i: Inputs) -> DataFrame:
     return stage_weather(pivot_observations(obs))
 
 
+def _empty_selection(i: Inputs) -> DataFrame:
+    """Flow reports for an empty bucket list and an empty season list: no rows,
+    the 11 flow columns."""
+    no_buckets = reports.top_flows_hourly(i.flows_hourly, i.days, reports.HourFilters(hour_buckets=()))
+    no_days = reports.filter_days(i.enriched, reports.DayFilters(seasons=()))
+    return no_buckets.unionByName(reports.top_flows_daily(i.flows_daily, no_days))
+
+
 def _hourly_selection(i: Inputs) -> DataFrame:
     return reports.selected_station_hours(i.station_hourly, i.days, reports.HourFilters())
 
@@ -275,11 +283,7 @@ QUERIES: dict[str, Query] = {
             ["start_lat", "start_lng", "end_lat", "end_lng"],
         )
     ),
-    "empty_selection": _q(
-        lambda i: reports.top_flows_hourly(
-            i.flows_hourly, i.days, reports.HourFilters(hour_buckets=())
-        ).unionByName(reports.top_flows_daily(i.flows_daily, reports.filter_days(i.enriched, reports.DayFilters(seasons=()))))
-    ),
+    "empty_selection": _q(_empty_selection),
     "station_activity_daily": _q(
         lambda i: reports.map_stations(reports.station_activity_daily(i.station_daily, i.days))
     ),
