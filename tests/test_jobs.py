@@ -148,3 +148,33 @@ def test_month_refresh_equals_full_rebuild(spark, scratch):
     full = {k: sorted(map(tuple, v.drop("trip_month").collect())) for k, v in build.load_marts(spark, full_lay).items()}
     assert incremental == full
     assert len(incremental["fct_trip_daily"]) == len({r[0] for r in incremental["fct_trip_daily"]}) > 40
+
+
+def test_backfill_loads_only_pending_months(spark, scratch):
+    from velomart.plans.monthly import backfill, requested_months
+
+    req = requested_months(spark, ["trips"], (2023, 11), (2024, 2)).collect()
+    assert [(r.year, r.month) for r in req] == [(2023, 11), (2023, 12), (2024, 1), (2024, 2)]
+
+    root = scratch("backfill")
+    lay = ingest.Layout(
+        trips_landing=f"{root}/landing/trips",
+        weather_landing=f"{root}/landing/weather",
+        trips_bronze=f"{root}/bronze/trips",
+        weather_bronze=f"{root}/bronze/weather",
+        marts=f"{root}/marts",
+        ledger=f"{root}/state/loads",
+    )
+    i = Inputs(spark, SF_SMALL)
+    for mm in (1, 2):
+        landing.write_trip_csv(i.bronze_trips.where(F.month("started_at") == mm), lay.landed(lay.trips_landing, 2024, mm))
+        landing.write_observation_pages(i.observations, lay.landed(lay.weather_landing, 2024, mm))
+    ledger = LoadLedger(spark, lay.ledger)
+    ledger.record(ingest.TRIPS_PIPELINE, 2024, 1, "x")
+    ledger.record(ingest.WEATHER_PIPELINE, 2024, 1, "x")
+    out = backfill(spark, lay, (2024, 1), (2024, 2), check=False)
+    assert list(out["loaded"]) == [(2024, 2)] and out["months"] == [(2024, 2)]
+    assert out["loaded"][(2024, 2)] == (ingest.LOADED, ingest.LOADED)
+    assert backfill(spark, lay, (2024, 1), (2024, 2), check=False)["loaded"] == {}
+    daily = build.load_marts(spark, lay)["fct_trip_daily"].collect()
+    assert daily and {r.trip_date.month for r in daily} == {2}

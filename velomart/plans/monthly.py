@@ -1,14 +1,22 @@
-"""Monthly run: ingest trips, then weather, then rebuild the marts."""
+"""Monthly run (trips -> weather -> marts) and a ledger-driven backfill of a month range."""
 
 from __future__ import annotations
 
 import datetime as dt
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from velomart.plans.build import build_marts, trip_months_in_partition
-from velomart.plans.ingest import LOADED, Layout, ingest_trips_month, ingest_weather_month
-from velomart.plans.ledger import LoadLedger
+from velomart.plans.ingest import (
+    LOADED,
+    TRIPS_PIPELINE,
+    WEATHER_PIPELINE,
+    Layout,
+    ingest_trips_month,
+    ingest_weather_month,
+)
+from velomart.plans.ledger import LoadLedger, pending_months
 from velomart.sources.tables import month_partition, path_exists
 
 
@@ -52,3 +60,48 @@ def monthly_load(
     months = None if full_rebuild else sorted(touched)
     marts = build_marts(spark, layout, check, months=months)
     return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}
+
+
+def requested_months(spark: SparkSession, pipelines: list[str], first: tuple[int, int], last: tuple[int, int]):
+    """(pipeline_name, year, month) for every pipeline and every month from
+    ``first`` to ``last`` inclusive (two generated columns, no join)."""
+    start = F.make_date(F.lit(first[0]), F.lit(first[1]), F.lit(1))
+    end = F.make_date(F.lit(last[0]), F.lit(last[1]), F.lit(1))
+    return (
+        spark.range(1)
+        .select(F.explode(F.array(*[F.lit(p) for p in pipelines])).alias("pipeline_name"))
+        .select("pipeline_name", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 MONTH"))).alias("m"))
+        .select("pipeline_name", F.year("m").alias("year"), F.month("m").alias("month"))
+    )
+
+
+def backfill(
+    spark: SparkSession,
+    layout: Layout,
+    first: tuple[int, int],
+    last: tuple[int, int],
+    station: str | None = None,
+    check: bool = True,
+) -> dict[str, object]:
+    """Load every month of a range that the ledger does not record as loaded.
+
+    The pending months come from the set form of the ledger test (requested
+    months anti-joined with successful loads), one row per month, so the list
+    the driver walks is bounded by the calendar.  Marts are then refreshed once
+    for all touched trip months.
+    """
+    ledger = LoadLedger(spark, layout.ledger)
+    requested = requested_months(spark, [TRIPS_PIPELINE, WEATHER_PIPELINE], first, last)
+    pending = pending_months(requested, ledger.read()).collect()
+    todo = sorted({(r.year, r.month) for r in pending})
+    touched: set[tuple[int, int]] = set()
+    results = {}
+    for year, month in todo:
+        trips = ingest_trips_month(spark, layout, ledger, year, month)
+        weather = ingest_weather_month(spark, layout, ledger, year, month, station=station)
+        results[(year, month)] = (trips, weather)
+        touched.add((year, month))
+        if trips == LOADED:
+            touched |= set(trip_months_in_partition(spark, layout, year, month))
+    marts = build_marts(spark, layout, check, months=sorted(touched)) if touched else {}
+    return {"loaded": results, "months": sorted(touched), "marts": marts}
