@@ -25,7 +25,11 @@ from velomart.catalog import SAMPLE_DAYS, SAMPLE_HOURS, Inputs  # noqa: E402
 from velomart.operators import quality, reports  # noqa: E402
 from velomart.operators.weather import pivot_observations  # noqa: E402
 from velomart.plans.build import build_marts, load_marts  # noqa: E402
-from velomart.plans.ingest import Layout  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from velomart.plans.ingest import Layout, ingest_trips_month  # noqa: E402
+from velomart.plans.ledger import LoadLedger  # noqa: E402
+from velomart.sources.landing import write_trip_csv  # noqa: E402
 from velomart.session import build_session, scratch_path  # noqa: E402
 from velomart.sources.seed import read_holidays  # noqa: E402
 from velomart.sources.tables import write_bronze  # noqa: E402
@@ -78,6 +82,25 @@ def main() -> None:
         lambda: write_bronze(pivot_observations(inputs.observations), layout.weather_bronze, date_col="weather_date"),
     )
 
+    # 1b. the landed-CSV path of a monthly load (separate folders): header-aware
+    # scan of two CSV layouts, ANSI casts, month partition write, ledger record
+    csv_layout = Layout(
+        trips_landing=f"{root}/csv/landing/trips",
+        weather_landing=f"{root}/csv/landing/weather",
+        trips_bronze=f"{root}/csv/bronze/trips",
+        weather_bronze=f"{root}/csv/bronze/weather",
+        marts=f"{root}/csv/marts",
+        ledger=f"{root}/csv/state/loads",
+    )
+    landed = csv_layout.landed(csv_layout.trips_landing, 2024, 6)
+    early = F.month("started_at") <= 6
+    write_trip_csv(inputs.bronze_trips.where(early), f"{landed}/part_a")
+    write_trip_csv(inputs.bronze_trips.where(~early), f"{landed}/part_b", list(reversed(inputs.bronze_trips.columns)))
+    timed(
+        "ingest_csv_month",
+        lambda: ingest_trips_month(spark, csv_layout, LoadLedger(spark, csv_layout.ledger), 2024, 6),
+    )
+
     # 2. marts (full rebuild from bronze); checks are timed separately below
     timed("build_marts", lambda: build_marts(spark, layout, check=False))
     # the monthly path: recompute one trip month and replace only its folders
