@@ -35,7 +35,9 @@ def restrict_to_days(facts: DataFrame, days: DataFrame, day_col: str = "trip_dat
     join also keys on ``trip_month``: Spark then prunes month folders
     dynamically from the selected days (the day side is small and broadcast).
     """
-    keys = days.select(F.col(day_col).alias("__day")).distinct()
+    # No distinct(): a left-semi join never multiplies rows, so duplicate keys
+    # on the day side cost nothing and need no extra shuffle.
+    keys = days.select(F.col(day_col).alias("__day"))
     if TRIP_MONTH not in facts.columns:
         return facts.join(keys, facts[day_col] == keys["__day"], "left_semi")
     keys = keys.withColumn("__month", F.trunc(F.col("__day"), "MM"))
