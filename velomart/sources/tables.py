@@ -80,7 +80,9 @@ def write_mart(
     hint_cols = list(partition_by)
     balanced = df.hint("rebalance", *hint_cols) if hint_cols else df.hint("rebalance")
     if sort_keys:
-        balanced = balanced.sortWithinPartitions(*sort_keys)
+        # Partition columns lead the sort: the writer needs rows grouped by its
+        # partition folders and would otherwise add a sort of its own on top.
+        balanced = balanced.sortWithinPartitions(*[F.col(c) for c in partition_by], *sort_keys)
     # Static overwrite (full rebuild) also drops partitions that no longer exist.
     mode = "dynamic" if dynamic else "static"
     writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", mode)
