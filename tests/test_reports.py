@@ -137,3 +137,21 @@ def test_station_activity_drops_missing_keys(spark):
     )
     act = reports.station_activity(df).collect()
     assert [(r.station_id, r.trip_count) for r in act] == [("S1", 5)]
+
+
+def test_dashboard_frames_follow_granularity(spark):
+    i = Inputs(spark, SF_SMALL)
+    m = {
+        "fct_trip_daily_enriched": i.enriched,
+        "fct_station_daily": i.station_daily,
+        "fct_station_hourly": i.station_hourly,
+        "fct_station_flows_daily": i.flows_daily,
+        "fct_station_flows_hourly": i.flows_hourly,
+    }
+    daily = reports.dashboard_frames(m)
+    assert "hourly_trips" not in daily and daily["kpis"].count() == 1
+    hourly = reports.dashboard_frames(m, hour_filters=HourFilters(start_hour=6, end_hour=9), granularity="Hourly")
+    assert {r.trip_hour for r in hourly["hourly_trips"].collect()} <= {6, 7, 8, 9}
+    assert hourly["flows"].columns[-1] == "line_weight"
+    with pytest.raises(ValueError):
+        reports.dashboard_frames(m, granularity="Weekly")

@@ -344,3 +344,53 @@ def hourly_leaders(selected: DataFrame, n: int = HOURLY_LEADERS) -> DataFrame:
     agg = selected.where(F.col("station_name").isNotNull()).groupBy("station_name").agg(*_sums())
     return agg.orderBy(F.col("trip_count").desc_nulls_last(), F.col("station_name")).limit(n)
 
+
+
+DAILY, HOURLY = "Daily", "Hourly"
+
+
+def dashboard_frames(
+    marts: dict[str, DataFrame],
+    day_filters: DayFilters = DayFilters(),
+    hour_filters: HourFilters = HourFilters(),
+    granularity: str = DAILY,
+) -> dict[str, DataFrame]:
+    """Every report frame of one dashboard view, lazily, keyed by name.
+
+    ``marts`` maps mart names to stored marts (``plans.build.load_marts``).  The
+    day filters select the days once; at daily granularity station activity
+    and flows come from the daily marts (hour filters do not apply), at hourly
+    granularity from the hourly marts with the hour filters, plus the hourly
+    profile views.  Nothing runs until a frame is used.
+    """
+    if granularity not in (DAILY, HOURLY):
+        raise ValueError(f"unknown granularity {granularity!r}")
+    days = filter_days(marts["fct_trip_daily_enriched"], day_filters)
+    frames = {
+        "days": days,
+        "kpis": kpis(days),
+        "daily_series": daily_series(days),
+        "weekday_profile": weekday_profile(days),
+        "weather_scatter": weather_scatter(days),
+        "top_days": top_days(days),
+    }
+    if granularity == DAILY:
+        activity = station_activity_daily(marts["fct_station_daily"], days)
+        flows = top_flows_daily(marts["fct_station_flows_daily"], days)
+    else:
+        selected = selected_station_hours(marts["fct_station_hourly"], days, hour_filters)
+        activity = station_activity(selected)
+        flows = top_flows_hourly(marts["fct_station_flows_hourly"], days, hour_filters)
+        frames.update(
+            hourly_trips=hourly_trips(selected),
+            hourly_rider_mix=hourly_rider_mix(selected),
+            bucket_trips=bucket_trips(selected),
+            hourly_leaders=hourly_leaders(selected),
+        )
+    frames.update(
+        map_stations=map_stations(activity),
+        station_table=station_table(activity),
+        flows=with_flow_weight(flows),
+        flow_table=flow_table(flows),
+    )
+    return frames
