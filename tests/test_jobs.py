@@ -11,7 +11,7 @@ from velomart.plans import build, ingest
 from velomart.plans.ledger import LoadLedger, pending_months
 from velomart.plans.monthly import monthly_load
 from velomart.sources import landing
-from velomart.sources.tables import read_bronze
+from velomart.sources.tables import read_bronze, read_bronze_trips
 
 from conftest import SF_SMALL
 
@@ -178,3 +178,23 @@ def test_backfill_loads_only_pending_months(spark, scratch):
     assert backfill(spark, lay, (2024, 1), (2024, 2), check=False)["loaded"] == {}
     daily = build.load_marts(spark, lay)["fct_trip_daily"].collect()
     assert daily and {r.trip_date.month for r in daily} == {2}
+
+
+def test_reload_with_empty_landing_clears_the_month(spark, layout):
+    monthly_load(spark, layout, YEAR, MONTH, check=False)
+    assert build.load_marts(spark, layout)["fct_trip_daily"].count() > 0
+    empty_landing = layout.landed(layout.trips_landing, YEAR, MONTH) + "/empty"
+    import os
+
+    os.makedirs(empty_landing.replace("file:", ""), exist_ok=True)
+    header = ",".join(Inputs(spark, SF_SMALL).bronze_trips.columns)
+    # the reload's landing now holds only a header-only file
+    reload_lay = ingest.Layout(**{**layout.__dict__, "trips_landing": layout.trips_landing + "_reload"})
+    target = reload_lay.landed(reload_lay.trips_landing, YEAR, MONTH).replace("file:", "")
+    os.makedirs(target, exist_ok=True)
+    with open(f"{target}/empty.csv", "w", encoding="utf-8") as fh:
+        fh.write(header + "\n")
+    out = monthly_load(spark, reload_lay, YEAR, MONTH, force=True, check=False)
+    assert out["trips"] == ingest.LOADED and out["months"] is None  # fell back to a full rebuild
+    assert read_bronze_trips(spark, layout.trips_bronze).count() == 0
+    assert all(df.count() == 0 for name, df in build.load_marts(spark, layout).items() if name != "fct_trip_daily_enriched")

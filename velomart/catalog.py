@@ -168,7 +168,7 @@ def _bronze_roundtrip(i: Inputs) -> DataFrame:
     root = scratch_path(i.spark, "bronze-trips")
     tables.write_bronze(i.bronze_trips, root)
     tables.write_bronze(i.bronze_trips, root)
-    return stage_trips(tables.read_bronze(i.spark, root))
+    return stage_trips(tables.read_bronze_trips(i.spark, root))
 
 
 def _ledger_roundtrip(i: Inputs) -> DataFrame:

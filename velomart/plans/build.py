@@ -26,14 +26,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from velomart.operators import marts
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.quality import assert_checks_pass, checks_for, collect_check_results
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.plans.ingest import Layout
+from velomart.schemas import HOLIDAY_SCHEMA, STAGED_TRIP_COLUMNS, TRIP_BRONZE_SCHEMA, WEATHER_SCHEMA
 from velomart.sources.seed import read_holidays
-from velomart.sources.tables import read_bronze, read_bronze_weather, read_mart, write_mart
+from velomart.sources.tables import read_bronze_trips, read_bronze_weather, read_mart, write_mart
 
 MART_ORDER = [
     "fct_trips",
@@ -91,8 +93,9 @@ def _materialise(
 ) -> DataFrame:
     """Write one mart (all months, or just ``months``) and return what was written."""
     path = mart_path(layout, name)
-    write_mart(with_trip_month(df), path, marts.mart_sort_keys(name), [TRIP_MONTH], dynamic=months is not None)
-    stored = read_mart(spark, path)
+    stored_df = with_trip_month(df)
+    write_mart(stored_df, path, marts.mart_sort_keys(name), [TRIP_MONTH], dynamic=months is not None)
+    stored = read_mart(spark, path, schema=stored_df.schema)
     if months is not None:
         stored = stored.where(_month_folders(months))
     if check:
@@ -117,7 +120,7 @@ def build_marts(
     """
     if months is not None and not months:
         return {name: mart_path(layout, name) for name in MART_ORDER}
-    staged = stage_trips(read_bronze(spark, layout.trips_bronze))
+    staged = stage_trips(read_bronze_trips(spark, layout.trips_bronze))
     weather = stage_weather(read_bronze_weather(spark, layout.weather_bronze))
     holidays = read_holidays(spark, layout.seed)
     if months is not None:
@@ -161,7 +164,7 @@ def trip_months_in_partition(spark: SparkSession, layout: Layout, year: int, mon
     a trip landed in a neighbouring month's file is never missed.  The result
     has one row per distinct month, so collecting it is bounded.
     """
-    trips = read_bronze(spark, layout.trips_bronze).where((F.col("year") == year) & (F.col("month") == month))
+    trips = read_bronze_trips(spark, layout.trips_bronze).where((F.col("year") == year) & (F.col("month") == month))
     rows = (
         trips.where(F.col("started_at").isNotNull())
         .select(F.year("started_at").alias("y"), F.month("started_at").alias("m"))
@@ -171,6 +174,33 @@ def trip_months_in_partition(spark: SparkSession, layout: Layout, year: int, mon
     return sorted((r.y, r.m) for r in rows)
 
 
+def trips_exist(spark: SparkSession, layout: Layout, months: Months) -> bool:
+    """True if bronze holds at least one trip starting in ``months`` (stops at the first)."""
+    trips = read_bronze_trips(spark, layout.trips_bronze).where(in_months("started_at", months, as_timestamp=True))
+    return not trips.select("started_at").limit(1).isEmpty()
+
+
+def mart_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Stored schema of every mart (with ``trip_month``), from the builders
+    applied to empty inputs -- analysis only, no data is read."""
+    staged = spark.createDataFrame([], TRIP_BRONZE_SCHEMA).select(*STAGED_TRIP_COLUMNS)
+    weather = spark.createDataFrame([], WEATHER_SCHEMA)
+    facts = marts.trip_facts(staged)
+    daily = marts.trip_daily(facts)
+    frames = {
+        "fct_trips": facts,
+        "fct_trip_daily": daily,
+        "fct_trip_daily_enriched": marts.daily_enriched(daily, weather, spark.createDataFrame([], HOLIDAY_SCHEMA)),
+        "fct_station_daily": marts.station_daily(staged),
+        "fct_station_hourly": marts.station_hourly(staged),
+        "fct_station_flows_daily": marts.flows_daily(staged),
+        "fct_station_flows_hourly": marts.flows_hourly(staged),
+    }
+    return {name: with_trip_month(df).schema for name, df in frames.items()}
+
+
 def load_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The stored marts as DataFrames (for the report layer)."""
-    return {name: spark.read.parquet(mart_path(layout, name)) for name in MART_ORDER}
+    """The stored marts as DataFrames (for the report layer), read with their
+    declared schemas."""
+    schemas = mart_schemas(spark)
+    return {name: read_mart(spark, mart_path(layout, name), schema=schemas[name]) for name in MART_ORDER}

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from velomart.plans.build import build_marts, trip_months_in_partition
+from velomart.plans.build import build_marts, trip_months_in_partition, trips_exist
 from velomart.plans.ingest import (
     LOADED,
     TRIPS_PIPELINE,
@@ -50,14 +50,17 @@ def monthly_load(
         year, month = previous_month_of()
     ledger = LoadLedger(spark, layout.ledger)
     partition = month_partition(layout.trips_bronze, year, month)
-    touched = {(year, month)}
+    before: set[tuple[int, int]] = set()
     if path_exists(spark, partition):
-        touched |= set(trip_months_in_partition(spark, layout, year, month))
+        before = set(trip_months_in_partition(spark, layout, year, month))
     trips = ingest_trips_month(spark, layout, ledger, year, month, force)
     weather = ingest_weather_month(spark, layout, ledger, year, month, force, station)
-    if trips == LOADED:
-        touched |= set(trip_months_in_partition(spark, layout, year, month))
-    months = None if full_rebuild else sorted(touched)
+    after = set(trip_months_in_partition(spark, layout, year, month)) if trips == LOADED else before
+    touched = {(year, month)} | before | after
+    # A month folder can only be dropped by a full rebuild: fall back to one if
+    # the reload left a previously populated trip month with no trips at all.
+    vanished = [m for m in sorted(before - after) if not trips_exist(spark, layout, [m])]
+    months = None if (full_rebuild or vanished) else sorted(touched)
     marts = build_marts(spark, layout, check, months=months)
     return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}
 

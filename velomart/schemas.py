@@ -22,6 +22,9 @@ TRIP_CSV_TYPES: dict[str, T.DataType] = {
     "member_casual": T.StringType(),
 }
 
+# Declared columns of the trip bronze table (extra CSV columns may follow).
+TRIP_BRONZE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in TRIP_CSV_TYPES.items()])
+
 # Column order of the staged trip relation.
 STAGED_TRIP_COLUMNS = [
     "ride_id",

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from velomart.functions.time import iso_date_text, zero_pad_month
-from velomart.schemas import WEATHER_SCHEMA
+from pyspark.sql.types import StructType
+
+from velomart.schemas import TRIP_BRONZE_SCHEMA, WEATHER_SCHEMA
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -34,15 +36,17 @@ def write_bronze(
     """Write rows into ``root/year=YYYY/month=MM`` partitions, replacing only those.
 
     With (year, month) the partition comes from the run arguments (the landed
-    month), as the monthly load does; without them each row goes to the month
-    of ``date_col``.  Dynamic partition overwrite leaves other months untouched,
-    so re-running a month replaces it instead of duplicating it.
+    month), as the monthly load does: that one folder is overwritten as a whole,
+    so a reload replaces it even when the new landing holds no rows.  Without
+    them each row goes to the month of ``date_col`` and dynamic partition
+    overwrite replaces exactly the months present.  Other months are untouched
+    either way, so a rerun never duplicates rows.
     """
     if year is not None and month is not None:
-        parted = df.withColumn("year", F.lit(f"{year:04d}")).withColumn("month", F.lit(f"{month:02d}"))
-    else:
-        d = F.col(date_col)
-        parted = df.withColumn("year", F.year(d).cast("string")).withColumn("month", zero_pad_month(F.month(d)))
+        df.write.mode("overwrite").parquet(month_partition(root, year, month))
+        return
+    d = F.col(date_col)
+    parted = df.withColumn("year", F.year(d).cast("string")).withColumn("month", zero_pad_month(F.month(d)))
     (
         parted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -51,14 +55,21 @@ def write_bronze(
     )
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """All months of a bronze table; ``year``/``month`` are discovered partition
-    columns, so a filter on them prunes directories."""
-    return spark.read.option("basePath", root).parquet(root)
+    columns, so a filter on them prunes directories.  With ``schema`` nothing is
+    inferred (an emptied month, or a table with no rows yet, still reads)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.option("basePath", root).parquet(root)
+
+
+def read_bronze_trips(spark: SparkSession, root: str) -> DataFrame:
+    """Trip bronze with its 13 declared columns plus ``year``/``month``."""
+    return read_bronze(spark, root, TRIP_BRONZE_SCHEMA)
 
 
 def read_bronze_weather(spark: SparkSession, root: str) -> DataFrame:
-    return read_bronze(spark, root).select(*WEATHER_SCHEMA.names)
+    return read_bronze(spark, root, WEATHER_SCHEMA).select(*WEATHER_SCHEMA.names)
 
 
 def write_mart(
@@ -92,10 +103,14 @@ def write_mart(
     return path
 
 
-def read_mart(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_mart(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: StructType | None = None
+) -> DataFrame:
     """Read a stored mart; ``columns`` restores the mart's column order (partition
-    columns come last in a partitioned scan)."""
-    df = spark.read.parquet(path)
+    columns come last in a partitioned scan).  With ``schema`` nothing is
+    inferred, so a mart rebuilt from no rows still reads (as empty)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 
