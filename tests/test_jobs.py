@@ -198,3 +198,20 @@ def test_reload_with_empty_landing_clears_the_month(spark, layout):
     assert out["trips"] == ingest.LOADED and out["months"] is None  # fell back to a full rebuild
     assert read_bronze_trips(spark, layout.trips_bronze).count() == 0
     assert all(df.count() == 0 for name, df in build.load_marts(spark, layout).items() if name != "fct_trip_daily_enriched")
+
+
+def test_command_line_parses_and_runs(spark, layout):
+    from velomart import __main__ as cli
+
+    args = cli.parse(["monthly", "--root", "/shared/x", "--year", "2024", "--month", "3", "--force"])
+    lay = cli._layout(args)
+    assert (args.year, args.month, args.force) == (2024, 3, True)
+    assert lay.trips_bronze == "/shared/x/bronze/trips" and lay.ledger == "/shared/x/state/loads"
+    fill = cli.parse(["backfill", "--root", "/r", "--first", "2025-04", "--last", "2026-04"])
+    assert (fill.first, fill.last) == ((2025, 4), (2026, 4))
+    argv = ["monthly", "--root", "/unused", "--no-check", "--year", str(YEAR), "--month", str(MONTH)]
+    for key, value in layout.__dict__.items():
+        if value is not None:
+            argv += [f"--{key.replace('_', '-')}", value]
+    assert cli.main(argv) == 0
+    assert build.load_marts(spark, layout)["fct_trip_daily"].count() > 0
