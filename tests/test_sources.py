@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from velomart.operators.weather import pivot_observations
 from velomart.sources.landing import read_observation_pages, read_trip_csvs
