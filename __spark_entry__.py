@@ -67,10 +67,7 @@ def _holiday_values() -> str:
     return f"SELECT * FROM (VALUES\n      {rows}) AS h(holiday_date, holiday_name, is_holiday)"
 
 
-def _ctes() -> str:
-    return f"""
-trips_raw AS (
-  SELECT
+_FIXTURE_TRIPS = f"""SELECT
     cast(event_id AS VARCHAR) AS ride_id,
     CASE WHEN event_id % 3 = 0 THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
     {_SHIFT} AS started_at,
@@ -85,7 +82,16 @@ trips_raw AS (
     CASE WHEN event_id % 61 = 0 THEN NULL ELSE -74.25e0 + (user_id % 32) / 64.0e0 END AS end_lng,
     CASE WHEN event_type IN ('purchase', 'signup') THEN 'member'
          WHEN event_type = 'error' THEN 'unknown' ELSE 'casual' END AS member_casual
-  FROM events
+  FROM events"""
+
+
+def _ctes(trips_source: str | None = None) -> str:
+    """Shared CTEs; ``trips_source`` replaces the fixture trips with a table of
+    bronze-shaped trips (used by the randomized differential test)."""
+    trips = f"SELECT * FROM {trips_source}" if trips_source else _FIXTURE_TRIPS
+    return f"""
+trips_raw AS (
+  {trips}
 ),
 stg AS (
   SELECT ride_id, rideable_type, cast(started_at AS TIMESTAMP) AS started_at,
@@ -207,8 +213,8 @@ ledger AS (
 )"""
 
 
-def _with(body: str) -> str:
-    return f"WITH {_ctes()}\n{body}"
+def _with(body: str, trips_source: str | None = None) -> str:
+    return f"WITH {_ctes(trips_source)}\n{body}"
 
 
 _FLOW_COLS = (
@@ -340,6 +346,11 @@ def _day_order() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return {name: _with(body) for name, body in _bodies().items() if name in QUERIES}
+
+
+def _bodies() -> dict[str, str]:
+    """The final SELECT of every query (to be prefixed with the shared CTEs)."""
     all_hours = _default_hours()
     hourly_sel = f"FROM station_hourly WHERE {_ALL_DAYS} AND {_hour_filter(all_hours)}"
     top_daily = f"""
@@ -467,5 +478,5 @@ FROM trips_raw""",
     }
     missing = set(QUERIES) - set(sql)
     assert not missing, f"queries without oracle: {sorted(missing)}"
-    return {name: _with(body) for name, body in sql.items() if name in QUERIES}
+    return sql
 
