@@ -248,72 +248,73 @@ def _hourly_selection(i: Inputs) -> DataFrame:
     return reports.selected_station_hours(i.station_hourly, i.days, reports.HourFilters())
 
 
-QUERIES: dict[str, Query] = {
-    "stage_trips": _q(lambda i: i.staged),
-    "trip_facts": _q(lambda i: i.facts),
-    "trip_daily": _q(lambda i: i.daily),
-    "station_daily": _q(lambda i: i.station_daily),
-    "station_hourly": _q(lambda i: i.station_hourly),
-    "flows_daily": _q(lambda i: i.flows_daily),
-    "flows_hourly": _q(lambda i: i.flows_hourly),
-    "weather_pivot": _q(lambda i: pivot_observations(i.observations)),
-    "stage_weather": _q(lambda i: i.weather),
-    "daily_enriched": _q(lambda i: i.enriched),
-    "holiday_days": _q(_holiday_days),
-    "kpis": _q(lambda i: rounded(reports.kpis(i.days), ["avg_daily_trips", "avg_trip_duration_minutes"])),
-    "date_bounds": _q(lambda i: reports.date_bounds(i.enriched)),
-    "season_options": _q(lambda i: reports.season_options(i.enriched)),
-    "year_options": _q(lambda i: reports.year_options(i.enriched)),
-    "filtered_days": _q(lambda i: reports.filter_days(i.enriched, SAMPLE_DAYS)),
-    "weekday_profile": _q(lambda i: rounded(reports.weekday_profile(i.days), ["avg_total_trips"])),
-    "weather_scatter": _q(lambda i: reports.weather_scatter(i.days)),
-    "daily_series": _q(lambda i: reports.daily_series(i.days)),
-    "listed_days_flows": _q(
+BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
+    "stage_trips": lambda i: i.staged,
+    "trip_facts": lambda i: i.facts,
+    "trip_daily": lambda i: i.daily,
+    "station_daily": lambda i: i.station_daily,
+    "station_hourly": lambda i: i.station_hourly,
+    "flows_daily": lambda i: i.flows_daily,
+    "flows_hourly": lambda i: i.flows_hourly,
+    "weather_pivot": lambda i: pivot_observations(i.observations),
+    "stage_weather": lambda i: i.weather,
+    "daily_enriched": lambda i: i.enriched,
+    "holiday_days": _holiday_days,
+    "kpis": lambda i: rounded(reports.kpis(i.days), ["avg_daily_trips", "avg_trip_duration_minutes"]),
+    "date_bounds": lambda i: reports.date_bounds(i.enriched),
+    "season_options": lambda i: reports.season_options(i.enriched),
+    "year_options": lambda i: reports.year_options(i.enriched),
+    "filtered_days": lambda i: reports.filter_days(i.enriched, SAMPLE_DAYS),
+    "weekday_profile": lambda i: rounded(reports.weekday_profile(i.days), ["avg_total_trips"]),
+    "weather_scatter": lambda i: reports.weather_scatter(i.days),
+    "daily_series": lambda i: reports.daily_series(i.days),
+    "listed_days_flows": (
         lambda i: reports.top_flows_daily(i.flows_daily, reports.filter_days(i.enriched, LISTED_DAYS))
     ),
-    "top_flows_daily": _q(lambda i: reports.top_flows_daily(i.flows_daily, i.days)),
-    "flow_map_daily": _q(
+    "top_flows_daily": lambda i: reports.top_flows_daily(i.flows_daily, i.days),
+    "flow_map_daily": (
         lambda i: reports.flow_table(
             reports.with_flow_weight(reports.top_flows_daily(i.flows_daily, i.days))
         )
     ),
-    "top_flows_hourly": _q(
+    "top_flows_hourly": (
         lambda i: rounded(
             reports.top_flows_hourly(i.flows_hourly, i.days, SAMPLE_HOURS),
             ["start_lat", "start_lng", "end_lat", "end_lng"],
         )
     ),
-    "empty_selection": _q(_empty_selection),
-    "station_activity_daily": _q(
+    "empty_selection": _empty_selection,
+    "station_activity_daily": (
         lambda i: reports.map_stations(reports.station_activity_daily(i.station_daily, i.days))
     ),
-    "station_table_daily": _q(
+    "station_table_daily": (
         lambda i: reports.station_table(reports.station_activity_daily(i.station_daily, i.days))
     ),
-    "station_activity_hourly": _q(
+    "station_activity_hourly": (
         lambda i: reports.map_stations(
             reports.station_activity_hourly(i.station_hourly, i.days, SAMPLE_HOURS)
         )
     ),
-    "hourly_trips": _q(lambda i: reports.hourly_trips(_hourly_selection(i))),
-    "hourly_rider_mix": _q(lambda i: reports.hourly_rider_mix(_hourly_selection(i))),
-    "bucket_trips": _q(lambda i: reports.bucket_trips(_hourly_selection(i))),
-    "hourly_leaders": _q(lambda i: reports.hourly_leaders(_hourly_selection(i))),
-    "top_days": _q(lambda i: reports.top_days(i.days)),
-    "month_windows": _q(_month_windows),
-    "pending_months": _q(
+    "hourly_trips": lambda i: reports.hourly_trips(_hourly_selection(i)),
+    "hourly_rider_mix": lambda i: reports.hourly_rider_mix(_hourly_selection(i)),
+    "bucket_trips": lambda i: reports.bucket_trips(_hourly_selection(i)),
+    "hourly_leaders": lambda i: reports.hourly_leaders(_hourly_selection(i)),
+    "top_days": lambda i: reports.top_days(i.days),
+    "month_windows": _month_windows,
+    "pending_months": (
         lambda i: pending_months(
             fixtures.fixture_requested_months(i.spark, i.sf_dir), fixtures.fixture_ledger(i.spark, i.sf_dir)
         )
     ),
-    "quality_report": _q(lambda i: quality.check_results(i.checked_tables())),
-    "quality_duplicates": _q(lambda i: quality.duplicate_values(i.checked_tables())),
-    "quality_unexpected": _q(lambda i: quality.unexpected_values(i.checked_tables())),
-    "weather_window": _q(_weather_window),
-    "csv_union_roundtrip": _q(_csv_union_roundtrip),
-    "json_observations": _q(_json_observations),
-    "bronze_roundtrip": _q(_bronze_roundtrip),
-    "ledger_roundtrip": _q(_ledger_roundtrip),
-    "mart_roundtrip": _q(_mart_roundtrip),
-    "csv_export_roundtrip": _q(_csv_export_roundtrip),
+    "quality_report": lambda i: quality.check_results(i.checked_tables()),
+    "quality_duplicates": lambda i: quality.duplicate_values(i.checked_tables()),
+    "quality_unexpected": lambda i: quality.unexpected_values(i.checked_tables()),
+    "weather_window": _weather_window,
+    "csv_union_roundtrip": _csv_union_roundtrip,
+    "json_observations": _json_observations,
+    "bronze_roundtrip": _bronze_roundtrip,
+    "ledger_roundtrip": _ledger_roundtrip,
+    "mart_roundtrip": _mart_roundtrip,
+    "csv_export_roundtrip": _csv_export_roundtrip,
 }
+QUERIES: dict[str, Query] = {name: _q(build) for name, build in BUILDERS.items()}
