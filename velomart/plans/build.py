@@ -149,8 +149,18 @@ def build_marts(
         for lane in lanes:
             lane()
     else:
+
+        def in_pool(index: int, lane) -> None:
+            # One scheduler pool per lane: with FAIR scheduling a large lane
+            # does not hold every executor while the small marts wait.
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mart-lane-{index}")
+            try:
+                lane()
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
         with ThreadPoolExecutor(max_workers=concurrent_jobs, thread_name_prefix="mart") as pool:
-            futures = [pool.submit(lane) for lane in lanes]
+            futures = [pool.submit(in_pool, k, lane) for k, lane in enumerate(lanes)]
             wait(futures)
         for f in futures:
             f.result()
