@@ -62,15 +62,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``setCheckpointDir``; Spark then reports ``<root>/<application uuid>``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        context = None
+    current = context.getCheckpointDir() if context is not None else None
     if configured:
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
+        if context is not None and not current:
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if current:
         return current.rstrip("/").rsplit("/", 1)[0]
     local_root = tempfile.mkdtemp(prefix="velomart-ckpt-")
-    spark.sparkContext.setCheckpointDir(local_root)
+    if context is not None:
+        context.setCheckpointDir(local_root)
     return local_root
 
 
