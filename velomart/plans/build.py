@@ -153,11 +153,17 @@ def build_marts(
         def in_pool(index: int, lane) -> None:
             # One scheduler pool per lane: with FAIR scheduling a large lane
             # does not hold every executor while the small marts wait.
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"mart-lane-{index}")
+            try:
+                context = spark.sparkContext
+            except Exception:  # Spark Connect: the server schedules
+                context = None
+            if context is not None:
+                context.setLocalProperty("spark.scheduler.pool", f"mart-lane-{index}")
             try:
                 lane()
             finally:
-                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+                if context is not None:
+                    context.setLocalProperty("spark.scheduler.pool", None)
 
         with ThreadPoolExecutor(max_workers=concurrent_jobs, thread_name_prefix="mart") as pool:
             futures = [pool.submit(in_pool, k, lane) for k, lane in enumerate(lanes)]
