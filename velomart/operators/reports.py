@@ -2,8 +2,9 @@
 
 Reports take mart DataFrames plus plain filter objects and return DataFrames.
 No date list is ever collected: the days that survive the day filters restrict
-station and flow facts through a left-semi join (dynamic partition pruning when
-the marts are stored partitioned by date).  Only top-k outputs are bounded.
+station and flow facts through a left-semi join on (trip_month, trip_date),
+which prunes the stored marts' month folders dynamically.  Only top-k outputs
+are bounded.
 """
 
 from __future__ import annotations
