@@ -1,6 +1,8 @@
 """Benchmark: ingest -> build marts -> quality report -> report queries.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENTLOG (optional folder for Spark's event log; summarise it with
+``tools/stage_times.py``).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 The timed work is what a deployment runs: trip and weather rows (derived from
@@ -38,12 +40,12 @@ from velomart.sources.tables import write_bronze  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(
-        f"local[{cpus}]",
-        app_name="velomart-bench",
-        shuffle_partitions=cpus * 2,
-        extra_conf={"spark.driver.memory": "16g", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"},
-    )
+    extra = {"spark.driver.memory": "16g", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    event_dir = os.environ.get("BENCH_EVENTLOG")  # a folder: write Spark's event log there
+    if event_dir:
+        os.makedirs(event_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = build_session(f"local[{cpus}]", app_name="velomart-bench", shuffle_partitions=cpus * 2, extra_conf=extra)
     root = scratch_path(spark, "bench")
     layout = Layout(
         trips_landing=f"{root}/landing/trips",

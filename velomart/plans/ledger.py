@@ -43,6 +43,8 @@ class LoadLedger:
 
     def already_loaded(self, pipeline_name: str, year: int, month: int) -> bool:
         """True if at least one successful load of that month is recorded (stops at the first)."""
+        if not path_exists(self.spark, self.path):
+            return False
         hits = self.successes(pipeline_name).where((F.col("year") == year) & (F.col("month") == month))
         return not hits.limit(1).isEmpty()
 
