@@ -215,3 +215,44 @@ def test_command_line_parses_and_runs(spark, layout):
             argv += [f"--{key.replace('_', '-')}", value]
     assert cli.main(argv) == 0
     assert build.load_marts(spark, layout)["fct_trip_daily"].count() > 0
+
+
+def test_refresh_gate_checks_like_a_full_build(spark, scratch):
+    """A refresh of April must fail on what a full build fails on: a ride id
+    already used in March, and a trip with no start time (it has no month)."""
+    i = Inputs(spark, SF_SMALL)
+    clean = i.bronze_trips.where("member_casual IN ('member', 'casual')").dropna()
+    march = clean.where(F.month("started_at") == 3)
+    april = clean.where(F.month("started_at") == 4)
+    reused = march.limit(1).withColumn("started_at", F.col("started_at") + F.expr("INTERVAL 40 DAYS"))
+    reused = reused.withColumn("ended_at", F.col("ended_at") + F.expr("INTERVAL 40 DAYS"))
+    no_start = april.limit(1).withColumn("ride_id", F.lit("no-start")).withColumn("started_at", F.lit(None))
+
+    def deploy(name, april_rows):
+        root = scratch(name)
+        lay = ingest.Layout(
+            trips_landing=f"{root}/landing/trips",
+            weather_landing=f"{root}/landing/weather",
+            trips_bronze=f"{root}/bronze/trips",
+            weather_bronze=f"{root}/bronze/weather",
+            marts=f"{root}/marts",
+            ledger=f"{root}/state/loads",
+        )
+        landing.write_trip_csv(march, lay.landed(lay.trips_landing, 2024, 3))
+        landing.write_trip_csv(april_rows, lay.landed(lay.trips_landing, 2024, 4))
+        for mm in (3, 4):
+            landing.write_observation_pages(i.observations, lay.landed(lay.weather_landing, 2024, mm))
+        assert monthly_load(spark, lay, 2024, 3)["months"] == [(2024, 3)]
+        return lay
+
+    ok = deploy("gate-ok", april)
+    assert monthly_load(spark, ok, 2024, 4)["months"] == [(2024, 4)]
+
+    shared = deploy("gate-shared", april.unionByName(reused))
+    with pytest.raises(DataQualityError) as err:
+        monthly_load(spark, shared, 2024, 4)
+    assert "stg_trips.ride_id unique: 1 failures" in str(err.value)
+
+    missing = deploy("gate-null", april.unionByName(no_start))
+    with pytest.raises(DataQualityError, match="stg_trips.started_at not_null: 1 failures"):
+        monthly_load(spark, missing, 2024, 4)

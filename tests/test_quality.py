@@ -64,3 +64,20 @@ def test_collected_report_equals_lazy_report(spark):
     lazy = sorted(tuple(r) for r in quality.check_results(tables).collect())
     collected = sorted(tuple(r) for r in quality.collect_check_results(tables))
     assert lazy == collected and len(collected) == 59
+
+
+def test_unique_check_reaches_the_rest_of_a_split_table(spark):
+    schema = "ride_id string, member_casual string"
+    checked = spark.createDataFrame([("a", "member"), ("b", "member"), ("b", "casual"), ("c", "member")], schema)
+    rest = spark.createDataFrame([("a", "member"), ("x", "casual"), ("x", "casual"), (None, "casual")], schema)
+    checks = [quality.Check("t", "ride_id", quality.UNIQUE)]
+    alone = quality.check_results({"t": checked}, checks).collect()
+    assert [r.failures for r in alone] == [1]
+    # "a" is shared with the rest, "b" repeats within the slice; "x" repeats
+    # only within the rest, which passed before, and is not counted again
+    split = quality.check_results({"t": checked}, checks, rest={"t": rest}).collect()
+    assert [r.failures for r in split] == [2]
+    dups = quality.duplicate_values({"t": checked}, checks, rest={"t": rest}).collect()
+    assert sorted((r.value, r.n_records) for r in dups) == [("a", 2), ("b", 2)]
+    rows = quality.collect_check_results({"t": checked}, checks, rest={"t": rest})
+    assert [r.failures for r in rows] == [2]

@@ -129,6 +129,34 @@ def _duplicate_groups(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _duplicate_groups_across(df: DataFrame, rest: DataFrame, column: str) -> DataFrame:
+    """Values of ``column`` in ``df`` seen more than once in ``df`` and ``rest`` together.
+
+    This is the unique check of a table split in a checked slice (``df``) and a
+    rest that passed before: a value duplicated only within the rest cannot have
+    changed.  Both sides go through one exchange; the partial aggregation below
+    it collapses a heavily repeated value map-side, like the plain check.
+    """
+    value = F.col("value")
+    tagged = df.select(F.col(column).alias("value"), F.lit(True).alias("in_slice")).unionByName(
+        rest.select(F.col(column).alias("value"), F.lit(False).alias("in_slice"))
+    )
+    return (
+        tagged.where(value.isNotNull())
+        .groupBy("value")
+        .agg(F.count(F.lit(1)).alias("n_records"), F.bool_or("in_slice").alias("in_slice"))
+        .where((F.col("n_records") > 1) & F.col("in_slice"))
+        .drop("in_slice")
+    )
+
+
+def _unique_groups(tables: dict[str, DataFrame], rest: dict[str, DataFrame] | None, check: Check) -> DataFrame:
+    df = tables[check.table]
+    if rest and check.table in rest:
+        return _duplicate_groups_across(df, rest[check.table], check.column)
+    return _duplicate_groups(df, check.column)
+
+
 def _unexpected_groups(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """Non-null values of ``column`` outside ``values``, with their counts."""
     v = F.col("value")
@@ -140,11 +168,18 @@ def _unexpected_groups(df: DataFrame, column: str, values: Sequence[str]) -> Dat
     )
 
 
-def check_results(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:
+def check_results(
+    tables: dict[str, DataFrame],
+    checks: Sequence[Check] = DECLARED_CHECKS,
+    rest: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """One row per check: table_name, column_name, check_name, failures, passed.
 
     ``failures`` is the number of null rows (not_null), of duplicated values
-    (unique) or of distinct unexpected values (accepted_values).
+    (unique) or of distinct unexpected values (accepted_values).  ``rest`` maps a
+    table to the rows outside the checked slice (a month refresh): its unique
+    checks then also count values shared between the slice and the rest, so the
+    report equals the whole-table one whenever the rest passed before.
     """
     parts: list[DataFrame] = []
     for table, group in _by_table(checks).items():
@@ -155,7 +190,7 @@ def check_results(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLAR
             parts.append(df.agg(F.array(*rows).alias("r")).select(F.inline("r")))
         for c in group:
             if c.kind == UNIQUE:
-                groups = _duplicate_groups(df, c.column)
+                groups = _unique_groups(tables, rest, c)
             elif c.kind == ACCEPTED_VALUES:
                 groups = _unexpected_groups(df, c.column, c.values)
             else:
@@ -165,10 +200,14 @@ def check_results(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLAR
     return report.withColumn("passed", F.col("failures") == 0).select(*REPORT_COLUMNS)
 
 
-def duplicate_values(tables: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS) -> DataFrame:
+def duplicate_values(
+    tables: dict[str, DataFrame],
+    checks: Sequence[Check] = DECLARED_CHECKS,
+    rest: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """Failing rows of the unique checks: table_name, column_name, value, n_records."""
     parts = [
-        _duplicate_groups(tables[c.table], c.column).select(
+        _unique_groups(tables, rest, c).select(
             F.lit(c.table).alias("table_name"),
             F.lit(c.column).alias("column_name"),
             F.col("value").cast("string").alias("value"),
@@ -196,7 +235,10 @@ def unexpected_values(tables: dict[str, DataFrame], checks: Sequence[Check] = DE
 
 
 def collect_check_results(
-    tables: dict[str, DataFrame], checks: Sequence[Check] = DECLARED_CHECKS, concurrent_jobs: int = 8
+    tables: dict[str, DataFrame],
+    checks: Sequence[Check] = DECLARED_CHECKS,
+    concurrent_jobs: int = 8,
+    rest: dict[str, DataFrame] | None = None,
 ) -> list[Row]:
     """The check report as rows, one Spark job per table run concurrently.
 
@@ -205,7 +247,8 @@ def collect_check_results(
     grouped = _by_table(checks)
 
     def one(table: str) -> list[Row]:
-        return check_results({table: tables[table]}, grouped[table]).collect()
+        table_rest = {table: rest[table]} if rest and table in rest else None
+        return check_results({table: tables[table]}, grouped[table], table_rest).collect()
 
     with ThreadPoolExecutor(max_workers=max(1, min(concurrent_jobs, len(grouped)))) as pool:
         parts = list(pool.map(one, grouped))
