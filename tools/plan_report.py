@@ -56,7 +56,9 @@ def main() -> None:
     staged = stage_trips(read_bronze(spark, lay.trips_bronze))
     weather = stage_weather(read_bronze_weather(spark, lay.weather_bronze))
     days = reports.filter_days(m["fct_trip_daily_enriched"], SAMPLE_DAYS)
-    refresh = staged.where(build.in_months("started_at", [(2024, 3)], as_timestamp=True))
+    march = build.in_months("started_at", [(2024, 3)], as_timestamp=True)
+    refresh = staged.where(march)
+    ride_unique = [c for c in quality.checks_for(["stg_trips"]) if c.kind == quality.UNIQUE]
     cases = [
         ("Mart: hourly OD flows from bronze (full rebuild)", marts.flows_hourly(staged), False),
         ("Mart: station daily, refresh of one month", marts.station_daily(refresh), False),
@@ -66,6 +68,9 @@ def main() -> None:
         ("Report: KPIs", reports.kpis(reports.filter_days(m["fct_trip_daily_enriched"])), True),
         ("Check: not-null + unique + accepted values on hourly station facts",
          quality.check_results({"fct_station_hourly": m["fct_station_hourly"]}, quality.checks_for(["fct_station_hourly"])), False),
+        ("Check: ride_id unique in a one-month refresh, against all other months",
+         quality.check_results({"stg_trips": staged.where(march | staged.started_at.isNull())}, ride_unique,
+                               rest={"stg_trips": staged.where(~march)}), False),
     ]
     out = [
         "# Physical plans (generated by `tools/plan_report.py`)\n",
