@@ -32,7 +32,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from velomart.plans.ingest import Layout, ingest_trips_month  # noqa: E402
 from velomart.plans.ledger import LoadLedger  # noqa: E402
 from velomart.sources.landing import write_trip_csv  # noqa: E402
-from velomart.session import build_session, scratch_path  # noqa: E402
+from velomart.session import build_session, clear_scratch, scratch_path  # noqa: E402
 from velomart.sources.seed import read_holidays  # noqa: E402
 from velomart.sources.tables import write_bronze  # noqa: E402
 
@@ -165,6 +165,8 @@ def main() -> None:
             }
         )
     )
+    # The bench deployment (bronze, marts, ledger) is not needed after timing.
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -114,3 +114,16 @@ def test_pivot_order_is_by_seq(spark):
         "obs_date date, datatype string, value double, seq long",
     )
     assert pivot_observations(obs).first().temperature_max_c == 4.0
+
+
+def test_clear_scratch_removes_only_issued_folders(spark, scratch):
+    from velomart.session import clear_scratch
+
+    mine, kept = scratch("mine"), scratch("kept")
+    spark.range(3).write.parquet(mine)
+    spark.range(3).write.parquet(kept)
+    foreign = os.path.join(os.path.dirname(mine), "not-issued")
+    assert clear_scratch(spark, [mine, foreign]) == 1
+    assert not os.path.exists(mine) and os.path.exists(kept)
+    assert clear_scratch(spark, [mine]) == 0
+    assert clear_scratch(spark, [kept]) == 1 and not os.path.exists(kept)

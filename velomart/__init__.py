@@ -10,6 +10,6 @@ Layers, each a set of ``DataFrame -> DataFrame`` functions:
 * ``velomart.streaming`` -- intentionally empty (the workload is batch only).
 """
 
-from velomart.session import build_session, scratch_path
+from velomart.session import build_session, clear_scratch, scratch_path
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "clear_scratch", "scratch_path"]

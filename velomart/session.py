@@ -79,9 +79,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_root
 
 
+# Scratch folders handed out by this process, so that clear_scratch removes
+# only its own and never another application's under the shared folder.
+_ISSUED: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
-    return os.path.join(root, "velomart", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "velomart", f"{name}-{uuid.uuid4().hex[:12]}")
+    _ISSUED.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete scratch folders this process was given (all, or those of ``paths``
+    among them); returns how many existed.
+
+    Call it once the results that read them (round-trip queries, exports) have
+    been collected.  A path not issued by :func:`scratch_path` here is never
+    touched.  Deletion goes through the Hadoop file system of each path, so it
+    works on shared storage; a Spark Connect session has no handle to it and
+    deletes nothing.
+    """
+    try:
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return 0
+    chosen = [p for p in _ISSUED if paths is None or p in paths]
+    removed = 0
+    for issued in chosen:
+        _ISSUED.remove(issued)
+        path = jvm.org.apache.hadoop.fs.Path(issued)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed += 1
+    return removed
