@@ -10,6 +10,8 @@ report independently in SQL.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -32,8 +34,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return QUERIES["daily_enriched"](spark, FLAGSHIP_SF_DIR)
 
 
+def _installed(*names: str) -> bool:
+    """Whether all these modules are there, looked up without importing them."""
+    for name in names:
+        parent = name.rpartition(".")[0]
+        if (parent and not _installed(parent)) or importlib.util.find_spec(name) is None:
+            return False
+    return True
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and oracle SQL of the training-data subpackage and its pipeline,
+    both empty where they are not installed."""
+    found, sql = {}, {}
+    if _installed("velomart.llm.queries"):
+        module = importlib.import_module("velomart.llm.queries")
+        found, sql = dict(module.QUERIES), dict(module.ORACLE_SQL)
+        if _installed("corpus_pipeline"):
+            pipeline = importlib.import_module("corpus_pipeline")
+            found["pipeline"] = pipeline.run
+            if pipeline.ORACLE_SQL:
+                sql["pipeline"] = pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_training_data()[0]}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -478,5 +504,5 @@ FROM trips_raw""",
     }
     missing = set(QUERIES) - set(sql)
     assert not missing, f"queries without oracle: {sorted(missing)}"
-    return sql
+    return {**sql, **_training_data()[1]}
 
