@@ -6,13 +6,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding
 from .common import read_table
 
 SHARDS = 24
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    found = decontamination.contamination(docs, items)
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -22,7 +30,41 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op9_shard_documents": op9_shard_documents,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+#: ASCII capitals and their small letters.
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_OP1_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT cast(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)
+), hit AS (
+  SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.s = bw.s
+), n_hit AS (
+  SELECT r, count(DISTINCT p) AS k FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS k, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit.k, 0) AS n_hit, coalesce(items.k, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(n_hit.k, 0) > 0 AND 20 * coalesce(n_hit.k, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": _OP1_SQL,
+}
