@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding
+from . import decontamination, mixing, sharding, warc
 from .common import read_table
 
 SHARDS = 24
@@ -29,10 +29,16 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=SHARDS)
 
 
+def op10_write_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_pages(read_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op9_shard_documents": op9_shard_documents,
+    "op10_write_warc": op10_write_warc,
 }
 
 #: ASCII capitals and their small letters.
@@ -65,6 +71,18 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit.k, 0) AS n_hit, coalesce(it
        coalesce(n_hit.k, 0) > 0 AND 20 * coalesce(n_hit.k, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)"""
 
+_OP10_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _OP1_SQL,
+    "op10_write_warc": _OP10_SQL,
 }
