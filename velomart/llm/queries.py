@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, warc
+from . import decontamination, mixing, sharding, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
+TOKENIZER = "word_bpe_49k.json"
+CONTEXT_TOKENS = 2048
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(TOKENIZER)
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path, budget=CONTEXT_TOKENS)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +45,7 @@ def op10_write_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_count_tokens": op2_count_tokens,
     "op6_mix_sources": op6_mix_sources,
     "op9_shard_documents": op9_shard_documents,
     "op10_write_warc": op10_write_warc,
