@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, token_counts, warc
+from . import decontamination, language_id, mixing, sharding, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
@@ -30,6 +30,13 @@ def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path, budget=CONTEXT_TOKENS)
 
 
+def op5_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    apart = language_id.held_out("doc_id")
+    model = language_id.train(docs, ~apart)
+    return language_id.identify(docs, model, extra={"held_out": apart})
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,7 @@ def op10_write_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_count_tokens": op2_count_tokens,
+    "op5_identify_language": op5_identify_language,
     "op6_mix_sources": op6_mix_sources,
     "op9_shard_documents": op9_shard_documents,
     "op10_write_warc": op10_write_warc,
