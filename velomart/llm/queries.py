@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, mixing, sharding, token_counts, warc
+from . import decontamination, jaccard_join, language_id, mixing, sharding, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
@@ -41,6 +41,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.JaccardJoin(read_table(spark, sf_dir, "documents"), n=4, percent=85).components()
+
+
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=SHARDS)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_count_tokens": op2_count_tokens,
     "op5_identify_language": op5_identify_language,
     "op6_mix_sources": op6_mix_sources,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_shard_documents": op9_shard_documents,
     "op10_write_warc": op10_write_warc,
 }
@@ -100,7 +105,28 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
 FROM f"""
 
+_OP7_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _OP1_SQL,
+    "op7_jaccard_join": _OP7_SQL,
     "op10_write_warc": _OP10_SQL,
 }
