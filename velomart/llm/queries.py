@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, mixing, sharding, token_counts, warc
+from . import decontamination, embedding_join, jaccard_join, language_id, mixing, sharding, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
@@ -30,6 +30,10 @@ def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), path, budget=CONTEXT_TOKENS)
 
 
+def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     apart = language_id.held_out("doc_id")
@@ -57,6 +61,7 @@ def op10_write_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_count_tokens": op2_count_tokens,
+    "op3_embedding_join": op3_embedding_join,
     "op5_identify_language": op5_identify_language,
     "op6_mix_sources": op6_mix_sources,
     "op7_jaccard_join": op7_jaccard_join,
@@ -105,6 +110,27 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
 FROM f"""
 
+_OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, cast(embedding AS DOUBLE[]) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_sum([abs(x) FOR x IN e]) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), c AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)"""
+
 _OP7_SQL = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -127,6 +153,7 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _OP1_SQL,
+    "op3_embedding_join": _OP3_SQL,
     "op7_jaccard_join": _OP7_SQL,
     "op10_write_warc": _OP10_SQL,
 }
