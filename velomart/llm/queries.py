@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embedding_join, jaccard_join, language_id, mixing, sharding, token_counts, warc
+from . import decontamination, embedding_join, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
@@ -49,6 +49,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.JaccardJoin(read_table(spark, sf_dir, "documents"), n=4, percent=85).components()
 
 
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
+
+
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"), shards=SHARDS)
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_identify_language": op5_identify_language,
     "op6_mix_sources": op6_mix_sources,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_remove_repeats": op8_remove_repeats,
     "op9_shard_documents": op9_shard_documents,
     "op10_write_warc": op10_write_warc,
 }
