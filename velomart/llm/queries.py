@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embedding_join, jaccard_join, language_id, mixing, sharding, suffix_dedup, token_counts, warc
+from . import decontamination, embedding_join, jaccard_join, language_id, licenses, mixing, sharding, suffix_dedup, token_counts, warc
 from .common import read_table
 
 SHARDS = 24
@@ -34,6 +34,12 @@ def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op4_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    files = docs.select("doc_id", licenses.document_path().alias("path"), "text")
+    return licenses.scan(files, extra={"doc_id": F.col("doc_id")})
+
+
 def op5_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     apart = language_id.held_out("doc_id")
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_count_tokens": op2_count_tokens,
     "op3_embedding_join": op3_embedding_join,
+    "op4_scan_licenses": op4_scan_licenses,
     "op5_identify_language": op5_identify_language,
     "op6_mix_sources": op6_mix_sources,
     "op7_jaccard_join": op7_jaccard_join,
