@@ -358,12 +358,13 @@ class JaccardJoin:
         return first.union(self._linked(pairs, "cross"))
 
     def components(self) -> DataFrame:
-        """doc_id, the extra columns, n_shingles and component_id of each row."""
+        """doc_id, the extra columns, n_shingles, component_id and root (the component's
+        key, null for an empty set) of each row."""
         groups = connected_components(self.links())
         rooted = self.nodes.select("node", "least").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = rooted.join(least, "root").select(F.col("node").alias("v"), "component_id")
+        named = rooted.join(least, "root").select(F.col("node").alias("v"), "root", "component_id")
         return (
             self.documents.join(named, F.col("node") == F.col("v"), "left")
-            .select("doc_id", *self.extra, F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+            .select("doc_id", *self.extra, F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
         )

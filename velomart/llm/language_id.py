@@ -230,7 +230,7 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     return Model(samples)
 
 
-def _predict(sent):
+def _predict(sent, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
@@ -242,18 +242,19 @@ def _predict(sent):
                     texts.append(column[first + len(texts)].as_py())
                     size += len(texts[-1] or "")
                 langs, scores = model.predict(texts)
-                out = [batch.column(n).slice(first, len(texts)) for n in batch.schema.names if n != "text"]
-                names = [n for n in batch.schema.names if n != "text"]
+                names = [n for n in batch.schema.names if n != "text" or keep_text]
+                out = [batch.column(n).slice(first, len(texts)) for n in names]
                 yield pa.RecordBatch.from_arrays([*out, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
                 first += len(texts)
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
-    """doc_id, the columns ``extra``, lang_pred and score of each row."""
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None, keep_text: bool = False) -> DataFrame:
+    """doc_id, the columns ``extra``, lang_pred and score of each row, and text with
+    ``keep_text``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("doc_id"), *(c.alias(n) for n, c in (extra or {}).items()), F.col(text_col).cast("string").alias("text"))
-    fields = [f for f in rows.schema if f.name != "text"]
+    fields = [f for f in rows.schema if f.name != "text" or keep_text]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predict(sent), schema)
+    return rows.mapInArrow(_predict(sent, keep_text), schema)

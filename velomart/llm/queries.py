@@ -52,7 +52,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.JaccardJoin(read_table(spark, sf_dir, "documents"), n=4, percent=85).components()
+    return jaccard_join.JaccardJoin(read_table(spark, sf_dir, "documents"), n=4, percent=85).components().drop("root")
 
 
 def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
