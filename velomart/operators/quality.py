@@ -139,7 +139,9 @@ def _duplicate_groups_across(df: DataFrame, rest: DataFrame, column: str) -> Dat
     """
     value = F.col("value")
     tagged = df.select(F.col(column).alias("value"), F.lit(True).alias("in_slice")).unionByName(
-        rest.select(F.col(column).alias("value"), F.lit(False).alias("in_slice"))
+        # Only ids that the slice has go into the grouping: the join's build side is the
+        # slice, of which Spark sends a Bloom filter to the scan of the rest.
+        rest.select(F.col(column).alias("value")).join(df.select(F.col(column).alias("value")), "value", "left_semi").select("value", F.lit(False).alias("in_slice"))
     )
     return (
         tagged.where(value.isNotNull())

@@ -4,14 +4,15 @@ Marts are parquet tables under ``layout.marts``, each stored in month folders
 (``trip_month=YYYY-MM-01``).  Two modes:
 
 * full rebuild (``months=None``): every mart is recomputed from all of bronze
-  and replaced (static overwrite drops months that no longer exist);
+  and replaced as a whole;
 * month refresh (``months=[(year, month), ...]``): only those trip months are
   recomputed -- bronze is read through a ``started_at`` range that parquet
-  pushes down -- and only their folders are replaced (dynamic partition
-  overwrite).  Every mart row belongs to the month of its trip date, so a
-  refresh gives the same rows as a full rebuild for those months, while a
-  monthly run reads one month of history instead of all of it.
+  pushes down, and, where ``partitions`` says which landed months hold them, only
+  from those folders -- and only their folders are replaced, or removed where no row
+  is left.  Every mart row belongs to the month of its trip date, so a refresh gives
+  the same rows as a full rebuild for those months.
 
+Every mart is written aside, checked, and then takes the stored one's place.
 Downstream marts read their inputs back from the written tables, which cuts
 the lineage at every stage.  A failing check stops its lane before anything
 downstream is written.
@@ -77,10 +78,10 @@ def _month_folders(months: Months) -> Column:
     return F.col(TRIP_MONTH).isin(*[a for a, _ in _month_bounds(months)])
 
 
-# Tables whose unique key (ride_id) is not a function of the trip month: in a
-# refresh their unique check also reaches the months that were not refreshed.
-# Every other unique key is a date, so it cannot repeat across months.
-_KEYED_ACROSS_MONTHS = ("stg_trips", "fct_trips")
+def _landed_in(partitions: Months) -> Column:
+    """Bronze folders of these landed months (partition columns, so others are not listed)."""
+    pairs = [(F.col("year").cast("int") == y) & (F.col("month").cast("int") == m) for y, m in sorted(set(partitions))]
+    return reduce(lambda x, y: x | y, pairs, F.lit(False))
 
 
 def _gate(tables: dict[str, DataFrame], rest: dict[str, DataFrame] | None = None) -> None:
@@ -97,20 +98,26 @@ def _materialise(
     check: bool,
     months: Months | None = None,
 ) -> DataFrame:
-    """Write one mart (all months, or just ``months``) and return what was written."""
+    """Write one mart (all months, or just ``months``) and return what was written.
+
+    The rows are checked before they take the place of the stored ones.  Unique ride
+    ids need no second check on the facts, which are a subset of the staged trips.
+    """
     path = mart_path(layout, name)
     stored_df = with_trip_month(df)
-    write_mart(stored_df, path, marts.mart_sort_keys(name), [TRIP_MONTH], dynamic=months is not None)
+    folders = None if months is None else [f"{TRIP_MONTH}={first.isoformat()}" for first, _ in _month_bounds(months)]
+    write_mart(
+        stored_df,
+        path,
+        marts.mart_sort_keys(name),
+        [TRIP_MONTH],
+        replaced=folders,
+        check=(lambda rows: _gate({name: rows})) if check else None,
+        # Trip facts come from bronze months as they are stored; the others are aggregates.
+        rebalance=name != "fct_trips",
+    )
     stored = read_mart(spark, path, schema=stored_df.schema)
-    rest = None
-    if months is not None:
-        refreshed = _month_folders(months)
-        if name in _KEYED_ACROSS_MONTHS:
-            rest = {name: stored.where(~F.coalesce(refreshed, F.lit(False)))}
-        stored = stored.where(refreshed)
-    if check:
-        _gate({name: stored}, rest)
-    return stored
+    return stored if months is None else stored.where(_month_folders(months))
 
 
 def build_marts(
@@ -119,6 +126,7 @@ def build_marts(
     check: bool = True,
     concurrent_jobs: int = 5,
     months: Months | None = None,
+    partitions: Months | None = None,
 ) -> dict[str, str]:
     """Rebuild every mart (or refresh ``months``); returns mart name -> path.
 
@@ -127,6 +135,7 @@ def build_marts(
     from driver threads (Spark's scheduler interleaves their stages on the
     executors).  Any failure -- a task error or a failed check -- is raised
     after the running lanes finish; nothing downstream of a failed lane runs.
+    ``partitions`` are the landed months that hold trips of ``months`` (default: any).
     """
     if months is not None and not months:
         return {name: mart_path(layout, name) for name in MART_ORDER}
@@ -140,7 +149,10 @@ def build_marts(
     else:
         trip_slice = in_months("started_at", months, as_timestamp=True)
         day_slice = in_months("weather_date", months, as_timestamp=False)
-        staged = all_staged.where(trip_slice)
+        bronze = read_bronze_trips(spark, layout.trips_bronze)
+        if partitions is not None:
+            bronze = bronze.where(_landed_in(partitions))
+        staged = stage_trips(bronze).where(trip_slice)
         weather = all_weather.where(day_slice)
         if check:
             # A refresh checks what a full build would: the refreshed months plus
@@ -216,12 +228,6 @@ def trip_months_in_partition(spark: SparkSession, layout: Layout, year: int, mon
     return sorted((r.y, r.m) for r in rows)
 
 
-def trips_exist(spark: SparkSession, layout: Layout, months: Months) -> bool:
-    """True if bronze holds at least one trip starting in ``months`` (stops at the first)."""
-    trips = read_bronze_trips(spark, layout.trips_bronze).where(in_months("started_at", months, as_timestamp=True))
-    return not trips.select("started_at").limit(1).isEmpty()
-
-
 def mart_schemas(spark: SparkSession) -> dict[str, StructType]:
     """Stored schema of every mart (with ``trip_month``), from the builders
     applied to empty inputs -- analysis only, no data is read."""

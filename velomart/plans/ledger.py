@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from velomart.schemas import LEDGER_SCHEMA
 from velomart.sources.tables import path_exists
 
-SUCCESS, FAILED = "success", "failed"
+SUCCESS, FAILED, STALE = "success", "failed", "stale"
 
 
 class LoadLedger:
@@ -37,6 +37,18 @@ class LoadLedger:
         row = [(pipeline_name, int(year), int(month), output_path, status, now)]
         self.append(self.spark.createDataFrame(row, LEDGER_SCHEMA))
 
+    def record_all(self, pipeline_name: str, months, output_path: str, status: str) -> None:
+        """Append one event for each (year, month)."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = [(pipeline_name, int(y), int(m), output_path, status, now) for y, m in sorted(set(months))]
+        if rows:
+            self.append(self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1))
+
+    def latest(self, pipeline_name: str) -> DataFrame:
+        """(year, month, status) of the latest event of each month."""
+        rows = self.read().where(F.col("pipeline_name") == pipeline_name)
+        return rows.groupBy("year", "month").agg(F.max(F.struct("loaded_at", "status"))["status"].alias("status"))
+
     def successes(self, pipeline_name: str | None = None) -> DataFrame:
         ok = self.read().where(F.col("status") == SUCCESS)
         return ok.where(F.col("pipeline_name") == pipeline_name) if pipeline_name else ok

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from velomart.plans.build import build_marts, trip_months_in_partition, trips_exist
+from velomart.plans.build import build_marts, mart_path, MART_ORDER, trip_months_in_partition
 from velomart.plans.ingest import (
     LOADED,
     TRIPS_PIPELINE,
@@ -16,9 +16,17 @@ from velomart.plans.ingest import (
     ingest_trips_month,
     ingest_weather_month,
 )
-from velomart.plans.ledger import LoadLedger, pending_months
+from velomart.plans.ledger import STALE, SUCCESS, LoadLedger, pending_months
 from velomart.sources.tables import month_partition, path_exists
 
+# Events of the marts: a trip month is stale from before a load that touches it until a
+# build of it has passed its checks.
+MARTS_PIPELINE = "marts"
+# Which trip months a landed month holds: one event for each of them.
+_SPAN = "span {:04d}-{:02d}"
+
+Month = tuple[int, int]
+
 
 def previous_month_of(as_of: dt.date | None = None) -> tuple[int, int]:
     """(year, month) before ``as_of`` (default: today in UTC) -- the month a
@@ -49,20 +57,78 @@ def monthly_load(
     if year is None or month is None:
         year, month = previous_month_of()
     ledger = LoadLedger(spark, layout.ledger)
+    trips, weather, touched = _load(spark, layout, ledger, year, month, force, station)
+    marts, months = _build_stale(spark, layout, ledger, check, touched, full_rebuild)
+    return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}
+
+
+def _load(
+    spark: SparkSession, layout: Layout, ledger: LoadLedger, year: int, month: int, force: bool, station: str | None
+) -> tuple[str, str, set[Month]]:
+    """Loads a landed month; returns both outcomes and the trip months it touches."""
     partition = month_partition(layout.trips_bronze, year, month)
-    before: set[tuple[int, int]] = set()
+    before: set[Month] = set()
     if path_exists(spark, partition):
         before = set(trip_months_in_partition(spark, layout, year, month))
+    if force or not before:
+        # What the load may change is marked first: a load or build that fails later
+        # leaves the mark, and the next run builds these months.
+        ledger.record_all(MARTS_PIPELINE, before | {(year, month)}, layout.marts, STALE)
     trips = ingest_trips_month(spark, layout, ledger, year, month, force)
+    after = before
+    if trips == LOADED:
+        after = set(trip_months_in_partition(spark, layout, year, month))
+        ledger.record_all(_SPAN.format(year, month), after, partition, SUCCESS)
+        ledger.record_all(MARTS_PIPELINE, before | after | {(year, month)}, layout.marts, STALE)
     weather = ingest_weather_month(spark, layout, ledger, year, month, force, station)
-    after = set(trip_months_in_partition(spark, layout, year, month)) if trips == LOADED else before
-    touched = {(year, month)} | before | after
-    # A month folder can only be dropped by a full rebuild: fall back to one if
-    # the reload left a previously populated trip month with no trips at all.
-    vanished = [m for m in sorted(before - after) if not trips_exist(spark, layout, [m])]
-    months = None if (full_rebuild or vanished) else sorted(touched)
-    marts = build_marts(spark, layout, check, months=months)
-    return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}
+    if weather == LOADED:
+        ledger.record_all(MARTS_PIPELINE, [(year, month)], layout.marts, STALE)
+    return trips, weather, {(year, month)} | before | after
+
+
+def _stale_months(spark: SparkSession, layout: Layout, ledger: LoadLedger) -> set[Month]:
+    """Trip months whose marts are behind: marked stale since the last checked build, or
+    loaded and never built.  One row for each calendar month, so collecting is bounded."""
+    latest = ledger.latest(MARTS_PIPELINE)
+    stale = {(r.year, r.month) for r in latest.where(F.col("status") != SUCCESS).collect()}
+    loaded = ledger.successes(TRIPS_PIPELINE).select("year", "month").distinct()
+    stale |= {(r.year, r.month) for r in loaded.join(latest, ["year", "month"], "left_anti").collect()}
+    for year, month in sorted(stale):
+        if path_exists(spark, month_partition(layout.trips_bronze, year, month)):
+            stale |= set(trip_months_in_partition(spark, layout, year, month))
+    return stale
+
+
+def _landed_with(ledger: LoadLedger, months: set[Month]) -> list[Month] | None:
+    """Landed months that hold trips of ``months``, by the spans recorded at their loads;
+    None if a landed month has no recorded span.  Bounded by the calendar."""
+    landed = {(r.year, r.month) for r in ledger.successes(TRIPS_PIPELINE).select("year", "month").distinct().collect()}
+    spans: dict[Month, set[Month]] = {}
+    rows = ledger.successes().where(F.col("pipeline_name").startswith("span ")).select("pipeline_name", "year", "month").distinct()
+    for r in rows.collect():
+        y, _, m = r.pipeline_name.removeprefix("span ").partition("-")
+        spans.setdefault((int(y), int(m)), set()).add((r.year, r.month))
+    if landed - set(spans):
+        return None
+    return sorted(month for month, held in spans.items() if held & months)
+
+
+def _build_stale(
+    spark: SparkSession, layout: Layout, ledger: LoadLedger, check: bool, touched: set[Month], full_rebuild: bool = False
+) -> tuple[dict[str, str], list[Month] | None]:
+    """Builds the months that a run touched and those that earlier runs left stale; they
+    count as built once every check has passed."""
+    months = touched | _stale_months(spark, layout, ledger)
+    if not months:
+        return {}, []
+    marts_there = all(path_exists(spark, mart_path(layout, name)) for name in MART_ORDER)
+    everything = full_rebuild or not marts_there
+    if everything:
+        marts = build_marts(spark, layout, check)
+    else:
+        marts = build_marts(spark, layout, check, months=sorted(months), partitions=_landed_with(ledger, months))
+    ledger.record_all(MARTS_PIPELINE, months, layout.marts, SUCCESS)
+    return marts, None if full_rebuild else sorted(months)
 
 
 def requested_months(spark: SparkSession, pipelines: list[str], first: tuple[int, int], last: tuple[int, int]):
@@ -91,20 +157,18 @@ def backfill(
     The pending months come from the set form of the ledger test (requested
     months anti-joined with successful loads), one row per month, so the list
     the driver walks is bounded by the calendar.  Marts are then refreshed once
-    for all touched trip months.
+    for all touched trip months, and for those that an earlier run loaded but did
+    not build (it failed on a later month, or on a check).
     """
     ledger = LoadLedger(spark, layout.ledger)
     requested = requested_months(spark, [TRIPS_PIPELINE, WEATHER_PIPELINE], first, last)
     pending = pending_months(requested, ledger.read()).collect()
     todo = sorted({(r.year, r.month) for r in pending})
-    touched: set[tuple[int, int]] = set()
+    touched: set[Month] = set()
     results = {}
     for year, month in todo:
-        trips = ingest_trips_month(spark, layout, ledger, year, month)
-        weather = ingest_weather_month(spark, layout, ledger, year, month, station=station)
+        trips, weather, months = _load(spark, layout, ledger, year, month, False, station)
         results[(year, month)] = (trips, weather)
-        touched.add((year, month))
-        if trips == LOADED:
-            touched |= set(trip_months_in_partition(spark, layout, year, month))
-    marts = build_marts(spark, layout, check, months=sorted(touched)) if touched else {}
-    return {"loaded": results, "months": sorted(touched), "marts": marts}
+        touched |= months
+    marts, built = _build_stale(spark, layout, ledger, check, touched)
+    return {"loaded": results, "months": built, "marts": marts}
