@@ -253,6 +253,14 @@ _FLOW_SUMS = """cast(sum(trip_count) AS BIGINT) AS trip_count,
 _ALL_DAYS = "trip_date IN (SELECT trip_date FROM enriched)"
 
 
+def _rounded(source: str, columns: tuple[str, ...]) -> str:
+    """``source`` with mean coordinates as group keys of 6 decimal places."""
+    return f"(SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in columns)}) FROM {source}) AS r"
+
+
+_ROUNDED_FLOWS = _rounded("flows_daily", ("start_lat", "start_lng", "end_lat", "end_lng"))
+
+
 def _nulls_last(cols: str) -> str:
     return ", ".join(f"{c.strip()} ASC NULLS LAST" for c in cols.split(","))
 
@@ -298,7 +306,7 @@ _STATION_NOT_MISSING = (
 def _station_activity(source: str, where: str, limit: int, cols: str = "") -> str:
     return f"""
 SELECT {cols or _STATION_KEYS + ','} {_FLOW_SUMS}
-FROM {source}
+FROM {_rounded(source, ("lat", "lon"))}
 WHERE {where} AND {_STATION_NOT_MISSING}
 GROUP BY {_STATION_KEYS}
 ORDER BY trip_count DESC, {_nulls_last(_STATION_KEYS)}
@@ -381,7 +389,7 @@ def _bodies() -> dict[str, str]:
     hourly_sel = f"FROM station_hourly WHERE {_ALL_DAYS} AND {_hour_filter(all_hours)}"
     top_daily = f"""
 SELECT {_FLOW_COLS}, {_FLOW_SUMS}
-FROM flows_daily
+FROM {_ROUNDED_FLOWS}
 WHERE {_ALL_DAYS}
 GROUP BY {_FLOW_COLS}
 ORDER BY trip_count DESC, {_nulls_last(_FLOW_COLS)}
@@ -427,7 +435,7 @@ WHERE trip_date IS NOT NULL AND total_trips IS NOT NULL AND temperature_max_c IS
         "daily_series": "SELECT trip_date, total_trips, member_trips, casual_trips FROM enriched",
         "listed_days_flows": f"""
 SELECT {_FLOW_COLS}, {_FLOW_SUMS}
-FROM flows_daily
+FROM {_ROUNDED_FLOWS}
 WHERE trip_date IN (SELECT trip_date FROM enriched
                     WHERE trip_date IN ({", ".join(f"DATE {_q(d)}" for d in LISTED_DAYS.dates)}))
 GROUP BY {_FLOW_COLS}

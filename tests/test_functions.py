@@ -4,20 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from velomart.functions import (
-    flow_weight,
-    guarded_share,
-    hour_bucket,
-    is_rush_hour,
-    is_weekend,
-    minute_boundaries_between,
-    month_window,
-    month_window_values,
-    previous_month,
-    season,
-    yyyymm,
-    zero_pad_month,
-)
+from velomart.functions.calendar import is_weekend, season
+from velomart.functions.daypart import hour_bucket, is_rush_hour
+from velomart.functions.metrics import flow_weight, guarded_share
+from velomart.functions.time import minute_boundaries_between, month_window, month_window_values, previous_month, yyyymm, zero_pad_month
 from velomart.functions.calendar import day_name, month_name, month_number
 from velomart.plans.monthly import previous_month_of
 

@@ -7,7 +7,6 @@ import pytest
 
 from velomart.catalog import SAMPLE_DAYS, Inputs
 from velomart.operators import marts, reports
-from velomart.operators.joins import broadcast_if_within
 from velomart.operators.staging import stage_trips
 from velomart.operators.weather import pivot_observations
 from velomart.plans import build, ingest
@@ -68,12 +67,12 @@ def test_day_selection_prunes_month_folders(spark, stored):
     assert "TakeOrderedAndProject" in p
 
 
-def test_holiday_seed_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in plan(broadcast_if_within(small, 100).join(spark.range(1000), "id")).lower()
-    big = broadcast_if_within(spark.range(1000), 100)
-    joined = spark.range(100_000).join(big.hint("merge"), "id")
-    assert "SortMergeJoin" in plan(joined)
+def test_schemas_of_marts_run_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("schemas", "schemas")
+    build.mart_schemas(spark)
+    assert not tracker.getJobIdsForGroup("schemas")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_reports_use_no_python_udf(spark, stored):

@@ -6,7 +6,9 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from velomart.functions import hour_bucket, is_rush_hour, is_weekend, minute_boundaries_between, season
+from velomart.functions.calendar import is_weekend, season
+from velomart.functions.daypart import hour_bucket, is_rush_hour
+from velomart.functions.time import minute_boundaries_between
 from velomart.functions.calendar import day_name, month_name
 from velomart.functions.time import month_window, month_window_values
 

@@ -127,3 +127,61 @@ def test_clear_scratch_removes_only_issued_folders(spark, scratch):
     assert not os.path.exists(mine) and os.path.exists(kept)
     assert clear_scratch(spark, [mine]) == 0
     assert clear_scratch(spark, [kept]) == 1 and not os.path.exists(kept)
+
+
+HEADER = "ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,end_station_id,start_lat,start_lng,end_lat,end_lng,member_casual"
+ROW = "A1,classic_bike,2024-03-01 10:00:00,2024-03-01 10:10:00,S,1,T,2,40.1,-74.1,40.2,-74.2,member"
+
+
+def test_header_names_match_in_any_case(spark, scratch):
+    root = scratch("case")
+    _write(f"{root}/a.csv", HEADER.replace("ride_id", "Ride_ID") + "\n" + ROW + "\n")
+    df = read_trip_csvs(spark, root)
+    assert df.first().ride_id == "A1" and df.columns.count("ride_id") == 1 and len(df.columns) == 13
+
+
+def test_declared_column_absent_from_all_files_fails(spark, scratch):
+    root = scratch("absent")
+    _write(f"{root}/a.csv", "x,y\n1,2\n")
+    with pytest.raises(ValueError, match="ride_id"):
+        read_trip_csvs(spark, root)
+
+
+def test_quoted_line_break_and_short_row(spark, scratch):
+    root = scratch("quoted")
+    _write(f"{root}/a.csv", HEADER + "\n" + ROW.replace(",S,", ',"S\nquay",') + "\n")
+    assert [r.start_station_name for r in read_trip_csvs(spark, root).select("start_station_name").collect()] == ["S\nquay"]
+    short = scratch("short")
+    _write(f"{short}/a.csv", HEADER + "\n" + ROW + "\nA2,classic_bike\n")
+    for broken in (read_trip_csvs(spark, short).select("ride_id"), read_trip_csvs(spark, short, multi_line=False)):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            broken.collect()
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_trip_csvs(spark, short).count()
+
+
+def test_space_in_a_landing_path(spark, scratch):
+    root = scratch("space") + "/my folder"
+    _write(f"{root}/a file.csv", HEADER + "\n" + ROW + "\n")
+    assert read_trip_csvs(spark, root).count() == 1
+
+
+def test_truncated_page_and_page_without_results_fail(spark, scratch):
+    for name, text in (("cut", '{"results": [{"date": "2024-03-01T00:00:00", "datatype"'), ("none", '{"error": 1}')):
+        root = scratch(name)
+        _write(f"{root}/page-1.json", text)
+        with pytest.raises(Exception, match="MALFORMED|Malformed|no results"):
+            read_observation_pages(spark, root).collect()
+
+
+def test_pages_are_few_files_and_pivot_hashes(spark, scratch):
+    from velomart.operators.weather import pivot_observations
+    from velomart.sources.landing import write_observation_pages
+
+    obs = spark.range(5000).selectExpr("date'2024-03-01' AS obs_date", "'TMAX' AS datatype", "cast(id AS double) AS value", "id AS seq")
+    root = scratch("pages")
+    write_observation_pages(obs, root, page_size=10)
+    assert len([f for f in os.listdir(root) if f.startswith("part-")]) <= 8
+    wide = pivot_observations(read_observation_pages(spark, root))
+    assert wide.first().temperature_max_c == 0.0
+    assert "SortAggregate" not in wide._jdf.queryExecution().executedPlan().toString()

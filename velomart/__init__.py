@@ -7,7 +7,6 @@ Layers, each a set of ``DataFrame -> DataFrame`` functions:
 * ``velomart.functions`` -- Column helpers (time, calendar, day part, ratios).
 * ``velomart.operators`` -- staging, marts, weather pivot, reports, quality checks.
 * ``velomart.plans``     -- jobs that write: load ledger, monthly ingest, build-all.
-* ``velomart.streaming`` -- intentionally empty (the workload is batch only).
 """
 
 from velomart.session import build_session, clear_scratch, scratch_path

@@ -1,47 +1 @@
 """Column helpers: every derived value is a built-in Spark expression (no UDFs)."""
-
-from velomart.functions.calendar import (
-    DAY_NAMES,
-    MONTH_NAMES,
-    day_name,
-    is_weekend,
-    month_name,
-    month_number,
-    season,
-)
-from velomart.functions.daypart import HOUR_BUCKETS, hour_bucket, is_rush_hour, trip_hour
-from velomart.functions.metrics import flow_weight, guarded_share
-from velomart.functions.time import (
-    iso_date_text,
-    minute_boundaries_between,
-    month_window,
-    month_window_values,
-    previous_month,
-    trip_day,
-    yyyymm,
-    zero_pad_month,
-)
-
-__all__ = [
-    "DAY_NAMES",
-    "HOUR_BUCKETS",
-    "MONTH_NAMES",
-    "day_name",
-    "flow_weight",
-    "guarded_share",
-    "hour_bucket",
-    "is_rush_hour",
-    "is_weekend",
-    "iso_date_text",
-    "minute_boundaries_between",
-    "month_name",
-    "month_number",
-    "month_window",
-    "month_window_values",
-    "previous_month",
-    "season",
-    "trip_day",
-    "trip_hour",
-    "yyyymm",
-    "zero_pad_month",
-]

@@ -1,4 +1,4 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helpers on days and month folders."""
 
 from __future__ import annotations
 
@@ -6,19 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
-
-    The check is a bounded job (``limit(max_rows + 1).count()``), so it never
-    scans more than the bound.  Above the bound the frame is returned as is and
-    the planner / AQE choose a shuffle join from runtime statistics.  Use it for
-    dimensions whose source is cheap to count (seeds, small files), not for the
-    output of a large aggregation.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 TRIP_MONTH = "trip_month"
 
 

@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 from velomart.functions.calendar import day_name, is_weekend, month_name, month_number, season
 from velomart.functions.daypart import hour_bucket, is_rush_hour, trip_hour
 from velomart.functions.time import minute_boundaries_between, trip_day
-from velomart.operators.joins import broadcast_if_within
 from velomart.schemas import WEATHER_MEASURES
-from velomart.sources.seed import HOLIDAY_SEED_MAX_ROWS
 
 
 def _rider_counts() -> list[Column]:
@@ -222,13 +220,11 @@ def daily_enriched(daily: DataFrame, weather: DataFrame, holidays: DataFrame) ->
 
     Both ``daily`` and the weather pivot come out of aggregations keyed by the
     date, so the weather join needs no extra shuffle, and AQE turns it into a
-    broadcast join when the runtime size of either side is small.  The holiday
-    seed is broadcast only after its row count is checked.
+    broadcast join when the runtime size of either side is small; the same holds for
+    the holiday seed.
     """
     w = weather.select(F.col("weather_date"), *WEATHER_MEASURES)
-    h = broadcast_if_within(
-        holidays.select("holiday_date", "holiday_name", "is_holiday"), HOLIDAY_SEED_MAX_ROWS
-    )
+    h = holidays.select("holiday_date", "holiday_name", "is_holiday")
     d = F.col("trip_date")
     return (
         daily.join(w, d == F.col("weather_date"), "left")

@@ -220,12 +220,22 @@ def _ranked(df: DataFrame, tie_keys: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+#: Decimal places at which mean coordinates are one group key: about 0.1 m, above the
+#: last digits that the order of a float sum leaves open.
+COORDINATE_DIGITS = 6
+
+
+def _rounded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), COORDINATE_DIGITS) for c in columns})
+
+
 def top_flows_daily(flows_daily: DataFrame, days: DataFrame, n: int = TOP_FLOWS) -> DataFrame:
     """Busiest origin-destination flows over the selected days.
 
     Groups by ids, names *and* the daily mean coordinates (an OD pair whose mean
     coordinates differ between days yields several rows)."""
     picked = restrict_to_days(flows_daily, days)
+    picked = _rounded(picked, ["start_lat", "start_lng", "end_lat", "end_lng"])
     agg = picked.groupBy(*_FLOW_KEYS_DAILY).agg(*_sums())
     return _ranked(agg, _FLOW_KEYS_DAILY, n).select(*FLOW_REPORT_SCHEMA.names)
 
@@ -275,7 +285,8 @@ def station_activity(station_facts: DataFrame) -> DataFrame:
     """Trips per station location over the selected rows, busiest first.
 
     Rows with a missing key (null or NaN) are dropped before grouping."""
-    agg = station_facts.dropna(how="any", subset=_STATION_KEYS).groupBy(*_STATION_KEYS).agg(*_sums())
+    located = _rounded(station_facts.dropna(how="any", subset=_STATION_KEYS), ["lat", "lon"])
+    agg = located.groupBy(*_STATION_KEYS).agg(*_sums())
     return agg.orderBy(
         F.col("trip_count").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in _STATION_KEYS]
     )

@@ -23,9 +23,8 @@ def pivot_observations(observations: DataFrame) -> DataFrame:
     are dropped before the shuffle; a day whose values are all null has no row;
     a kind that never occurs gives a null column rather than a missing one.
 
-    The pivot is written as one conditional aggregate per kind: a single hash
-    aggregation (partial + final) keyed by the date, i.e. one shuffle of at most
-    one partial row per day per task.
+    The pivot is written as one conditional aggregate per kind: one shuffle of at most
+    one partial row per day per task.  ``seq`` is a number, so Spark aggregates by hash.
     """
     kinds = list(OBSERVATION_TO_COLUMN)
     kept = observations.where(F.col("datatype").isin(*kinds) & F.col("value").isNotNull()).select(

@@ -77,6 +77,7 @@ LEDGER_SCHEMA = T.StructType(
 # One landed page of daily observations: {"results": [{date, datatype, station, value}, ...]}
 OBSERVATION_PAGE_SCHEMA = T.StructType(
     [
+        T.StructField("page", T.LongType()),
         T.StructField(
             "results",
             T.ArrayType(

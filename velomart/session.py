@@ -73,6 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/").rsplit("/", 1)[0]
+    master = (context.master if context is not None else spark.conf.get("spark.master", "")) or ""
+    if master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
     local_root = tempfile.mkdtemp(prefix="velomart-ckpt-")
     if context is not None:
         context.setCheckpointDir(local_root)

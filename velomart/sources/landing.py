@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from velomart.schemas import OBSERVATION_PAGE_SCHEMA, TRIP_CSV_TYPES
 
-HEADER_READ_THREADS = 16
-
 
 def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     """All ``*.csv`` files below ``root`` (recursive), from Spark's file index.
 
-    ``inputFiles`` lists the files the scan would read without reading any data.
+    ``inputFiles`` lists the files the scan would read without reading any data; its
+    names are percent-encoded, and are decoded here to be read as they are.
     """
     files = (
         spark.read.option("recursiveFileLookup", True)
@@ -25,49 +27,77 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
         .text(root)
         .inputFiles()
     )
-    return sorted(files)
+    return sorted(unquote(f) for f in files)
 
 
-def _csv_reader(spark: SparkSession):
+def _csv_reader(spark: SparkSession, multi_line: bool = True):
     # Quotes inside fields are doubled in these files; Spark's default escape
-    # is a backslash, so set it to the quote character.
-    return spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST")
+    # is a backslash, so set it to the quote character.  Columns are not pruned while
+    # parsing: a row of too few fields must fail whichever columns are asked for.
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("multiLine", multi_line)
+    )
+
+
+def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each CSV file: one job over the first lines of all files.
+
+    A line's number within its file is its place in the scan; only the first block of
+    each file can hold the first line, and one row per file is collected.
+    """
+    lines = spark.read.text([_literal(f) for f in files]).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value"
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found = {_plain(unquote(r.file)): tuple(next(csv.reader([r.header.lstrip("\ufeff")]))) for r in first.collect()}
+    return {f: found[_plain(f)] for f in files if _plain(f) in found}
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one CSV file (a tiny job that reads only its first line)."""
-    return tuple(_csv_reader(spark).csv(path).columns)
+def _plain(path: str) -> str:
+    """One spelling of a path: ``file:/x`` and ``file:///x`` are the same."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
 
-def read_trip_csvs(spark: SparkSession, root_or_files: str | list[str]) -> DataFrame:
+def _literal(path: str) -> str:
+    """``path`` without the special meaning of glob characters."""
+    return "".join("\\" + c if c in "*?[]{}" else c for c in path)
+
+
+def read_trip_csvs(spark: SparkSession, root_or_files: str | list[str], multi_line: bool = True) -> DataFrame:
     """Typed trip rows from every CSV below a landing folder, matched by header name.
 
     Files are grouped by their header; each group is scanned once, all columns as
     text (no inference pass), and the groups are combined with
     ``unionByName(allowMissingColumns=True)`` so a column missing from one file
-    is null there and a different column order never misplaces values.  The 13
-    known columns are then cast with ANSI semantics (bad text fails the job);
-    other columns stay text.
+    is null there and a different column order never misplaces values.  Names of the
+    13 known columns match in any case; one that no file has is an error.  They are
+    cast with ANSI semantics (bad text fails the job); other columns stay text.
+
+    Fields may hold line breaks in quotes.  That makes a file one task; pass
+    ``multi_line=False`` for large files known to have none, which are then split.
     """
     files = list_csv_files(spark, root_or_files) if isinstance(root_or_files, str) else list(root_or_files)
     if not files:
         raise ValueError(f"no CSV files under {root_or_files}")
-    # One tiny first-line job per file, submitted concurrently from driver threads.
-    with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, len(files))) as pool:
-        headers = list(pool.map(lambda p: csv_header(spark, p), files))
+    known_names = {name.lower(): name for name in TRIP_CSV_TYPES}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(files, headers):
-        groups.setdefault(header, []).append(path)
+    for path, header in csv_headers(spark, files).items():
+        groups.setdefault(tuple(known_names.get(name.lower(), name) for name in header), []).append(path)
 
+    absent = [name for name in TRIP_CSV_TYPES if not any(name in header for header in groups)]
+    if absent:
+        raise ValueError(f"no CSV file under {root_or_files} has the columns {', '.join(absent)}")
     parts = []
     for header, paths in groups.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        parts.append(_csv_reader(spark).schema(schema).csv(paths))
+        # The names are those of the group, so the header lines need not repeat their case.
+        reader = _csv_reader(spark, multi_line).option("enforceSchema", True)
+        parts.append(reader.schema(schema).csv([_literal(p) for p in paths]))
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    for name in TRIP_CSV_TYPES:
-        if name not in raw.columns:
-            raw = raw.withColumn(name, F.lit(None).cast("string"))
     known = [F.col(n).cast(t).alias(n) for n, t in TRIP_CSV_TYPES.items()]
     extra = [F.col(n) for n in raw.columns if n not in TRIP_CSV_TYPES]
     return raw.select(*known, *extra)
@@ -82,37 +112,50 @@ def write_trip_csv(df: DataFrame, path: str, columns: list[str] | None = None) -
     return path
 
 
+#: Places in a page leave room for so many records before the next page's.
+PAGE_ROOM = 1 << 32
+
+
 def read_observation_pages(spark: SparkSession, path: str, station: str | None = None) -> DataFrame:
     """Long-form observations (obs_date, datatype, value, seq) from landed JSON pages.
 
-    Each file is one API page ``{"results": [...]}``.  ``seq`` is (file path,
-    position in the page): page files are named in offset order, so ``seq``
-    reproduces the record order of the paged download and makes "first value"
-    deterministic.  ``station`` keeps one station when pages hold several.
+    Each landed file is one API page ``{"results": [...]}``, in any layout of lines;
+    files that Spark wrote (``part-*``) hold one page a line, with its number as
+    ``page``.  ``seq`` orders records by page and position, which reproduces the record
+    order of the paged download and makes "first value" deterministic: pages without a
+    number are numbered in the order of their paths.  A page that cannot be parsed, or
+    has no ``results``, fails the job.  ``station`` keeps one station when pages hold
+    several.
     """
-    pages = spark.read.schema(OBSERVATION_PAGE_SCHEMA).option("multiLine", True).json(path)
-    rows = pages.select(
-        F.col("_metadata.file_path").alias("page"), F.posexplode("results").alias("pos", "r")
-    )
+    reader = spark.read.schema(OBSERVATION_PAGE_SCHEMA).option("mode", "FAILFAST")
+    file = F.col("_metadata.file_path").alias("file")
+    written = F.col("_metadata.file_name").startswith("part-")
+    lines = reader.json(path).where(written).select("page", "results", file)
+    landed = reader.option("multiLine", True).json(path).where(~written).select("page", "results", file)
+    # One row per landed file.
+    order = landed.select("file").distinct().withColumn("number", F.row_number().over(Window.orderBy("file")).cast("long"))
+    numbered = landed.join(order, "file").select(F.coalesce("page", "number").alias("page"), "results", "file")
+    results = F.coalesce("results", F.raise_error(F.concat(F.lit("no results in page "), "file")).cast(landed.schema["results"].dataType))
+    rows = lines.union(numbered).select("page", F.posexplode(results).alias("pos", "r"))
     if station is not None:
         rows = rows.where(F.col("r.station") == station)
     return rows.select(
         F.col("r.date").cast("timestamp_ntz").cast("date").alias("obs_date"),
         F.col("r.datatype").alias("datatype"),
         F.col("r.value").alias("value"),
-        F.struct(F.col("page"), F.col("pos")).alias("seq"),
+        (F.col("page") * F.lit(PAGE_ROOM) + F.col("pos")).alias("seq"),
     )
 
 
 def write_observation_pages(
-    observations: DataFrame, path: str, station: str = "GHCND:TEST", page_size: int = 1000
+    observations: DataFrame, path: str, station: str = "GHCND:TEST", page_size: int = 1000, files: int = 8
 ) -> str:
     """Land observations as JSON pages of at most ``page_size`` records, for tests.
 
     ``seq`` must be a dense integer order (the fixture uses the event id): page
     ``k`` holds seq values ``[k*page_size, (k+1)*page_size)``, sorted, so every
-    collected page is bounded by ``page_size``.  Page folders are zero padded so
-    their path order is the page order.  Pages are written by Spark tasks.
+    collected page is bounded by ``page_size``.  Pages carry their number and are
+    written as JSON lines by Spark tasks, into at most ``files`` files.
     """
     record = F.struct(
         F.date_format("obs_date", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
@@ -121,11 +164,10 @@ def write_observation_pages(
         F.lit(",,W,2400").alias("attributes"),
         F.col("value"),
     )
-    page_key = F.lpad(F.floor(F.col("seq") / page_size).cast("string"), 12, "0")
     pages = (
-        observations.groupBy(page_key.alias("page"))
+        observations.groupBy(F.floor(F.col("seq") / page_size).alias("page"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col("seq"), record.alias("rec")))).alias("items"))
         .select("page", F.col("items.rec").alias("results"))
     )
-    pages.write.mode("overwrite").partitionBy("page").json(path)
+    pages.coalesce(files).write.mode("overwrite").json(path)
     return path

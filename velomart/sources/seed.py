@@ -11,11 +11,6 @@ from velomart.schemas import HOLIDAY_SCHEMA
 
 HOLIDAY_SEED_PATH = os.path.join(os.path.dirname(os.path.dirname(__file__)), "seeds", "holiday_calendar.csv")
 
-# Proven size bound of a holiday seed: a few rows per calendar year.  Joins
-# against the seed broadcast it only below this bound.
-HOLIDAY_SEED_MAX_ROWS = 10_000
-
-
 def holiday_rows(path: str | None = None) -> list[tuple[str, str, bool]]:
     """The shipped seed rows as plain values (date text, name, flag)."""
     with open(path or HOLIDAY_SEED_PATH, encoding="utf-8") as fh:
