@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from velomart.catalog import LISTED_DAYS, QUERIES, SAMPLE_DAYS, SAMPLE_HOURS  # noqa: E402
+from velomart.catalog import LISTED_DAYS, QUERIES, RUSH_HOURS, SAMPLE_DAYS, SAMPLE_HOURS, WEEKEND_DAYS  # noqa: E402
 from velomart.functions.calendar import DAY_NAMES  # noqa: E402
 from velomart.operators.quality import ACCEPTED_VALUES, DECLARED_CHECKS, NOT_NULL, UNIQUE  # noqa: E402
 from velomart.sources.seed import holiday_rows  # noqa: E402
@@ -73,7 +73,7 @@ def _in_list(values) -> str:
     return ", ".join(_q(v) if isinstance(v, str) else str(v) for v in values)
 
 
-_SHIFT = "ts + to_days(cast(30 * (user_id % 12) AS INTEGER))"
+_SHIFT = "ts + to_days(cast(30 * (user_id % 12) + CASE WHEN user_id % 5 = 0 THEN 366 ELSE 0 END AS INTEGER))"
 _RIDERS = """
     cast(sum(CASE WHEN member_casual = 'member' THEN 1 ELSE 0 END) AS BIGINT) AS member_trips,
     cast(sum(CASE WHEN member_casual = 'casual' THEN 1 ELSE 0 END) AS BIGINT) AS casual_trips"""
@@ -141,11 +141,11 @@ trip_daily AS (
 ),
 obs AS (
   SELECT cast({_SHIFT} AS DATE) AS obs_date,
-         CASE event_id % 7 WHEN 0 THEN 'TMAX' WHEN 1 THEN 'TMIN' WHEN 2 THEN 'PRCP'
-              WHEN 3 THEN 'SNOW' WHEN 4 THEN 'AWND' ELSE 'TAVG' END AS datatype,
+         CASE WHEN dayofmonth(cast({_SHIFT} AS DATE)) = 13 THEN 'TAVG' ELSE
+           CASE event_id % 7 WHEN 0 THEN 'TMAX' WHEN 1 THEN 'TMIN' WHEN 2 THEN 'PRCP'
+                WHEN 3 THEN 'SNOW' WHEN 4 THEN 'AWND' ELSE 'TAVG' END END AS datatype,
          value, event_id AS seq
   FROM events
-  WHERE dayofmonth(cast({_SHIFT} AS DATE)) <> 13
 ),
 weather AS (
   SELECT obs_date AS weather_date,
@@ -281,8 +281,7 @@ def _default_hours():
     return HourFilters()
 
 
-def _sample_days_filter() -> str:
-    f = SAMPLE_DAYS
+def _sample_days_filter(f=SAMPLE_DAYS, weekend: bool = False) -> str:
     conds = [
         f"trip_date >= DATE {_q(f.start_date)}",
         f"trip_date <= DATE {_q(f.end_date)}",
@@ -291,7 +290,7 @@ def _sample_days_filter() -> str:
         f"year(trip_date) IN ({_in_list(f.years)})",
         f"month_name IN ({_in_list(f.month_names)})",
         "is_holiday = false",
-        "is_weekend = false",
+        f"is_weekend = {'true' if weekend else 'false'}",
     ]
     return " AND ".join(conds)
 
@@ -379,8 +378,22 @@ def _day_order() -> str:
     return f"cast(CASE day_name {whens} END AS INTEGER)"
 
 
+#: Queries over other trips than the fixture's: some rides twice; complete rides only.
+_REPEATED_TRIPS = f"({_FIXTURE_TRIPS} UNION ALL {_FIXTURE_TRIPS} WHERE event_id % 499 = 0) AS t"
+_COMPLETE_TRIPS = f"""(SELECT * FROM ({_FIXTURE_TRIPS}) AS f WHERE member_casual IN ('member', 'casual')
+  AND start_station_name IS NOT NULL AND start_station_id IS NOT NULL AND end_station_name IS NOT NULL
+  AND end_station_id IS NOT NULL AND start_lat IS NOT NULL AND end_lng IS NOT NULL) AS t"""
+_TRIPS_OF = {
+    "quality_report": _REPEATED_TRIPS,
+    "quality_duplicates": _REPEATED_TRIPS,
+    "quality_unexpected": _REPEATED_TRIPS,
+    "monthly_load_marts": _COMPLETE_TRIPS,
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(body) for name, body in _bodies().items() if name in QUERIES}
+    reference = {name: _with(body, _TRIPS_OF.get(name)) for name, body in _bodies().items() if name in QUERIES}
+    return {**reference, **_training_data()[1]}
 
 
 def _bodies() -> dict[str, str]:
@@ -457,7 +470,14 @@ WHERE {_ALL_DAYS} AND {_hour_filter(SAMPLE_HOURS)}
 GROUP BY {hourly_keys}
 ORDER BY trip_count DESC, {_nulls_last(hourly_keys)}
 LIMIT 100""",
-        "empty_selection": f"SELECT {_FLOW_COLS}, trip_count, member_trips, casual_trips FROM flows_daily WHERE false",
+        "empty_selection": top_daily,
+        "filtered_weekends": f"SELECT * FROM enriched WHERE {_sample_days_filter(WEEKEND_DAYS, weekend=True)}",
+        "rush_hour_trips": f"""
+SELECT trip_hour, cast(sum(trip_count) AS BIGINT) AS trip_count
+FROM station_hourly
+WHERE {_ALL_DAYS} AND trip_hour BETWEEN {RUSH_HOURS.start_hour} AND {RUSH_HOURS.end_hour} AND is_rush_hour
+  AND trip_hour IS NOT NULL
+GROUP BY trip_hour""",
         "station_activity_daily": _station_activity("station_daily", _ALL_DAYS, 300),
         "station_table_daily": _station_activity(
             "station_daily", _ALL_DAYS, 15, cols="station_name,"
@@ -507,10 +527,21 @@ FROM trips_raw""",
         "json_observations": "SELECT * FROM weather",
         "bronze_roundtrip": "SELECT * FROM stg",
         "ledger_roundtrip": "SELECT * FROM ledger",
+        "ledger_lookup": """
+SELECT r.pipeline_name, r.year, r.month, count(l.pipeline_name) > 0 AS already_loaded, count(l.pipeline_name) AS loads
+FROM requested r LEFT JOIN ledger l
+  ON l.status = 'success' AND l.pipeline_name = r.pipeline_name AND l.year = r.year AND l.month = r.month
+GROUP BY r.pipeline_name, r.year, r.month""",
+        "monthly_load_marts": """
+SELECT e.trip_date, e.total_trips, e.member_trips, e.casual_trips, e.avg_trip_duration_minutes,
+       e.temperature_max_c, e.season, w.temperature_min_c AS staged_min_c,
+       cast(CASE month(e.trip_date) WHEN 3 THEN 1 ELSE 2 END AS BIGINT) AS trip_loads
+FROM enriched e LEFT JOIN weather w ON w.weather_date = e.trip_date
+WHERE e.trip_date BETWEEN DATE '2024-03-01' AND DATE '2024-04-30'""",
         "mart_roundtrip": "SELECT * FROM station_daily",
         "csv_export_roundtrip": "SELECT * FROM enriched",
     }
     missing = set(QUERIES) - set(sql)
     assert not missing, f"queries without oracle: {sorted(missing)}"
-    return {**sql, **_training_data()[1]}
+    return sql
 

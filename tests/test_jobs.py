@@ -30,7 +30,7 @@ def layout(spark, scratch):
         ledger=f"{root}/state/pipeline_loads",
     )
     i = Inputs(spark, SF_SMALL)
-    march = F.month("started_at") == MONTH
+    march = (F.year("started_at") == YEAR) & (F.month("started_at") == MONTH)
     landing.write_trip_csv(i.bronze_trips.where(march), lay.landed(lay.trips_landing, YEAR, MONTH))
     landing.write_observation_pages(i.observations, lay.landed(lay.weather_landing, YEAR, MONTH))
     return lay
@@ -90,7 +90,7 @@ def test_monthly_run_builds_marts_and_gate_stops_bad_data(spark, layout):
     assert result["trips"] == ingest.SKIPPED_EXISTS
     marts = build.load_marts(spark, layout)
     assert set(marts) == set(build.MART_ORDER)
-    staged = Inputs(spark, SF_SMALL).staged.where(F.month("started_at") == MONTH)
+    staged = Inputs(spark, SF_SMALL).staged.where((F.year("started_at") == YEAR) & (F.month("started_at") == MONTH))
     assert marts["fct_trips"].count() == staged.where("ended_at >= started_at").count()
     daily = marts["fct_trip_daily_enriched"]
     assert daily.count() == daily.select("trip_date").distinct().count() > 0
@@ -167,7 +167,7 @@ def test_backfill_loads_only_pending_months(spark, scratch):
     )
     i = Inputs(spark, SF_SMALL)
     for mm in (1, 2):
-        landing.write_trip_csv(i.bronze_trips.where(F.month("started_at") == mm), lay.landed(lay.trips_landing, 2024, mm))
+        landing.write_trip_csv(i.bronze_trips.where((F.year("started_at") == 2024) & (F.month("started_at") == mm)), lay.landed(lay.trips_landing, 2024, mm))
         landing.write_observation_pages(i.observations, lay.landed(lay.weather_landing, 2024, mm))
     ledger = LoadLedger(spark, lay.ledger)
     ledger.record(ingest.TRIPS_PIPELINE, 2024, 1, "x")
@@ -222,7 +222,7 @@ def test_refresh_gate_checks_like_a_full_build(spark, scratch):
     """A refresh of April must fail on what a full build fails on: a ride id
     already used in March, and a trip with no start time (it has no month)."""
     i = Inputs(spark, SF_SMALL)
-    clean = i.bronze_trips.where("member_casual IN ('member', 'casual')").dropna()
+    clean = i.bronze_trips.where("year(started_at) = 2024").where("member_casual IN ('member', 'casual')").dropna()
     march = clean.where(F.month("started_at") == 3)
     april = clean.where(F.month("started_at") == 4)
     reused = march.limit(1).withColumn("started_at", F.col("started_at") + F.expr("INTERVAL 40 DAYS"))
@@ -271,7 +271,7 @@ def _deployment(spark, scratch, name, months=(1, 2), change=lambda df: df):
     )
     i = Inputs(spark, SF_SMALL)
     for mm in months:
-        landing.write_trip_csv(change(i.bronze_trips.where(F.month("started_at") == mm)), lay.landed(lay.trips_landing, 2024, mm))
+        landing.write_trip_csv(change(i.bronze_trips.where((F.year("started_at") == 2024) & (F.month("started_at") == mm))), lay.landed(lay.trips_landing, 2024, mm))
         landing.write_observation_pages(i.observations, lay.landed(lay.weather_landing, 2024, mm))
     return lay
 
@@ -321,7 +321,7 @@ def test_refresh_removes_months_that_a_mart_has_no_rows_for(spark, scratch):
     monthly_load(spark, lay, 2024, 2, check=False)
     assert build.load_marts(spark, lay)["fct_station_flows_daily"].where("month(trip_date) = 2").count() > 0
     i = Inputs(spark, SF_SMALL)
-    without = i.bronze_trips.where("month(started_at) = 2").withColumn("end_lat", F.lit(None).cast("double"))
+    without = i.bronze_trips.where("year(started_at) = 2024 and month(started_at) = 2").withColumn("end_lat", F.lit(None).cast("double"))
     landing.write_trip_csv(without, lay.landed(lay.trips_landing, 2024, 2))
     assert monthly_load(spark, lay, 2024, 2, force=True, check=False)["months"] == [(2024, 2)]
     full = ingest.Layout(**{**lay.__dict__, "marts": lay.marts + "_full"})

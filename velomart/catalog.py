@@ -22,7 +22,10 @@ from velomart.operators import marts, quality, reports
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.operators.weather import pivot_observations
+from velomart.plans.ingest import TRIPS_PIPELINE, Layout
 from velomart.plans.ledger import LoadLedger, pending_months
+from velomart.plans.monthly import monthly_load
+from velomart.plans.views import read_ordered_mart
 from velomart.session import scratch_path
 from velomart.sources import fixtures, landing, tables
 from velomart.sources.seed import read_holidays, write_seed_csv
@@ -30,11 +33,11 @@ from velomart.sources.seed import read_holidays, write_seed_csv
 # Report parameters of the registered queries.
 SAMPLE_DAYS = reports.DayFilters(
     start_date="2024-02-01",
-    end_date="2024-11-30",
+    end_date="2025-11-30",
     seasons=("Winter", "Spring", "Summer"),
     day_names=tuple(DAY_NAMES[:6]),
     years=(2024,),
-    month_names=tuple(MONTH_NAMES),
+    month_names=tuple(MONTH_NAMES[:8]),
     holiday=reports.NON_HOLIDAYS_ONLY,
     day_type=reports.WEEKDAYS_ONLY,
 )
@@ -44,6 +47,17 @@ SAMPLE_HOURS = reports.HourFilters(
     hour_buckets=tuple(HOUR_BUCKETS[:3]),
     rush=reports.NON_RUSH_ONLY,
 )
+WEEKEND_DAYS = reports.DayFilters(
+    start_date="2024-01-15",
+    end_date="2025-10-31",
+    seasons=("Spring", "Summer", "Fall"),
+    day_names=tuple(DAY_NAMES[1:]),
+    years=(2025,),
+    month_names=tuple(MONTH_NAMES[2:]),
+    holiday=reports.NON_HOLIDAYS_ONLY,
+    day_type=reports.WEEKENDS_ONLY,
+)
+RUSH_HOURS = reports.HourFilters(start_hour=5, end_hour=18, rush=reports.RUSH_ONLY)
 LISTED_DAYS = reports.DayFilters(dates=("2024-01-01", "2024-05-27", "2024-07-04", "2024-12-25"))
 WEATHER_WINDOW = (2024, 2)
 CSV_SPLIT_MONTH = 6  # trips up to June land in one CSV layout, later ones in another
@@ -67,6 +81,12 @@ class Inputs:
     def bronze_trips(self) -> DataFrame:
         return fixtures.fixture_trips(self.spark, self.sf_dir)
 
+    def with_repeated_rides(self) -> Inputs:
+        """The same relations over trips of which some are there twice."""
+        other = Inputs(self.spark, self.sf_dir)
+        other.__dict__["bronze_trips"] = fixtures.fixture_trips_with_repeats(self.spark, self.sf_dir)
+        return other
+
     @cached_property
     def staged(self) -> DataFrame:
         return stage_trips(self.bronze_trips)
@@ -148,7 +168,7 @@ def _q(build: Callable[[Inputs], DataFrame]) -> Query:
 def _csv_union_roundtrip(i: Inputs) -> DataFrame:
     """Land trips as CSV files with two header layouts and read them back by name."""
     root = scratch_path(i.spark, "landing-trips")
-    early = F.month("started_at") <= CSV_SPLIT_MONTH
+    early = F.coalesce(F.month("started_at") <= CSV_SPLIT_MONTH, F.lit(False))
     names = list(i.bronze_trips.columns)
     landing.write_trip_csv(i.bronze_trips.where(early), f"{root}/layout_a", names)
     late = i.bronze_trips.where(~early).withColumn(EXTRA_CSV_COLUMN, F.concat(F.lit("R"), F.col("ride_id")))
@@ -177,6 +197,46 @@ def _ledger_roundtrip(i: Inputs) -> DataFrame:
     return ledger.read()
 
 
+def _ledger_lookup(i: Inputs) -> DataFrame:
+    """Which requested months the ledger has loads of, and how many."""
+    ledger = LoadLedger(i.spark, scratch_path(i.spark, "ledger"))
+    ledger.append(fixtures.fixture_ledger(i.spark, i.sf_dir))
+    return ledger.load_counts(fixtures.fixture_requested_months(i.spark, i.sf_dir))
+
+
+def _monthly_load_marts(i: Inputs) -> DataFrame:
+    """Two monthly runs over landed files, a rerun that skips and a forced reload, with
+    all checks on: the enriched days, the staged weather and the loads of each month.
+
+    Trips that the checks refuse (incomplete or of an unknown rider) are not landed.
+    """
+    root = scratch_path(i.spark, "monthly")
+    names = ("trips_landing", "weather_landing", "trips_bronze", "weather_bronze", "marts", "ledger")
+    layout = Layout(**{name: f"{root}/{name}" for name in names})
+    complete = i.bronze_trips.where(F.col("member_casual").isin("member", "casual")).dropna()
+    runs = [(2024, 3, False), (2024, 4, False), (2024, 4, False), (2024, 4, True)]
+    for year, month in sorted({(y, m) for y, m, _ in runs}):
+        landed = (F.year("started_at") == year) & (F.month("started_at") == month)
+        landing.write_trip_csv(complete.where(landed), layout.landed(layout.trips_landing, year, month))
+        seen = (F.year("obs_date") == year) & (F.month("obs_date") == month)
+        landing.write_observation_pages(i.observations.where(seen), layout.landed(layout.weather_landing, year, month))
+    for year, month, force in runs:
+        monthly_load(i.spark, layout, year, month, force=force)
+    days = read_ordered_mart(i.spark, layout, "fct_trip_daily_enriched")
+    weather = stage_weather(tables.read_bronze_weather(i.spark, layout.weather_bronze))
+    weather = weather.select(F.col("weather_date").alias("day"), F.col("temperature_min_c").alias("staged_min_c"))
+    requested = days.select(F.lit(TRIPS_PIPELINE).alias("pipeline_name"), F.year("trip_date").alias("year"), F.month("trip_date").alias("month")).distinct()
+    loads = LoadLedger(i.spark, layout.ledger).load_counts(requested).select("year", "month", F.col("loads").alias("trip_loads"))
+    return (
+        days.join(weather, F.col("trip_date") == F.col("day"), "left")
+        .join(loads, (F.year("trip_date") == F.col("year")) & (F.month("trip_date") == F.col("month")))
+        .select(
+            "trip_date", "total_trips", "member_trips", "casual_trips", "avg_trip_duration_minutes",
+            "temperature_max_c", "season", "staged_min_c", "trip_loads",
+        )
+    )
+
+
 def _mart_roundtrip(i: Inputs) -> DataFrame:
     """Store the station-daily mart in month folders and read it back in order."""
     path = scratch_path(i.spark, "fct_station_daily")
@@ -237,11 +297,12 @@ def _weather_window(i: Inputs) -> DataFrame:
 
 
 def _empty_selection(i: Inputs) -> DataFrame:
-    """Flow reports for an empty bucket list and an empty season list: no rows,
-    the 11 flow columns."""
+    """Flow reports for an empty bucket list and an empty season list have no rows but
+    the 11 flow columns: they add nothing to the report of all days."""
     no_buckets = reports.top_flows_hourly(i.flows_hourly, i.days, reports.HourFilters(hour_buckets=()))
     no_days = reports.filter_days(i.enriched, reports.DayFilters(seasons=()))
-    return no_buckets.unionByName(reports.top_flows_daily(i.flows_daily, no_days))
+    nothing = no_buckets.unionByName(reports.top_flows_daily(i.flows_daily, no_days))
+    return nothing.unionByName(reports.top_flows_daily(i.flows_daily, i.days))
 
 
 def _hourly_selection(i: Inputs) -> DataFrame:
@@ -265,6 +326,10 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "season_options": lambda i: reports.season_options(i.enriched),
     "year_options": lambda i: reports.year_options(i.enriched),
     "filtered_days": lambda i: reports.filter_days(i.enriched, SAMPLE_DAYS),
+    "filtered_weekends": lambda i: reports.filter_days(i.enriched, WEEKEND_DAYS),
+    "rush_hour_trips": (
+        lambda i: reports.hourly_trips(reports.selected_station_hours(i.station_hourly, i.days, RUSH_HOURS))
+    ),
     "weekday_profile": lambda i: rounded(reports.weekday_profile(i.days), ["avg_total_trips"]),
     "weather_scatter": lambda i: reports.weather_scatter(i.days),
     "daily_series": lambda i: reports.daily_series(i.days),
@@ -306,14 +371,16 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
             fixtures.fixture_requested_months(i.spark, i.sf_dir), fixtures.fixture_ledger(i.spark, i.sf_dir)
         )
     ),
-    "quality_report": lambda i: quality.check_results(i.checked_tables()),
-    "quality_duplicates": lambda i: quality.duplicate_values(i.checked_tables()),
-    "quality_unexpected": lambda i: quality.unexpected_values(i.checked_tables()),
+    "quality_report": lambda i: quality.check_results(i.with_repeated_rides().checked_tables()),
+    "quality_duplicates": lambda i: quality.duplicate_values(i.with_repeated_rides().checked_tables()),
+    "quality_unexpected": lambda i: quality.unexpected_values(i.with_repeated_rides().checked_tables()),
     "weather_window": _weather_window,
     "csv_union_roundtrip": _csv_union_roundtrip,
     "json_observations": _json_observations,
     "bronze_roundtrip": _bronze_roundtrip,
     "ledger_roundtrip": _ledger_roundtrip,
+    "ledger_lookup": _ledger_lookup,
+    "monthly_load_marts": _monthly_load_marts,
     "mart_roundtrip": _mart_roundtrip,
     "csv_export_roundtrip": _csv_export_roundtrip,
 }

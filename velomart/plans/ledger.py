@@ -66,6 +66,14 @@ class LoadLedger:
             self.successes(pipeline_name).where((F.col("year") == year) & (F.col("month") == month)).count()
         )
 
+    def load_counts(self, requested: DataFrame) -> DataFrame:
+        """Requested (pipeline_name, year, month) rows with their number of successful
+        loads and whether there is one: the set form of both lookups above."""
+        keys = ["pipeline_name", "year", "month"]
+        counts = self.successes().groupBy(*keys).agg(F.count(F.lit(1)).alias("loads"))
+        loads = F.coalesce("loads", F.lit(0))
+        return requested.join(counts, keys, "left").select(*keys, (loads > 0).alias("already_loaded"), loads.cast("long").alias("loads"))
+
     def pending(self, requested: DataFrame) -> DataFrame:
         """Requested (pipeline_name, year, month) rows with no successful load."""
         return pending_months(requested, self.read())

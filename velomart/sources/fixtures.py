@@ -15,6 +15,9 @@ from velomart.schemas import TRIP_CSV_TYPES
 
 # Fixed values of the fixture recipe.
 DAYS_PER_USER_STEP = 30
+SECOND_YEAR_EVERY = 5
+DAYS_PER_YEAR = 366
+REPEATED_RIDE_EVERY = 499
 DURATION_PRIME = 7919
 DURATION_SPAN_SECONDS = 7200
 DURATION_SHIFT_SECONDS = 300
@@ -31,7 +34,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shifted_start(uid):
-    return F.col("ts") + F.make_dt_interval(days=(F.lit(DAYS_PER_USER_STEP) * (uid % 12)).cast("int"))
+    """The event's time, spread over twelve months; every fifth user rides a year later."""
+    year = F.when(uid % SECOND_YEAR_EVERY == 0, DAYS_PER_YEAR).otherwise(0)
+    return F.col("ts") + F.make_dt_interval(days=(F.lit(DAYS_PER_USER_STEP) * (uid % 12) + year).cast("int"))
 
 
 def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,26 +74,27 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fixture_trips_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips, and some of them a second time: what the unique checks are to find."""
+    trips = fixture_trips(spark, sf_dir)
+    return trips.unionByName(trips.where(F.col("ride_id").cast("long") % REPEATED_RIDE_EVERY == 0))
+
+
 def fixture_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-form daily observations (obs_date, datatype, value, seq).
 
-    Day 13 of every month has no observation, so the weather join misses it.
+    What is observed on day 13 of a month is of another kind, so the weather join
+    misses that day.
     """
     eid = F.col("event_id")
-    kind = F.when(eid % 7 == 0, OBSERVATION_KINDS[0])
+    obs_date = _shifted_start(F.col("user_id")).cast("date")
+    kind = F.when(F.dayofmonth(obs_date) == MISSING_WEATHER_DAY_OF_MONTH, OTHER_OBSERVATION_KIND)
+    kind = kind.when(eid % 7 == 0, OBSERVATION_KINDS[0])
     for idx, name in enumerate(OBSERVATION_KINDS[1:], start=1):
         kind = kind.when(eid % 7 == idx, name)
     kind = kind.otherwise(OTHER_OBSERVATION_KIND)
-    obs_date = _shifted_start(F.col("user_id")).cast("date")
-    return (
-        table(spark, sf_dir, "events")
-        .select(
-            obs_date.alias("obs_date"),
-            kind.alias("datatype"),
-            F.col("value"),
-            eid.alias("seq"),
-        )
-        .where(F.dayofmonth("obs_date") != MISSING_WEATHER_DAY_OF_MONTH)
+    return table(spark, sf_dir, "events").select(
+        obs_date.alias("obs_date"), kind.alias("datatype"), F.col("value"), eid.alias("seq")
     )
 
 
