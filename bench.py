@@ -25,6 +25,7 @@ sys.path.insert(0, ROOT)
 
 from velomart.catalog import SAMPLE_DAYS, SAMPLE_HOURS, Inputs  # noqa: E402
 from velomart.operators import quality, reports  # noqa: E402
+from velomart.operators.staging import stage_trips, stage_weather  # noqa: E402
 from velomart.operators.weather import pivot_observations  # noqa: E402
 from velomart.plans.build import build_marts, load_marts  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -34,7 +35,7 @@ from velomart.plans.ledger import LoadLedger  # noqa: E402
 from velomart.sources.landing import write_trip_csv  # noqa: E402
 from velomart.session import build_session, clear_scratch, scratch_path  # noqa: E402
 from velomart.sources.seed import read_holidays  # noqa: E402
-from velomart.sources.tables import write_bronze  # noqa: E402
+from velomart.sources.tables import read_bronze_trips, read_bronze_weather, write_bronze  # noqa: E402
 
 
 def main() -> None:
@@ -116,8 +117,8 @@ def main() -> None:
         "fct_station_flows_daily": m["fct_station_flows_daily"],
         "fct_station_hourly": m["fct_station_hourly"],
         "fct_station_flows_hourly": m["fct_station_flows_hourly"],
-        "stg_trips": inputs.staged,
-        "stg_weather_daily": inputs.weather,
+        "stg_trips": stage_trips(read_bronze_trips(spark, layout.trips_bronze)),
+        "stg_weather_daily": stage_weather(read_bronze_weather(spark, layout.weather_bronze)),
         "holiday_calendar": read_holidays(spark),
     }
     timed("quality_report", lambda: len(quality.collect_check_results(tables)))
