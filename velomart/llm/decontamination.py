@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import bloom, words
-from .common import materialize, row_key
+from .common import map_batches, materialize, row_key
 
 WINDOW = 13
 
@@ -97,7 +97,7 @@ def _item_grams(window: int):
 def item_grams(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
     """item, fp, span, at, context: the kept grams of the benchmark."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    return items.mapInArrow(_item_grams(window), ITEM_SCHEMA)
+    return map_batches(items, _item_grams(window), ITEM_SCHEMA)
 
 
 def _document_grams(bits, spans: list[int]):
@@ -170,10 +170,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         rows.schema["doc_id"], T.StructField("rk", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("fp", T.LongType()),
         T.StructField("span", T.IntegerType()), T.StructField("pos", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("context", T.StringType()),
     ])
-    found = materialize(rows.mapInArrow(_document_grams(bits, spans), schema), "document-grams")
+    found = materialize(map_batches(rows, _document_grams(bits, spans), schema), "document-grams")
     base = found.where("n_words is not null").select("doc_id", "rk", "n_words")
     pairs = found.where("fp is not null").select("rk", "fp", "span", "pos", "at", "context").join(contexts, ["fp", "span"])
-    runs = materialize(pairs.mapInArrow(_extend, "rk string, cid long, low long, high long").distinct(), "runs")
+    runs = materialize(map_batches(pairs, _extend, "rk string, cid long, low long, high long").distinct(), "runs")
 
     nearer = Window.partitionBy("rk").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.greatest(F.lit(0), F.col("high") - F.greatest("low", F.coalesce(F.max("high").over(nearer), F.col("low"))))

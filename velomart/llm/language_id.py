@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import map_batches
+
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 32_768
 SEGMENT = 1024
@@ -257,4 +259,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.col(id_col).alias("doc_id"), *(c.alias(n) for n, c in (extra or {}).items()), F.col(text_col).cast("string").alias("text"))
     fields = [f for f in rows.schema if f.name != "text" or keep_text]
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predict(sent, keep_text), schema)
+    return map_batches(rows, _predict(sent, keep_text), schema)

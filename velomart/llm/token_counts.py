@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import map_batches
+
 KEPT_WORDS = 1_000_000  # counts a worker keeps; more are found anew
 KEPT_PIECES = 200_000
 KEPT_SEAMS = 1_000_000
@@ -274,7 +276,7 @@ def token_counts(docs: DataFrame, tokenizer: str, budget: int = 2048, id_col: st
     fields = [rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())]
     if tables:
         fields += [T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("piece_ends", "token_counts")]
-    return rows.mapInArrow(_counts(tokenizer, budget, tables), T.StructType(fields))
+    return map_batches(rows, _counts(tokenizer, budget, tables), T.StructType(fields))
 
 
 def tokens_within(counted: DataFrame, characters: int) -> DataFrame:
