@@ -30,12 +30,13 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_folder
+from .common import map_batches, scratch_folder
 
 REVISIT_BYTES = 100
 ROLL_BYTES = 4 << 20  # a file is closed once it holds this many compressed bytes
 SHARD_BYTES = 64 << 20  # payload bytes dealt to one shard, about
 LEVEL = 6
+STEP_BYTES = 1 << 14
 #: Fixed values of the format: version, revisit profile and the names of the headers.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -171,16 +172,23 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
         .select(F.spark_partition_id().alias("shard"), "page_id", "decision", "digest", "refers_to", "url", "html")
     )
     manifest = f"{folder}/manifest"
-    dealt.mapInArrow(_write(f"{folder}/data"), MANIFEST).write.parquet(manifest)
+    map_batches(dealt, _write(f"{folder}/data"), MANIFEST).write.parquet(manifest)
     return manifest
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of a file, one gzip member at a time."""
-    while data:
-        unpacker = zlib.decompressobj(31)
-        text = unpacker.decompress(data) + unpacker.flush()
-        data = unpacker.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            # In small steps: what a step leaves unused is copied.
+            step = view[at : at + STEP_BYTES]
+            if not step:
+                raise ValueError("a member is cut off")
+            parts.append(unpacker.decompress(step))
+            at += len(step) - len(unpacker.unused_data)
+        text = b"".join(parts)
         head, _, rest = text.partition(b"\r\n\r\n")
         first, *lines = head.decode().split("\r\n")
         if first != VERSION:
@@ -227,7 +235,7 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = False) -
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(f"{folder}/data")
     named = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(manifest.select("file", "bytes", "sha256"), "file")
     whole = named.withColumn("content", F.when((F.length("content") == F.col("bytes")) & (F.sha2("content", 256) == F.col("sha256")), F.col("content")).otherwise(F.raise_error(F.concat(F.lit("damaged file "), "path"))))
-    return whole.select("content").mapInArrow(_read(with_payload), RECORDS)
+    return map_batches(whole.select("content"), _read(with_payload), RECORDS)
 
 
 def archive_pages(pages: DataFrame, **columns) -> DataFrame:
