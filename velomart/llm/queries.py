@@ -111,6 +111,32 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit.k, 0) AS n_hit, coalesce(it
        coalesce(n_hit.k, 0) > 0 AND 20 * coalesce(n_hit.k, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)"""
 
+_OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200)
+), again AS (
+  SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1
+), run AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS g
+        FROM (SELECT *, CASE WHEN i > lag(i, 1, -101) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS opens FROM again))
+  GROUP BY doc_id, g
+), gap AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM run
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(run.b), 0) AS a, max(len(h)) // 2 AS b FROM d LEFT JOIN run USING (doc_id) GROUP BY d.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gap JOIN d USING (doc_id) GROUP BY doc_id
+), gone AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS k FROM run GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.h) // 2 AS n_bytes, cast(coalesce(gone.n, 0) AS BIGINT) AS n_removed, coalesce(gone.k, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""
+
 _OP10_SQL = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -167,5 +193,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _OP1_SQL,
     "op3_embedding_join": _OP3_SQL,
     "op7_jaccard_join": _OP7_SQL,
+    "op8_remove_repeats": _OP8_SQL,
     "op10_write_warc": _OP10_SQL,
 }
