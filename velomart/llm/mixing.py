@@ -115,18 +115,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lined = sized.withColumn("bucket", bucket)
     sums = lined.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
+    offsets = sums.select("source", F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
     quota = schedule.groupBy("source").agg((F.count("*") * block).alias("quota"))
     facts = targets.join(quota.withColumnRenamed("source", "q"), F.col("source").eqNullSafe(F.col("q")), "left").select(
         F.col("source").alias("t"), "source_size", "target", F.coalesce("quota", F.lit(0)).alias("quota")
     )
+    # What holds for a source goes to its buckets, so that its rows are never dealt by it.
+    offsets = offsets.join(facts, F.col("source").eqNullSafe(F.col("t"))).withColumnRenamed("source", "s")
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *keep).rowsBetween(Window.unboundedPreceding, -1)
     nth = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", *keep)
     placed = (
         lined.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .withColumn("nth", F.row_number().over(nth))
         .join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-        .join(facts, F.col("source").eqNullSafe(F.col("t")))
         .withColumn("start", F.col("offset") + F.col("inside"))
     )
     # The line of a source repeats; of each lap the pieces that meet a block of the quota.
