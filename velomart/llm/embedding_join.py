@@ -36,15 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import map_batches, materialize, ship_package
 from .graph import connected_components, local_forest
 
 BLOCK_DIMS = 16
 GRID_DIMS = 2
-TILE_BYTES = 8 << 20
+TILE_BYTES = 4 << 20
 SLACK = 1e-9  # of squared distances, for rounding
-STRIP = 256
-PAIRS = 1 << 15
+COARSE_SLACK = 1e-5  # the same where single precision chooses candidates
+STRIP_BYTES = 4 << 20
+PAIRS = 1 << 13
 SEED = 20240101
 _CELL_BITS = 12
 
@@ -68,6 +69,15 @@ def budgets(dims: int, threshold: float) -> np.ndarray:
     return np.array([(2 - 2 * threshold) * (e - b) / dims for b, e in blocks(dims)])
 
 
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """The vectors of a binary column, all of so many dimensions."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    width = 8 * dims
+    start = column.offset * width  # no nulls, and rows of one width
+    return np.frombuffer(column.buffers()[2], np.uint8)[start : start + len(column) * width].view(np.float64).reshape(-1, dims)
+
+
 UNITS = [("node", pa.int64()), ("dims", pa.int32()), ("unit", pa.binary())]
 
 
@@ -127,7 +137,7 @@ def _cells(threshold: float):
             sizes = batch.column("dims").to_numpy()
             for dims in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dims)
-                units = np.stack([np.frombuffer(batch.column("unit")[int(i)].as_buffer(), np.float64) for i in rows])
+                units = _matrix(batch.column("unit").take(pa.array(rows)), int(dims))
                 for cell, own, near in of(int(dims), units):
                     picked = pa.array(rows[near])
                     yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(own), *(batch.column(c).take(picked) for c in ("node", "copies", "dims", "unit"))], names=["cell", "own", "node", "copies", "dims", "unit"])
@@ -144,12 +154,14 @@ def _join(threshold: float):
         dims = table["dims"][0].as_py()
         block = (table["cell"][0].as_py() >> (_CELL_BITS * GRID_DIMS)) & 0xFFFF
         own, at_home, visits = (table[c].to_numpy() for c in ("own", "at_home", "visits"))
-        units = np.stack([np.frombuffer(v.as_buffer(), np.float64) for v in table["unit"]])
+        units = _matrix(table["unit"], dims)
         turned = units @ rotation(dims)
         cuts, limit = np.array([b for b, _ in blocks(dims)]), budgets(dims, threshold)
         begin, end = blocks(dims)[block]
-        part = turned[:, begin:end]
-        square = (part**2).sum(axis=1)
+        # One product gives z.z' - |z|^2 / 2 - |z'|^2 / 2, minus half the squared distance.
+        part = turned[:, begin:end].astype(np.float32)
+        half, one = (part.astype(np.float64) ** 2).sum(axis=1, keepdims=True).astype(np.float32) / 2, np.ones((len(part), 1), np.float32)
+        left_side, right_side = np.hstack([part, -half, one]), np.hstack([part, one, -half])
         homes, others = np.flatnonzero(at_home), np.flatnonzero(visits)
         left, right = [], []
         links = np.zeros(len(nodes), np.int64)
@@ -169,11 +181,13 @@ def _join(threshold: float):
                     left.append(a)
                     right.append(b)
 
-        for k in range(0, len(homes), STRIP):
-            strip = homes[k : k + STRIP]
-            apart = square[strip][:, None] + square[others][None, :] - 2 * (part[strip] @ part[others].T)
-            x, y = np.nonzero(apart <= limit[block] + SLACK)
-            x, y = strip[x], others[y]
+        right_side = np.ascontiguousarray(right_side[others].T)
+        least = np.float32(-(limit[block] + COARSE_SLACK) / 2)
+        step = max(1, STRIP_BYTES // (4 * max(1, len(others))))
+        for k in range(0, len(homes), step):
+            strip = homes[k : k + step]
+            near = np.flatnonzero((left_side[strip] @ right_side).ravel() >= least)
+            x, y = strip[near // len(others)], others[near % len(others)]
             # Two vectors at home here meet twice; a visitor meets each once.
             once = ~own[y] | (nodes[x] < nodes[y])
             verify(x[once], y[once])
@@ -192,15 +206,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     """vec_id, n_links, component_id, kept of each row."""
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
     schema = T.StructType([rows.schema["vec_id"], T.StructField("node", T.LongType()), T.StructField("dims", T.IntegerType()), T.StructField("unit", T.BinaryType())])
-    units = materialize(rows.mapInArrow(_units("vec_id"), schema), "units")
+    units = materialize(map_batches(rows, _units("vec_id"), schema), "units")
     nodes = materialize(
         units.where("node is not null").groupBy("node").agg(F.first("dims").alias("dims"), F.first("unit").alias("unit"), F.count("*").alias("copies"), F.min("vec_id").alias("least")), "vectors"
     )
-    placed = nodes.select("node", "copies", "dims", "unit").mapInArrow(_cells(threshold), "cell long, own boolean, node long, copies long, dims int, unit binary")
+    placed = map_batches(nodes.select("node", "copies", "dims", "unit"), _cells(threshold), "cell long, own boolean, node long, copies long, dims int, unit binary")
     # Tiles of each cell by its counts: a row for each occupied cell.
     counts = placed.groupBy("cell").agg(F.sum(F.col("own").cast("long")).alias("homes"), F.count("*").alias("all"), F.first("dims").alias("d"))
     fit = F.greatest(F.lit(64), (F.lit(TILE_BYTES) / (F.col("d") * 8)).cast("long"))
-    tiles = materialize(counts.select(F.col("cell").alias("c"), F.ceil(F.col("homes") / fit).alias("t"), F.ceil(F.col("all") / (fit * 4)).alias("u")).where("t > 0"), "tiles")
+    tiles = materialize(counts.select(F.col("cell").alias("c"), F.ceil(F.col("homes") / fit).alias("t"), F.ceil(F.col("all") / (fit * 2)).alias("u")).where("t > 0"), "tiles")
     tile = F.pmod(F.xxhash64("node"), F.col("t"))
     chunk = F.pmod(F.xxhash64("node", F.lit(1)), F.col("u"))
     group = "named_struct('i', {i}, 'j', {j}, 'at_home', {h}, 'visits', {v})"
@@ -213,6 +227,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         .withColumn("g", F.explode(F.expr(f"if(own, concat({as_home}, filter({as_other}, y -> y.i != tile)), {as_other})")))
         .select("cell", "own", "node", "copies", "dims", "unit", "g.*")
     )
+    ship_package(vectors.sparkSession)
     found = materialize(dealt.groupBy("cell", "i", "j").applyInArrow(_join(threshold), FOUND), "found")
     links = found.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     groups = connected_components(found.where("links is null"))
