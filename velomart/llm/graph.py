@@ -34,7 +34,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct()
         )
         # Small star: a node and its smaller neighbours go to the least of them.
-        large = materialize(large, "star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u")
@@ -43,13 +42,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .where("u != v")
             .distinct()
         )
-        small = materialize(small, "star")
+        now = materialize(small, "star")
         # Done when the edges are stars: no end of an edge is the start of another
         # and no node has two.
-        state = small.groupBy("u").agg(F.count("*").alias("n"))
-        bad = state.where("n > 1").limit(1).count() or small.join(small.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
-        now = small
-        if not bad:
+        ends = F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up"))))
+        state = now.select(ends.alias("e")).groupBy("e.x").agg(F.sum("e.up").alias("up"), F.count("*").alias("n"))
+        if state.where("up > 1 or (up = 1 and n > 1)").isEmpty():
             break
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -10,13 +10,14 @@ the threshold, and each remaining pair is verified once on the whole sets.
 * Rarity: blocks of 2M grams report grams that many of their documents hold; sums over
   all blocks order the frequent grams last.  Any common order is correct, so the bound on
   the reported grams (``FREQUENT``, broadcast) has no effect on the result.
-* Two rounds of candidates.  First each prefix gram's documents meet only the smallest of
-  similar size, a number of pairs linear in the rows; verified links give components.
-  Then pairs of different components that share a prefix gram are enumerated and
-  filtered.  A large group of near copies is one component after the first round, so its
+* Candidates come in rounds.  First each prefix gram's documents meet only the smallest of
+  similar size, then ``ROUNDS`` times each meets ``NEIGHBOURS`` others of its grams, in a new
+  order each time, if they are of other components: a number of pairs linear in the rows each time; verified links give
+  components.  Last, pairs of different components that share a prefix gram are all
+  enumerated and filtered.  A large group of near copies is one component by then, so its
   pairs are never spelled out, and no link between components is lost.
-* The suffix filter compares the sets' counts in ``PARTS`` ranges of gram hashes: the
-  differences bound the size of the symmetric difference from below.
+* The suffix filter compares the sets' counts in ranges of gram hashes, of about two grams
+  each: the differences bound the size of the symmetric difference from below.
 
 Texts are read three times and never shuffled; what moves are prefix grams (about
 1 - threshold of all), and the sets of documents in candidate pairs.
@@ -36,16 +37,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import bloom, words
-from .common import materialize
+from .common import map_batches, materialize
 from .graph import connected_components
 
 FREQUENT = 1 << 17
 BLOCK_GRAMS = 2_000_000
 BLOCK_TIMES = 8
-PARTS = 16
-_BOUNDS = (np.arange(1, PARTS, dtype=np.uint64) << np.uint64(60)) if PARTS == 16 else None
+ROUNDS, NEIGHBOURS = 1, 16
+LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 3, 12
 _ROWS = 1 << 16
 
 
@@ -90,9 +92,18 @@ def node_of(found: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def parts_of(found: np.ndarray) -> list[int]:
-    cuts = np.searchsorted(found, _BOUNDS)
-    return np.diff(cuts, prepend=0, append=len(found)).tolist()
+def parts_of(found: np.ndarray) -> bytes:
+    """How many grams lie in each of 2**k equal ranges of hashes (255 at most, which
+    keeps the bound)."""
+    k = min(max(len(found).bit_length() - 2, LEAST_PARTS_LOG2), MOST_PARTS_LOG2)
+    counts = np.bincount((found >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A bound from below on how many grams only one of two sets has."""
+    a, b = (np.frombuffer(p, np.uint8).astype(np.int64) for p in ((x, y) if len(x) <= len(y) else (y, x)))
+    return int(np.abs(a - b.reshape(len(a), -1).sum(axis=1)).sum())
 
 
 def _describe(n: int, keep: list[str]):
@@ -112,7 +123,7 @@ def _describe(n: int, keep: list[str]):
 
         def row(grams, times):
             empty = [pa.nulls(len(grams), t) for t in types]
-            more = [pa.nulls(len(grams), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+            more = [pa.nulls(len(grams), t) for t in (pa.int64(), pa.int64(), pa.binary())]
             return pa.RecordBatch.from_arrays([*empty, *more, words.signed(grams), pa.array(times, pa.int64())], names=names)
 
         for batch in batches:
@@ -131,7 +142,7 @@ def _describe(n: int, keep: list[str]):
                         block, size = [], 0
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(parts, pa.list_(pa.int32())), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names=names
+                [*(batch.column(c) for c in keep), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(parts, pa.binary()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names=names
             )
         if block:
             yield row(*frequent())
@@ -259,6 +270,19 @@ def _chosen_sets(n: int, sent):
     return run
 
 
+def _near(percent: int):
+    """Pairs that the suffix filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            most = total - 2 * -(-percent * total // (100 + percent))
+            keep = [i for i, (x, y) in enumerate(zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), strict=True)) if least_difference(x, y) <= most[i]]
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,10 +319,10 @@ class JaccardJoin:
         keep = ["doc_id", "dk", *self.extra]
         fields = [T.StructField(f.name, f.dataType, True) for f in self.rows.schema if f.name != "text"]
         schema = T.StructType([
-            *fields, T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("parts", T.ArrayType(T.IntegerType())),
+            *fields, T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("parts", T.BinaryType()),
             T.StructField("gram", T.LongType()), T.StructField("times", T.LongType()),
         ])
-        found = materialize(self.rows.mapInArrow(_describe(self.n, keep), schema), "sets")
+        found = materialize(map_batches(self.rows, _describe(self.n, keep), schema), "sets")
         self.documents = found.where("gram is null").drop("gram", "times")
         self.nodes = materialize(
             self.documents.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("parts").alias("parts"), F.min("dk").alias("dk"), F.min("doc_id").alias("least")), "nodes"
@@ -309,18 +333,16 @@ class JaccardJoin:
         self.frequent = self.spark.sparkContext.broadcast((grams[order], times[order]))
 
     def _shared(self) -> DataFrame:
-        rows = self.texts.mapInArrow(_prefixes(self.n, self.percent, self.frequent), "gram long, node long, n int, pos int")
+        rows = map_batches(self.texts, _prefixes(self.n, self.percent, self.frequent), "gram long, node long, n int, pos int")
         met = rows.repartition("gram").sortWithinPartitions("gram", "n", "node")
-        return materialize(met.mapInArrow(_meet(self.percent), "gram long, node long, n int, pos int, hub long"), "shared-grams")
+        return materialize(map_batches(met, _meet(self.percent), "gram long, node long, n int, pos int, hub long"), "shared-grams")
 
     def _possible(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that pass the length and suffix filters."""
-        p = self.percent
         nodes = self.nodes.select("node", "n", "parts")
         both = pairs.join(nodes.toDF("a", "na", "pa"), "a").join(nodes.toDF("b", "nb", "pb"), "b")
-        apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        overlap = F.expr(f"({p} * (na + nb) + {99 + p}) div {100 + p}")
-        return both.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p) & (apart <= F.col("na") + F.col("nb") - overlap * 2)).select("a", "b")
+        near = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
+        return map_batches(near, _near(self.percent), "a long, b long")
 
     def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that reach the threshold, verified on the whole sets."""
@@ -328,21 +350,31 @@ class JaccardJoin:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         chosen = self.nodes.join(ends, "node", "left_semi").select(F.col("node").bitwiseXOR(F.col("dk")).alias("key"))
         bits = self.spark.sparkContext.broadcast(bloom.build(chosen, "key"))
-        grams = materialize(self.texts.mapInArrow(_chosen_sets(self.n, bits), "node long, grams binary"), f"{name}-sets")
+        grams = materialize(map_batches(self.texts, _chosen_sets(self.n, bits), "node long, grams binary"), f"{name}-sets")
         held = pairs.join(grams.toDF("a", "x"), "a").join(grams.toDF("b", "y"), "b")
-        return materialize(held.mapInArrow(_verify(self.percent), "a long, b long").distinct(), f"{name}-links")
+        return materialize(map_batches(held, _verify(self.percent), "a long, b long").distinct(), f"{name}-links")
 
     def links(self) -> DataFrame:
         """(a, b): links between nodes, enough of them to connect all that are linked."""
         p = self.percent
-        shared = self._shared()
-        hubs = shared.where("hub is not null").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        first = self._linked(hubs, "hub")
-        groups = connected_components(first)
-        rooted = shared.drop("hub").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = materialize(rooted, "rooted-grams")
-        several = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
-        left = materialize(rooted.join(several, "gram", "left_semi"), "open-grams")
+        rows = self._shared()
+        hubs = rows.where("hub is not null").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        links = self._linked(hubs, "hub")
+        rows = rows.drop("hub").withColumn("root", F.col("node"))
+        for turn in range(ROUNDS + 1):
+            # Grams whose documents are in one component have nothing to add.
+            groups = connected_components(links)
+            rooted = rows.drop("root").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            of_gram = Window.partitionBy("gram")
+            several = rooted.withColumns({"low": F.min("root").over(of_gram), "high": F.max("root").over(of_gram)}).where("low < high")
+            rows = materialize(several.drop("low", "high"), "open-grams")
+            if turn == ROUNDS:
+                break
+            row = Window.partitionBy("gram").orderBy(F.xxhash64("node", F.lit(turn)))
+            before = F.array(*(F.lag(F.struct("node", "root"), k).over(row) for k in range(1, NEIGHBOURS + 1)))
+            met = rows.withColumn("all", before).withColumn("before", F.explode(F.filter("all", lambda b: b["root"] != F.col("root"))))
+            links = links.union(self._linked(met.select(F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")).distinct(), f"round{turn}"))
+        left = rows
         x = left.select("gram", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "pos", "root")))
         y = left.select("gram", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "root")))
         overlap = f"({p} * (n1 + n2) + {99 + p}) div {100 + p}"
@@ -355,7 +387,7 @@ class JaccardJoin:
             .select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"))
             .distinct()
         )
-        return first.union(self._linked(pairs, "cross"))
+        return links.union(self._linked(pairs, "cross"))
 
     def components(self) -> DataFrame:
         """doc_id, the extra columns, n_shingles, component_id and root (the component's
