@@ -7,7 +7,7 @@ by its probe prefix; length, positional and suffix filters drop pairs that canno
 the threshold, and each remaining pair is verified once on the whole sets.
 
 * Equal sets are one node (a 64-bit digest of the set), joined once.
-* Rarity: blocks of 2M grams report grams that many of their documents hold; sums over
+* Rarity: blocks of 4M grams report grams that many of their documents hold; sums over
   all blocks order the frequent grams last.  Any common order is correct, so the bound on
   the reported grams (``FREQUENT``, broadcast) has no effect on the result.
 * Candidates come in rounds.  First each prefix gram's documents meet only the smallest of
@@ -44,8 +44,8 @@ from .common import map_batches, materialize
 from .graph import connected_components
 
 FREQUENT = 1 << 17
-BLOCK_GRAMS = 2_000_000
-BLOCK_TIMES = 8
+BLOCK_GRAMS = 4_000_000
+BLOCK_TIMES = 4
 ROUNDS, NEIGHBOURS = 1, 16
 LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 3, 12
 _ROWS = 1 << 16
@@ -204,13 +204,14 @@ def _meet(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None  # the last row so far, not yet given out
-        hub: int | None = None  # its hub
+        hub = head = (0, 0)  # its hub, and the first of its class: node and size
         shared = False  # whether it follows a row of its gram
 
-        def give(rows, hubs, keep):
+        def give(rows, hubs, sizes, keep):
             arrays = [pa.array(rows[c][keep]) for c in ("gram", "node", "n", "pos")]
-            h = hubs[keep]
-            return pa.RecordBatch.from_arrays([*arrays, pa.array(h, mask=h == rows["node"][keep])], names=["gram", "node", "n", "pos", "hub"])
+            h, m, n = hubs[keep], sizes[keep], rows["n"][keep].astype(np.int64)
+            none = (h == rows["node"][keep]) | (100 * np.minimum(m, n) < percent * np.maximum(m, n))
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(h, mask=none)], names=["gram", "node", "n", "pos", "hub"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -230,22 +231,22 @@ def _meet(percent: int):
             opens[1:] = ~same[1:-1] | (part[1:] != part[:-1])
             # Each row's class opens at the last opening row; the first row's may lie behind.
             at = np.maximum.accumulate(np.where(opens, np.arange(count), 0))
-            own = rows["node"][at]
-            hubs = own.copy()
+            own, own_n = rows["node"][at], rows["n"][at].astype(np.int64)
             if held is not None:
                 first = at == 0
-                own[first] = head
-                hubs[first] = head
-                hubs[0] = hub
+                own[first], own_n[first] = head
+            hubs, sizes = own.copy(), own_n.copy()
+            if held is not None:
+                hubs[0], sizes[0] = hub
             chained = np.flatnonzero(opens[1:] & same[1:-1]) + 1
-            hubs[chained] = own[chained - 1]
+            hubs[chained], sizes[chained] = own[chained - 1], own_n[chained - 1]
             keep = same[:-1] | same[1:]
             keep[-1] = False
-            yield give(rows, hubs, np.flatnonzero(keep))
+            yield give(rows, hubs, sizes, np.flatnonzero(keep))
             held = {c: v[-1:] for c, v in rows.items()}
-            hub, head, shared = hubs[-1], own[-1], bool(same[-2]) if count > 1 else shared
+            hub, head, shared = (hubs[-1], sizes[-1]), (own[-1], own_n[-1]), bool(same[-2]) if count > 1 else shared
         if held is not None and shared:
-            yield give(held, np.array([hub]), np.array([0]))
+            yield give(held, np.array([hub[0]]), np.array([hub[1]]), np.array([0]))
 
     return run
 
@@ -371,8 +372,9 @@ class JaccardJoin:
             if turn == ROUNDS:
                 break
             row = Window.partitionBy("gram").orderBy(F.xxhash64("node", F.lit(turn)))
-            before = F.array(*(F.lag(F.struct("node", "root"), k).over(row) for k in range(1, NEIGHBOURS + 1)))
-            met = rows.withColumn("all", before).withColumn("before", F.explode(F.filter("all", lambda b: b["root"] != F.col("root"))))
+            before = F.array(*(F.lag(F.struct("node", "root", "n"), k).over(row) for k in range(1, NEIGHBOURS + 1)))
+            apart = lambda b: (b["root"] != F.col("root")) & (F.least(b["n"], F.col("n")) * 100 >= F.greatest(b["n"], F.col("n")) * p)
+            met = rows.withColumn("all", before).withColumn("before", F.explode(F.filter("all", apart)))
             links = links.union(self._linked(met.select(F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")).distinct(), f"round{turn}"))
         left = rows
         x = left.select("gram", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "pos", "root")))
