@@ -5,11 +5,12 @@ corpus (a smaller document id, or earlier in the same document).
 
 * Each window of ``length`` bytes has a minimizer, the least hash of its grams of
   ``GRAM`` bytes.  Equal windows have equal minimizers, so a minimizer that stands at one
-  place only has no repeats.  Minimizers are sorted by Spark, and the places of those
-  that several places share are kept.
+  place only has no repeats.  The minimizers of all documents are sorted by Spark, and
+  those that stand at several places are kept.
 * The runs of windows under such a minimizer, as pieces of text, go to the shard of that
   minimizer: all equal windows meet in one shard.  Equal pieces are collapsed: all but
-  the earliest are covered whole.
+  the earliest are covered whole.  A minimizer left with one piece that holds it once has
+  no two windows to compare and needs no sorting.
 * A shard's distinct pieces become one text, its suffix array is made by induced sorting
   and its common prefixes by the permuted recurrence (:mod:`suffix_array`).  Suffixes
   that share ``length`` bytes stand side by side; all but the earliest are covered.
@@ -38,13 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words
-from .common import materialize
+from .common import map_batches, materialize
 from .suffix_array import permuted_lcp, suffix_array
 
 LENGTH = 100
-GRAM = 16
-SHARD_BYTES = 2 << 20
-GROUP_BYTES = 8 << 20
+GRAM = 40
+SHARD_BYTES = 1 << 20
+GROUP_BYTES = 2 << 20
 LAST = (1 << 63) - 1  # the place of a null id
 
 
@@ -70,8 +71,9 @@ def minimizers(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndar
 
 
 def _places(length: int):
-    """value, ord, crc, place: the minimizers of each text.  A text that the task has seen
-    from an earlier document is one row with place -1 - its bytes."""
+    """value, ord, crc, times: the distinct minimizers of each text, and whether they stand
+    there once or more (2).  A text that the task has seen from an earlier document is
+    one row with times = -1 - its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[int, int]] = {}
@@ -96,7 +98,7 @@ def _places(length: int):
                 at = np.arange(row, end)
                 if len(copied):
                     yield pa.RecordBatch.from_arrays(
-                        [words.signed(words.mix(copied.astype(np.uint64))), pa.array(ords[row + copied]), pa.array(crcs[row + copied]), pa.array(-1 - sizes[copied])], names=["value", "ord", "crc", "place"]
+                        [words.signed(words.mix(copied.astype(np.uint64))), pa.array(ords[row + copied]), pa.array(crcs[row + copied]), pa.array(-1 - sizes[copied])], names=["value", "ord", "crc", "times"]
                     )
                 if skip.all():
                     continue
@@ -105,20 +107,28 @@ def _places(length: int):
                 kept = words.sliding_max_back(np.where(whole, least, np.uint64(0)), length - min(GRAM, length) + 1)
                 place = np.flatnonzero((kept == grams) & (grams != 0))
                 owner = np.searchsorted(offsets, place, "right") - 1
+                found = grams[place]
+                order = np.lexsort((found, owner))
+                found, owner = found[order], owner[order]
+                opens = np.ones(len(found), bool)
+                opens[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+                first = np.flatnonzero(opens)
+                times = np.minimum(np.diff(np.append(first, len(found))), 2)
+                found, owner = found[first], owner[first]
                 yield pa.RecordBatch.from_arrays(
-                    [words.signed(grams[place]), pa.array(ords[at[owner]]), pa.array(crcs[at[owner]]), pa.array(place - offsets[owner])], names=["value", "ord", "crc", "place"]
+                    [words.signed(found), pa.array(ords[at[owner]]), pa.array(crcs[at[owner]]), pa.array(times)], names=["value", "ord", "crc", "times"]
                 )
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by value: those whose value other rows have too, and the whole
-    copies."""
+    """From rows sorted by value: those whose value stands at several places, and the
+    whole copies."""
     held, shared = None, False
 
     def give(batch: pa.RecordBatch, keep: np.ndarray) -> pa.RecordBatch:
-        return batch.filter(pa.array(keep | (batch.column("place").to_numpy() < 0)))
+        return batch.filter(pa.array(keep | (batch.column("times").to_numpy() != 1)))
 
     for batch in batches:
         if not batch.num_rows:
@@ -136,15 +146,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pieces(length: int):
-    """value, ord, crc, start, piece: the runs of windows under the document's shared
-    minimizers, each as the text that these windows cover."""
+    """value, ord, crc, start, again, piece: the runs of windows under the document's
+    shared minimizers, each as the text that these windows cover, and whether it holds
+    the minimizer more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ords, crcs = batch.column("ord"), batch.column("crc")
             for row, end, data, offsets in words.chunks(batch.column("text")):
                 sizes = np.diff(offsets)
-                _, least, whole = minimizers(data, np.repeat(offsets[1:], sizes), length)
+                grams, least, whole = minimizers(data, np.repeat(offsets[1:], sizes), length)
                 at = np.flatnonzero(whole)
                 if not len(at):
                     continue
@@ -161,11 +172,14 @@ def _pieces(length: int):
                     shared = batch.column("values")[row + i].values.to_numpy().view(np.uint64)
                     wanted[mine[0] : mine[1]] = np.isin(value[mine[0] : mine[1]], shared)
                 value, owner, begin, stop = value[wanted], owner[wanted], begin[wanted], stop[wanted]
+                # Places of a run's own value: where the gram is the least of a window of it.
+                width = length - min(GRAM, length)
+                again = np.array([np.count_nonzero(grams[a : b - length + 1 + width] == v) > 1 for a, b, v in zip(begin.tolist(), stop.tolist(), value, strict=True)], bool)
                 raw = data.tobytes()
                 picked = pa.array(row + owner)
                 yield pa.RecordBatch.from_arrays(
-                    [words.signed(value), ords.take(picked), crcs.take(picked), pa.array(begin - offsets[owner]), pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], pa.binary())],
-                    names=["value", "ord", "crc", "start", "piece"],
+                    [words.signed(value), ords.take(picked), crcs.take(picked), pa.array(begin - offsets[owner]), pa.array(again), pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], pa.binary())],
+                    names=["value", "ord", "crc", "start", "again", "piece"],
                 )
 
     return run
@@ -216,7 +230,7 @@ def _shards(length: int, shard_bytes: int, group_bytes: int):
         shard: list[tuple[bytes, int, int, int]] = []  # distinct pieces of whole groups
         group: list[tuple[bytes, int, int, int]] = []  # of the group being read
         shard_size = group_size = 0
-        value, large = None, False
+        value, large, several = None, False, False
         out: list[tuple[int, int, int, int, bytes | None]] = []
 
         def close_shard():
@@ -229,11 +243,12 @@ def _shards(length: int, shard_bytes: int, group_bytes: int):
 
         def close_group():
             nonlocal group, group_size, shard_size
-            shard.extend(group)
-            shard_size += group_size
+            if len(group) > 1 or several:
+                if shard_size + group_size > shard_bytes:
+                    close_shard()
+                shard.extend(group)
+                shard_size += group_size
             group, group_size = [], 0
-            if shard_size >= shard_bytes:
-                close_shard()
 
         def flush():
             cols = zip(*out, strict=True) if out else [[]] * 5
@@ -242,17 +257,19 @@ def _shards(length: int, shard_bytes: int, group_bytes: int):
             out.clear()
             return done
 
-        last = None
+        last, place = None, None
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("value", "ord", "crc", "start", "piece")), strict=True)
-            for v, o, c, start, piece in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("value", "ord", "crc", "start", "again", "piece")), strict=True)
+            for v, o, c, start, again, piece in rows:
                 if v != value:
                     close_group()
-                    value, large, last = v, False, None
+                    value, large, several, last = v, False, False, None
+                several |= again
                 if piece == last:
-                    out.append((o, c, start, start + len(piece), None))
+                    if (o, c, start) != place:  # else an equal row: the same document
+                        out.append((o, c, start, start + len(piece), None))
                     continue
-                last = piece
+                last, place = piece, (o, c, start)
                 if not large:
                     group.append((piece, o, c, start))
                     group_size += len(piece)
@@ -304,6 +321,30 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), *arrays[:4]], names=[*keep, *names[:4]])
 
 
+FILTER_BITS = 1 << 23
+
+
+def _slot():
+    """The bit of a document in a filter of a fixed number of bits."""
+    return F.pmod(F.xxhash64("ord", "crc"), F.lit(FILTER_BITS))
+
+
+def _filter_words(keys: DataFrame) -> DataFrame:
+    """The filter of the documents (ord, crc) as words of 32 bits: at most
+    ``FILTER_BITS / 32`` rows, which is the bound of its broadcast."""
+    slot = keys.select(_slot().alias("slot"))
+    words_ = slot.select(F.expr("cast(slot div 32 as int)").alias("word"), F.expr("shiftleft(1L, cast(slot % 32 as int))").alias("bit"))
+    return materialize(words_.groupBy("word").agg(F.bit_or("bit").alias("bits")), "filter")
+
+
+def _split(rows: DataFrame, filter_words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that may be among the filter's documents, and those that are not.  Only
+    the former are dealt out; a full filter lets all through."""
+    flagged = rows.withColumn("word", F.expr(f"cast(({FILTER_BITS - 1} & xxhash64(ord, crc)) div 32 as int)")).join(F.broadcast(filter_words), "word", "left")
+    may = F.expr("coalesce(getbit(bits, cast(pmod(xxhash64(ord, crc), 32) as int)), 0) = 1")
+    return flagged.where(may).drop("word", "bits"), flagged.where(~may).drop("word", "bits")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, group_bytes: int = GROUP_BYTES, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with ``with_text``
     also kept, the bytes that stay."""
@@ -311,14 +352,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
     texts = rows.select("ord", "crc", "text")
 
-    places = texts.mapInArrow(_places(length), "value long, ord long, crc long, place long").repartition("value").sortWithinPartitions("value")
-    shared = materialize(places.mapInArrow(_shared, "value long, ord long, crc long, place long"), "shared-places")
-    copies = shared.where("place < 0").select("ord", "crc", F.lit(0).cast("long").alias("low"), (-1 - F.col("place")).alias("high"), F.lit(None).cast("binary").alias("piece"))
-    values = shared.where("place >= 0").groupBy("ord", "crc").agg(F.collect_set("value").alias("values"))
+    places = map_batches(texts, _places(length), "value long, ord long, crc long, times long").repartition("value").sortWithinPartitions("value")
+    shared = materialize(map_batches(places, _shared, "value long, ord long, crc long, times long"), "shared-places")
+    copies = shared.where("times < 0").select("ord", "crc", F.lit(0).cast("long").alias("low"), (-1 - F.col("times")).alias("high"), F.lit(None).cast("binary").alias("piece"))
+    values = shared.where("times > 0").groupBy("ord", "crc").agg(F.collect_set("value").alias("values"))
 
-    distinct = texts.join(values, ["ord", "crc"]).mapInArrow(_pieces(length), "value long, ord long, crc long, start long, piece binary")
+    concerned, _ = _split(texts, _filter_words(values))
+    distinct = map_batches(concerned.join(values, ["ord", "crc"]), _pieces(length), "value long, ord long, crc long, start long, again boolean, piece binary")
     dealt = distinct.repartition("value").sortWithinPartitions("value", "piece", "ord", "crc", "start")
-    found = materialize(dealt.mapInArrow(_shards(length, shard_bytes, group_bytes), COVERED), "covered")
+    found = materialize(map_batches(dealt, _shards(length, shard_bytes, group_bytes), COVERED), "covered")
 
     # Groups beyond the bound: their windows as strings.
     window = (
@@ -331,8 +373,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     covered = found.where("piece is null").drop("piece").union(copies.drop("piece")).union(strings)
     stretches = covered.distinct().groupBy("ord", "crc").agg(F.collect_list(F.struct("low", "high")).alias("all")).select("ord", "crc", F.col("all.low").alias("low"), F.col("all.high").alias("high"))
-    held = rows.join(stretches, ["ord", "crc"], "left").select("doc_id", "text", "low", "high", *([F.lit(True).alias("kept")] if with_text else []))
+    stretches = materialize(stretches, "stretches")
+    cut, whole = _split(rows, _filter_words(stretches))
+    held = cut.join(stretches, ["ord", "crc"], "left").select("doc_id", "text", "low", "high", *([F.lit(True).alias("kept")] if with_text else []))
     fields = [rows.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     if with_text:
         fields.append(T.StructField("kept", T.BinaryType()))
-    return held.mapInArrow(_cut, T.StructType(fields))
+    raw = F.col("text").cast("binary")
+    zero = F.lit(0).cast("long")
+    untouched = whole.select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), *([raw.alias("kept")] if with_text else [])
+    )
+    return map_batches(held, _cut, T.StructType(fields)).union(untouched)
