@@ -155,3 +155,22 @@ def test_dashboard_frames_follow_granularity(spark):
     assert hourly["flows"].columns[-1] == "line_weight"
     with pytest.raises(ValueError):
         reports.dashboard_frames(m, granularity="Weekly")
+
+
+def test_coordinates_that_differ_in_the_last_digit_are_one_key(spark):
+    """Float means depend on the order of their sum: 0.1 + 0.2 + 0.3 is not 0.3 + 0.2 + 0.1."""
+    a, b = (0.1 + 0.2) + 0.3, 0.1 + (0.2 + 0.3)
+    assert a != b
+    rows = [
+        ("2024-03-01", "S1", "A", a, a, "S2", "B", b, b, 3, 1, 2),
+        ("2024-03-02", "S1", "A", b, b, "S2", "B", a, a, 4, 2, 2),
+    ]
+    flows = spark.createDataFrame(
+        rows,
+        "trip_date string, start_station_id string, start_station_name string, start_lat double, start_lng double, end_station_id string, "
+        "end_station_name string, end_lat double, end_lng double, trip_count long, member_trips long, casual_trips long",
+    ).withColumn("trip_date", F.col("trip_date").cast("date"))
+    days = flows.select("trip_date").distinct()
+    assert [(r.trip_count, r.start_lat) for r in reports.top_flows_daily(flows, days).collect()] == [(7, 0.6)]
+    stations = flows.select("trip_date", F.col("start_station_id").alias("station_id"), F.col("start_station_name").alias("station_name"), F.col("start_lat").alias("lat"), F.col("start_lng").alias("lon"), "trip_count", "member_trips", "casual_trips")
+    assert [r.trip_count for r in reports.station_activity(stations).collect()] == [7]
