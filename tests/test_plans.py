@@ -88,3 +88,13 @@ def test_reports_use_no_python_udf(spark, stored):
     for df in frames:
         p = plan(df)
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_refresh_prunes_landed_months(spark, stored):
+    from velomart.operators.staging import stage_trips
+    from velomart.sources.tables import read_bronze_trips
+
+    bronze = read_bronze_trips(spark, stored.trips_bronze).where(build._landed_in([(2024, 3)]))
+    text = plan(stage_trips(bronze).where(build.in_months("started_at", [(2024, 3)], as_timestamp=True)))
+    scan = text[text.index("PartitionFilters"):].split("]")[0]
+    assert "year" in scan and "month" in scan
