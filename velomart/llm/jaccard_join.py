@@ -45,7 +45,7 @@ from .graph import connected_components
 
 FREQUENT = 1 << 17
 BLOCK_GRAMS = 4_000_000
-BLOCK_TIMES = 4
+BLOCK_TIMES = 3
 ROUNDS, NEIGHBOURS = 1, 16
 LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 3, 12
 _ROWS = 1 << 16
@@ -114,9 +114,11 @@ def _describe(n: int, keep: list[str]):
         block, size = [], 0
 
         def frequent():
-            grams, times = np.unique(np.concatenate(block), return_counts=True)
-            often = times >= BLOCK_TIMES
-            return grams[often], times[often]
+            grams = np.concatenate(block)
+            grams.sort()
+            n = max(0, len(grams) - BLOCK_TIMES + 1)
+            often = np.unique(grams[:n][grams[:n] == grams[len(grams) - n :]])
+            return often, np.searchsorted(grams, often, "right") - np.searchsorted(grams, often, "left")
 
         names = [*keep, "n", "node", "parts", "gram", "times"]
         types: list[pa.DataType] = []
