@@ -358,3 +358,46 @@ def test_backfill_builds_again_after_a_failed_gate(spark, scratch):
             backfill(spark, lay, (2024, 1), (2024, 1))
     assert backfill(spark, lay, (2024, 1), (2024, 1), check=False)["months"] == [(2024, 1)]
     assert build.load_marts(spark, lay)["fct_trip_daily"].count() > 0
+
+
+def _same_as_full_build(spark, lay):
+    full = ingest.Layout(**{**lay.__dict__, "marts": lay.marts + "_full"})
+    build.build_marts(spark, full, check=False)
+    for name, df in build.load_marts(spark, lay).items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, build.load_marts(spark, full)[name].collect())), name
+
+
+@pytest.mark.parametrize("again", [2, 1])
+def test_refresh_after_a_load_lost_before_its_record(spark, scratch, monkeypatch, again):
+    """The driver is lost between the write of February and its ledger row."""
+    lay = _deployment(spark, scratch, f"lost-{again}", (1, 2))
+    monthly_load(spark, lay, 2024, 1, check=False)
+    with monkeypatch.context() as m:
+        m.setattr(LoadLedger, "record", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            monthly_load(spark, lay, 2024, 2, check=False)
+    out = monthly_load(spark, lay, 2024, again, check=False)
+    assert (2024, 2) in out["months"]
+    ledger = LoadLedger(spark, lay.ledger)
+    assert ledger.already_loaded(ingest.TRIPS_PIPELINE, 2024, 2) == (again == 2)
+    assert build.load_marts(spark, lay)["fct_trip_daily"].where("month(trip_date) = 2").count() > 0
+    _same_as_full_build(spark, lay)
+
+
+def test_a_lost_reload_leaves_no_old_span(spark, scratch, monkeypatch):
+    """January's forced reload brings trips of February too and is lost before its record."""
+    from velomart.plans import monthly
+
+    lay = _deployment(spark, scratch, "lost-reload", (1,))
+    ledger = LoadLedger(spark, lay.ledger)
+    monthly._load(spark, lay, ledger, 2024, 1, False, None)
+    assert monthly._landed_with(spark, lay, ledger, {(2024, 2)}) == []
+    trips = Inputs(spark, SF_SMALL).bronze_trips.where("year(started_at) = 2024 and month(started_at) < 3")
+    landing.write_trip_csv(trips, lay.landed(lay.trips_landing, 2024, 1))
+    with monkeypatch.context() as m:
+        m.setattr(LoadLedger, "record", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            monthly._load(spark, lay, ledger, 2024, 1, True, None)
+    assert monthly._landed_with(spark, lay, ledger, {(2024, 2)}) is None
+    assert monthly._load(spark, lay, ledger, 2024, 1, False, None)[0] == ingest.SKIPPED_EXISTS
+    assert monthly._landed_with(spark, lay, ledger, {(2024, 2)}) == [(2024, 1)]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from velomart.plans.build import build_marts, mart_path, MART_ORDER, trip_months_in_partition
 from velomart.plans.ingest import (
     LOADED,
+    SKIPPED_EXISTS,
     TRIPS_PIPELINE,
     WEATHER_PIPELINE,
     Layout,
@@ -17,12 +18,14 @@ from velomart.plans.ingest import (
     ingest_weather_month,
 )
 from velomart.plans.ledger import STALE, SUCCESS, LoadLedger, pending_months
+from velomart.sources.replace import Folder
 from velomart.sources.tables import month_partition, path_exists
 
 # Events of the marts: a trip month is stale from before a load that touches it until a
 # build of it has passed its checks.
 MARTS_PIPELINE = "marts"
-# Which trip months a landed month holds: one event for each of them.
+# Which trip months a landed month holds: one event for each of them, and stale from
+# before a load until its rows have been looked at.
 _SPAN = "span {:04d}-{:02d}"
 
 Month = tuple[int, int]
@@ -74,12 +77,17 @@ def _load(
         # What the load may change is marked first: a load or build that fails later
         # leaves the mark, and the next run builds these months.
         ledger.record_all(MARTS_PIPELINE, before | {(year, month)}, layout.marts, STALE)
+        ledger.record_all(_SPAN.format(year, month), [(year, month)], partition, STALE)
     trips = ingest_trips_month(spark, layout, ledger, year, month, force)
     after = before
     if trips == LOADED:
         after = set(trip_months_in_partition(spark, layout, year, month))
-        ledger.record_all(_SPAN.format(year, month), after, partition, SUCCESS)
+    if trips == LOADED or (trips == SKIPPED_EXISTS and (year, month) not in _spans(ledger)):
+        # Also for a folder whose load was lost before its record.
+        if not ledger.already_loaded(TRIPS_PIPELINE, year, month):
+            ledger.record(TRIPS_PIPELINE, year, month, partition)
         ledger.record_all(MARTS_PIPELINE, before | after | {(year, month)}, layout.marts, STALE)
+        ledger.record_all(_SPAN.format(year, month), after | {(year, month)}, partition, SUCCESS)
     weather = ingest_weather_month(spark, layout, ledger, year, month, force, station)
     if weather == LOADED:
         ledger.record_all(MARTS_PIPELINE, [(year, month)], layout.marts, STALE)
@@ -99,16 +107,37 @@ def _stale_months(spark: SparkSession, layout: Layout, ledger: LoadLedger) -> se
     return stale
 
 
-def _landed_with(ledger: LoadLedger, months: set[Month]) -> list[Month] | None:
-    """Landed months that hold trips of ``months``, by the spans recorded at their loads;
-    None if a landed month has no recorded span.  Bounded by the calendar."""
-    landed = {(r.year, r.month) for r in ledger.successes(TRIPS_PIPELINE).select("year", "month").distinct().collect()}
+def _spans(ledger: LoadLedger) -> dict[Month, set[Month]]:
+    """Trip months of each landed month, without those that a load has marked and not
+    recorded since.  Bounded by the calendar."""
+    rows = ledger.read().where(F.col("pipeline_name").startswith("span "))
+    latest = rows.groupBy("pipeline_name").agg(F.max(F.struct("loaded_at", "status"))["status"].alias("now"))
+    held = rows.where(F.col("status") == SUCCESS).join(latest.where(F.col("now") == SUCCESS), "pipeline_name")
     spans: dict[Month, set[Month]] = {}
-    rows = ledger.successes().where(F.col("pipeline_name").startswith("span ")).select("pipeline_name", "year", "month").distinct()
-    for r in rows.collect():
+    for r in held.select("pipeline_name", "year", "month").distinct().collect():
         y, _, m = r.pipeline_name.removeprefix("span ").partition("-")
         spans.setdefault((int(y), int(m)), set()).add((r.year, r.month))
-    if landed - set(spans):
+    return spans
+
+
+def _bronze_months(spark: SparkSession, layout: Layout) -> set[Month]:
+    """Landed months that have a folder in trip bronze, whatever the ledger says."""
+    root = Folder(spark, layout.trips_bronze)
+    return {
+        (int(y.removeprefix("year=")), int(m.removeprefix("month=")))
+        for y in root.children()
+        if y.startswith("year=")
+        for m in Folder(spark, f"{root.path}/{y}").children()
+        if m.startswith("month=")
+    }
+
+
+def _landed_with(spark: SparkSession, layout: Layout, ledger: LoadLedger, months: set[Month]) -> list[Month] | None:
+    """Landed months that hold trips of ``months``, by the spans recorded at their loads;
+    None if a landed month or a folder of bronze has no recorded span."""
+    landed = {(r.year, r.month) for r in ledger.successes(TRIPS_PIPELINE).select("year", "month").distinct().collect()}
+    spans = _spans(ledger)
+    if (landed | _bronze_months(spark, layout)) - set(spans):
         return None
     return sorted(month for month, held in spans.items() if held & months)
 
@@ -126,7 +155,7 @@ def _build_stale(
     if everything:
         marts = build_marts(spark, layout, check)
     else:
-        marts = build_marts(spark, layout, check, months=sorted(months), partitions=_landed_with(ledger, months))
+        marts = build_marts(spark, layout, check, months=sorted(months), partitions=_landed_with(spark, layout, ledger, months))
     ledger.record_all(MARTS_PIPELINE, months, layout.marts, SUCCESS)
     return marts, None if full_rebuild else sorted(months)
 
