@@ -114,7 +114,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     base = np.uint64(_BASE)
     for k in range(n):
         total = total * base
-        total[: len(words) - k] += words[k:]
+        total[: max(0, len(words) - k)] += words[k:]
     return mix(total)
 
 
@@ -123,7 +123,8 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     out, have = values.copy(), 1
     while have < width:
         step = min(have, width - have)
-        np.minimum(out[: len(out) - step], out[step:], out=out[: len(out) - step])
+        kept = max(0, len(out) - step)
+        np.minimum(out[:kept], out[step:], out=out[:kept])
         have += step
     return out
 
@@ -133,7 +134,7 @@ def sliding_max_back(values: np.ndarray, width: int) -> np.ndarray:
     out, have = values.copy(), 1
     while have < width:
         step = min(have, width - have)
-        out[step:] = np.maximum(out[step:], out[: len(out) - step])
+        out[step:] = np.maximum(out[step:], out[: max(0, len(out) - step)])
         have += step
     return out
 
