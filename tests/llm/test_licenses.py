@@ -83,3 +83,56 @@ def test_documents(spark, odd_docs):
     got = L.scan(files, extra={"doc_id": files.doc_id}).collect()
     assert len(got) == odd_docs.count()
     assert {r.license for r in got if r.doc_id == 13} == {"MIT"}
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer."""
+BSD3 = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+HEADERS = [
+    *((f"SPDX-License-Identifier: {tag}", name) for name, tag in L.SPDX),
+    ("GNU GENERAL PUBLIC LICENSE", "GPL"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007", "GPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991", "GPL-2.0"),
+    ("Mozilla Public License Version 2.0", "MPL-2.0"),
+    ("Apache License\nVersion 2.0, January 2004", "Apache-2.0"),
+    ("MIT License", "MIT"),
+    (GPL, "GPL-3.0"),
+    (GPL.replace("software:", "software;").replace("version 3", "version 2"), "GPL-2.0"),
+    (GPL.replace("GNU General", "GNU Affero General"), "AGPL-3.0"),
+    (GPL.replace("GNU General", "GNU Lesser General").replace("program", "library"), "LGPL-3.0"),
+    (MIT, "MIT"),
+    (APACHE, "Apache-2.0"),
+    (BSD2, "BSD-2-Clause"),
+    (BSD2 + "\n\n" + BSD3, "BSD-3-Clause"),
+]
+
+
+def test_usual_headers(spark):
+    """Alone and as comments, with code behind them at once."""
+    rows, want = [], {}
+    for i, (text, name) in enumerate(HEADERS):
+        for form, mark in (("text", ""), ("hash", "# "), ("star", " * "), ("crlf", "// ")):
+            marked = "\n".join((mark + line).rstrip() for line in text.split("\n")) + ("\nimport os\nx = 1\n" if mark else "")
+            rows.append((f"{form}/{i}.c", marked.replace("\n", "\r\n") if form == "crlf" else marked))
+            want[rows[-1][0]] = name
+    got = {r.path: r.license for r in L.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {p: (got[p], n) for p, n in want.items() if got[p] != n} == {}

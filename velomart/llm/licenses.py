@@ -1,8 +1,9 @@
 """License scan: TF-IDF cosine to templates, then inheritance along directories.
 
-A file's own licence comes from its headers: sentences that speak of a licence, each a
-sparse TF-IDF vector that is compared with the templates' vectors by a join on terms.  A
-licence file (by its name) is also compared as a whole.  A file without a licence of its
+A file's own licence comes from its headers: lines and sentences that speak of a licence,
+each a sparse TF-IDF vector that is compared with the templates' vectors by a join on
+terms.  A sentence may run over several lines, up to its end or a blank line (comment
+marks alone are blank), and a line is also taken with the next.  A licence file (by its name) is also compared as a whole.  A file without a licence of its
 own inherits from the nearest directory above it that holds a licence file.
 
 Sentences repeat, so each distinct one is scored once; inheritance is found once per
@@ -34,6 +35,12 @@ from .sharding import _table
 
 THRESHOLD = 0.6
 
+#: SPDX identifiers, which are one term each, and the names used here.
+SPDX = [
+    *((name, name + end) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")),
+    *((name, name) for name in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0")),
+    ("Apache-2.0 OR MIT", "Apache-2.0 OR MIT"),
+]
 #: Identifiers of licences and the sentences by which they are known.
 TEMPLATES = [
     ("MIT", "Released under the MIT License"),
@@ -49,6 +56,8 @@ TEMPLATES = [
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    # Before the sentence that both BSD texts have, so that it wins a tie with it.
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
@@ -59,11 +68,36 @@ TEMPLATES = [
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("Proprietary", "Copyright. All rights reserved"),
+    # Titles.
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("GPL", "GNU General Public License"),  # names no version
+    ("LGPL", "GNU Lesser General Public License"),
+    ("AGPL", "GNU Affero General Public License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("ISC", "ISC License"),
+    # Whole sentences of headers.
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License"),
+    *((name, f"{work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation, {terms}")
+      for name, work, kind, version in (("GPL-3.0", "This program", "", "3"), ("GPL-2.0", "This program", "", "2"), ("LGPL-3.0", "This library", "Lesser ", "3"), ("LGPL-2.1", "This library", "Lesser ", "2.1"), ("AGPL-3.0", "This program", "Affero ", "3"))
+      for terms in (f"either version {version} of the License, or (at your option) any later version", f"version {version} of the License")),
+    *((name, f"SPDX-License-Identifier: {tag}") for name, tag in SPDX),
 ]
 #: What a sentence about a licence holds, and names of licence files.
 TRIGGER = r"(?i)licen[cs]|copyright|spdx-|public domain|rights reserved|hereby granted|redistribution and use"
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 SENTENCE_END = r"[.!?;:]*[\n\r]+|[.!?]+[ \t]+"
+#: Ends of sentences that run over lines: a full stop before space, or a line without letters and digits.
+WRAPPED_END = r"[.!?]+\s+|(?:\r\n?+|\n)[^a-zA-Z0-9\x80-\x{10FFFF}\n\r]*(?:\r\n?+|\n)\s*"
+LINE_END = r"\r\n?+|\n"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
 
@@ -113,7 +147,12 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", extra
     base = materialize(base, "files")
 
     speaking = rows.where(F.col("text").rlike(TRIGGER))
-    sentences = F.filter(F.split("text", SENTENCE_END), lambda s: s.rlike(TRIGGER))
+    lines = F.filter(F.split("text", SENTENCE_END), lambda s: s.rlike(TRIGGER))
+    wrapped = F.filter(F.split("text", WRAPPED_END), lambda s: s.rlike(r"[\n\r]") & s.rlike(TRIGGER))
+    # A title and the line below it, which often names the version.
+    each = F.split("text", LINE_END)
+    pairs = F.filter(F.zip_with(each, F.slice(each, F.lit(2), F.size(each)), lambda a, b: F.when(a.rlike(TRIGGER), F.concat(a, F.lit("\n"), b))), lambda s: s.isNotNull())
+    sentences = F.concat(lines, wrapped, pairs)
     named = F.substring_index("path", "/", -1).rlike(LICENSE_FILE)
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
     units = speaking.select("rid", F.explode(F.concat(sentences, whole)).alias("unit")).withColumn("uid", F.md5(F.col("unit").cast("binary")))
