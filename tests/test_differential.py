@@ -24,7 +24,7 @@ import __spark_entry__ as E  # noqa: E402
 from velomart.catalog import BUILDERS, Inputs  # noqa: E402
 from velomart.schemas import TRIP_BRONZE_SCHEMA  # noqa: E402
 
-from conftest import SF_SMALL  # noqa: E402
+from tables_at import SF_SMALL  # noqa: E402
 
 BASE = dt.datetime(2024, 3, 9, 22, 0, 0)
 # Every registered query whose input is trips (round trips that write, and

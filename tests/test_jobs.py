@@ -13,7 +13,7 @@ from velomart.plans.monthly import monthly_load
 from velomart.sources import landing
 from velomart.sources.tables import read_bronze, read_bronze_trips
 
-from conftest import SF_SMALL
+from tables_at import SF_SMALL
 
 YEAR, MONTH = 2024, 3
 

@@ -12,7 +12,7 @@ from velomart.operators.weather import pivot_observations
 from velomart.plans import build, ingest
 from velomart.sources.tables import read_bronze, write_bronze
 
-from conftest import SF_SMALL
+from tables_at import SF_SMALL
 
 
 def plan(df) -> str:

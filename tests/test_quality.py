@@ -7,7 +7,7 @@ import pytest
 from velomart.catalog import Inputs
 from velomart.operators import quality
 
-from conftest import SF_SMALL
+from tables_at import SF_SMALL
 
 
 def test_declared_check_count():

@@ -9,7 +9,7 @@ from velomart.catalog import Inputs
 from velomart.operators import reports
 from velomart.operators.reports import DayFilters, HourFilters
 
-from conftest import SF_SMALL
+from tables_at import SF_SMALL
 
 DAYS = (
     "trip_date date, total_trips long, member_trips long, casual_trips long, avg_trip_duration_minutes double, "
