@@ -5,8 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import near_copies
-from conftest_llm import key
+from conftest_llm import key, near_copies
 from velomart.llm import jaccard_join as J
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
