@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, embedding_join, jaccard_join, language_id, licenses, mixing, sharding, suffix_dedup, token_counts, warc
+from . import (
+    conversation_repair,
+    decontamination,
+    embedding_join,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    lexical_search,
+    licenses,
+    mixing,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from .common import read_table
 
 SHARDS = 24
@@ -68,6 +82,19 @@ def op10_write_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.equal_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), of=rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_count_tokens": op2_count_tokens,
@@ -79,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_remove_repeats": op8_remove_repeats,
     "op9_shard_documents": op9_shard_documents,
     "op10_write_warc": op10_write_warc,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_repair_conversations": op13_repair_conversations,
 }
 
 #: ASCII capitals and their small letters.
@@ -218,6 +248,95 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)"""
 
+_OP11_SQL = r"""
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY s) AS group_size, row_number() OVER w = 1 AS kept, sha256(s) AS text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents)
+WINDOW w AS (PARTITION BY s ORDER BY points DESC, doc_id NULLS LAST)"""
+
+_OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), total AS (
+  SELECT count(*) AS nd, cast(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, cast(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d) GROUP BY ALL
+), df AS (
+  SELECT t, cast(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, total GROUP BY t, nd
+), item AS (
+  SELECT q, item_id, t, count(*) AS times FROM (SELECT q, item_id, unnest(w) AS t FROM b) GROUP BY ALL
+), score AS (
+  SELECT q, item_id, r, doc_id, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l)))) AS BIGINT) AS score
+  FROM item JOIN df USING (t) JOIN tf USING (t), total GROUP BY q, item_id, r, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score WHERE score > 0
+)
+SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+def _op13_sql() -> str:
+    """Row by row, the least (cost, audit, repaired turns) that ends in each state."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(str(byte))
+    of = lambda s, cost, letter, line: f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {cost}, 'a': {s}.a || '{letter}', 't': {s}.t || {line}}} END"
+    nothing = "CAST([] AS VARCHAR[])"
+    user, assistant, both = (f"[{', '.join(x)}]" for x in (["'user:'"], ["'assistant:'"], ["'user:'", "'assistant:'"]))
+    stays = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    kept = lambda s, letter: f"CASE WHEN may AND initial = '{letter}' THEN {of(s, stays, 'K', '[role || chr(58) || text]')} END"
+    reroled = lambda s, role: f"CASE WHEN may THEN {of(s, f'{stays} + 3', 'R', f'[{chr(39)}{role}:{chr(39)} || text]')} END"
+    drop = lambda s: of(s, 4, "D", nothing)
+    before_u = ("e0", "e1", "e3")
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT [{", ".join(table)}]::BIGINT[] AS t
+), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(cast(conv_id AS VARCHAR), ' ') || ':' || coalesce(cast(turn AS VARCHAR), ' ') AS place FROM conversations
+), kinds AS (
+  SELECT c.*, xor(list_reduce([4294967295::BIGINT] || [ascii(x)::BIGINT FOR x IN string_split(place, '')], lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1])), 4294967295) % 20 AS kind FROM c, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, (SELECT unnest([0, 1]) AS copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), ranked AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS stop
+  FROM damaged
+), counted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM ranked
+), x AS (
+  SELECT *, CASE WHEN stop = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN stop NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         stop <> '' AND nth = 1 AS may, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS prior
+  FROM counted
+), walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': {nothing}}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s1,
+         NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {drop("e0")} AS s0, least({drop("e1")}, {kept("e0", "s")}) AS s1,
+         least({drop("e2")}, {", ".join(kept(s, "u") for s in before_u)}, {", ".join(reroled(s, "user") for s in before_u)}) AS s2,
+         least({drop("e3")}, {kept("e2", "a")}, {reroled("e2", "assistant")}) AS s3
+  FROM (
+    SELECT walk.conv_id, x.i, role, text, initial, fault, may, s0 AS e0, s1 AS e1,
+           least(s2, {of("s0", 3, "I", user)}, {of("s1", 3, "I", user)}, {of("s3", 3, "I", user)}) AS e2,
+           least(s3, {of("s2", 3, "I", assistant)}, {of("s0", 6, "II", both)}, {of("s1", 6, "II", both)}) AS e3
+    FROM walk JOIN x ON x.conv_id IS NOT DISTINCT FROM walk.conv_id AND x.i = walk.i + 1
+  )
+), best AS (
+  SELECT conv_id, least(s0, s3, {of("s2", 3, "I", assistant)}, {of("s1", 6, "II", both)}) AS s FROM walk
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (prior IS NOT NULL AND (prior || initial) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM x GROUP BY conv_id
+)
+SELECT best.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, s.c AS cost, s.a AS audit, sha256(array_to_string(s.t, chr(10))) AS repaired_sha256
+FROM best LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM best.conv_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": _OP1_SQL,
     "op3_embedding_join": _OP3_SQL,
@@ -225,4 +344,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_jaccard_join": _OP7_SQL,
     "op8_remove_repeats": _OP8_SQL,
     "op10_write_warc": _OP10_SQL,
+    "op11_exact_dedup": _OP11_SQL,
+    "op12_lexical_search": _OP12_SQL,
+    "op13_repair_conversations": _op13_sql(),
 }
