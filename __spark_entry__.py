@@ -522,7 +522,11 @@ WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.status = 'success' AND l.pipeli
         "csv_union_roundtrip": """
 SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id,
        end_station_name, end_station_id, start_lat, start_lng, end_lat, end_lng, member_casual,
-       CASE WHEN month(started_at) > 6 THEN 'R' || ride_id END AS rental_access_method
+       CASE WHEN month(started_at) > 6 THEN 'R' || ride_id END AS rental_access_method,
+       CASE WHEN month(started_at) > 6 THEN cast(length(start_station_name) AS BIGINT) END AS name_length,
+       CASE WHEN month(started_at) > 6 THEN start_lat * 2 END AS double_lat,
+       CASE WHEN month(started_at) > 6 THEN cast(started_at AS DATE) END AS service_day,
+       CASE WHEN month(started_at) > 6 THEN member_casual = 'member' END AS is_member
 FROM trips_raw""",
         "json_observations": "SELECT * FROM weather",
         "bronze_roundtrip": "SELECT * FROM stg",

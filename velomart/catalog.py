@@ -166,13 +166,21 @@ def _q(build: Callable[[Inputs], DataFrame]) -> Query:
 
 
 def _csv_union_roundtrip(i: Inputs) -> DataFrame:
-    """Land trips as CSV files with two header layouts and read them back by name."""
+    """Land trips as CSV files with two header layouts and read them back by name; columns
+    beyond the declared ones get the types that their values have."""
     root = scratch_path(i.spark, "landing-trips")
     early = F.coalesce(F.month("started_at") <= CSV_SPLIT_MONTH, F.lit(False))
     names = list(i.bronze_trips.columns)
     landing.write_trip_csv(i.bronze_trips.where(early), f"{root}/layout_a", names)
-    late = i.bronze_trips.where(~early).withColumn(EXTRA_CSV_COLUMN, F.concat(F.lit("R"), F.col("ride_id")))
-    landing.write_trip_csv(late, f"{root}/nested/layout_b", [EXTRA_CSV_COLUMN] + names[::-1])
+    extra = {
+        EXTRA_CSV_COLUMN: F.concat(F.lit("R"), F.col("ride_id")),
+        "name_length": F.length("start_station_name").cast("long"),
+        "double_lat": F.col("start_lat") * 2,
+        "service_day": F.to_date("started_at"),
+        "is_member": F.col("member_casual") == "member",
+    }
+    late = i.bronze_trips.where(~early).withColumns(extra)
+    landing.write_trip_csv(late, f"{root}/nested/layout_b", [*extra, *names[::-1]])
     return landing.read_trip_csvs(i.spark, root)
 
 
