@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path, ship_package
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,27 +13,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder named in ``spark.checkpoint.dir``."""
-    return f"{ensure_checkpoint_dir(spark)}/velomart-llm/{name}-{uuid.uuid4().hex[:12]}"
-
-
-_PACKAGE = Path(__file__).resolve().parent.parent
-_SHIPPED: set[str] = set()  # applications whose workers have the package
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Gives the Python workers this package, once an application: its functions are
-    sent by name, and an executor need not have it installed.  The archive of code is
-    made on the driver, which serves it to the executors."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    path = Path(tempfile.mkdtemp(prefix="velomart-code-")) / f"{_PACKAGE.name}.zip"
-    with zipfile.ZipFile(path, "w") as archive:
-        for file in sorted(_PACKAGE.rglob("*.py")):
-            archive.write(file, file.relative_to(_PACKAGE.parent))
-    context.addPyFile(str(path))
-    _SHIPPED.add(context.applicationId)
+    """A new folder under the shared folder named in ``spark.checkpoint.dir``, which
+    ``clear_scratch`` deletes when nothing reads it any more."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
