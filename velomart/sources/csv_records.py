@@ -10,11 +10,12 @@ put together by a grouping.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,7 +24,7 @@ from velomart.session import ship_package
 
 #: Fields bare or in quotes, up to the end of the record.
 _FIELD = r'(?:"[^"]*(?:""[^"]*)*"|[^",]*)'
-WELL_FORMED = re.compile(rf"{_FIELD}(?:,{_FIELD})*\r?")
+WELL_FORMED = rf"^{_FIELD}(?:,{_FIELD})*\r?$"
 #: A quote between two characters that neither open nor close a field.
 STRAY = r'[^,"]"[^,"\r]'
 #: Byte ranges whose first quote state is sent to the tasks (a few bytes each).
@@ -72,56 +73,64 @@ def _cut(starts: dict[tuple[str, int], int], crlf: set[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: tuple[str, int] | None = None
-        inside, carried, header = False, False, False
-        held: list[str] = []
-        out: list[tuple[str, int, int | None, str]] = []
+        held = pa.array([], pa.string())  # lines of a record without its end so far
+        carried = header = False  # whether an earlier range began it; whether the header is still to come
 
-        def whole(text: str) -> str:
-            if '"' in text and not WELL_FORMED.fullmatch(text):
-                raise ValueError(f"a quote within a bare field in {now[0]}: read it with split=False")
-            text = text.removesuffix("\r")
-            return text.replace("\r\n", "\n") if now[0] in crlf else text
+        def rows(records: pa.Array, piece: int | None) -> pa.RecordBatch:
+            n = len(records)
+            columns = [pa.array([now[0]] * n, pa.string()), pa.array([now[1]] * n, pa.int64()), pa.array([piece] * n, pa.int32()), records]
+            return pa.RecordBatch.from_arrays(columns, names=["file", "block", "piece", "record"])
 
-        def close() -> None:
-            if held:
-                out.append((*now, 0 if carried else 1, "\n".join(held)))
+        def whole(records: pa.Array) -> pa.Array:
+            quoted = records.filter(pc.match_substring(records, '"'))
+            if not pc.all(pc.match_substring_regex(quoted, WELL_FORMED), min_count=0).as_py():
+                raise ValueError(f"a quote within a bare field in {now[0]}: read it with split=False")
+            records = pc.replace_substring_regex(records, "\r$", "")
+            records = records.filter(pc.not_equal(records, ""))
+            return pc.replace_substring(records, "\r\n", "\n") if now[0] in crlf else records
+
+        def cut(lines: pa.Array) -> Iterator[pa.RecordBatch]:
+            nonlocal held, carried, header
+            lines = pa.concat_arrays([held, lines])
+            odd = pc.count_substring(lines, '"').to_numpy() % 2
+            odd[0] += carried  # its range begins in quotes
+            ends = np.flatnonzero(np.cumsum(odd) % 2 == 0) + 1
+            if not len(ends):
+                held = lines
+                return
+            bounds = pa.array(np.append(0, ends), pa.int32())
+            joined = pc.binary_join(pa.ListArray.from_arrays(bounds, lines.slice(0, int(ends[-1]))), "\n")
+            held = lines.slice(int(ends[-1]))
+            if carried:
+                yield rows(joined.slice(0, 1), 0)
+                carried, joined = False, joined.slice(1)
+            elif header:
+                header, joined = False, joined.slice(1)
+            yield rows(whole(joined), None)
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if len(held):
+                yield rows(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held), "\n"), 0 if carried else 1)
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("file", "block", "value"))
-            for file, block, line in zip(*columns, strict=True):
-                if now != (file, block):
-                    close()
-                    now = (file, block)
+            if not batch.num_rows:
+                continue
+            keys = batch.column("block").to_numpy(), pc.dictionary_encode(batch.column("file")).indices.to_numpy()
+            cuts = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                here = batch.column("file")[a].as_py(), batch.column("block")[a].as_py()
+                if now != here:
+                    yield from close()
+                    now = here
                     if now not in starts:
-                        raise ValueError(f"byte ranges of {file} changed while it was read")
-                    inside = carried = bool(starts[now])
-                    held, header = [], block == 0
-                held.append(line)
-                if line.count('"') % 2:
-                    inside = not inside
-                if not inside:
-                    text = "\n".join(held)
-                    held = []
-                    if carried:
-                        out.append((*now, 0, text))
-                        carried = False
-                    elif header:
-                        header = False
-                    elif text.rstrip("\r"):
-                        out.append((*now, None, whole(text)))
-            yield _batch(out)
-            out = []
-        close()
-        yield _batch(out)
+                        raise ValueError(f"byte ranges of {now[0]} changed while it was read")
+                    held, carried, header = held.slice(0, 0), bool(starts[now]), now[1] == 0
+                yield from cut(batch.column("value").slice(a, b - a))
+        yield from close()
 
     return run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["file", "block", "piece", "record"])
-
-
 def records(spark: SparkSession, paths: list[str], shapes: dict[str, FileShape]) -> DataFrame:
     """One row ``record`` for each record of the files, header records left out."""
     starts = {(file, block): start for file, shape in shapes.items() for block, start in shape.starts.items()}
