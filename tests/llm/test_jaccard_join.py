@@ -79,6 +79,48 @@ def test_near_copies_are_not_spelled_out(spark):
     assert {r.component_id for r in join.components().collect()} == {0}
 
 
+@pytest.mark.parametrize(("tile", "rounds"), [(8, 0), (2048, 2)])
+def test_components_from_small_tiles(monkeypatch, make_docs, tile, rounds):
+    monkeypatch.setattr(J, "COLD", 2)
+    monkeypatch.setattr(J, "TILE", tile)
+    monkeypatch.setattr(J, "BEST_ROUNDS", rounds)
+    docs = make_docs(near_copies(7, 70), repeat=9)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = J.JaccardJoin(docs, 4, 70).components().collect()
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == brute(rows, 4, 70)
+
+
+def test_many_near_copies_in_several_components(spark, monkeypatch):
+    """1,200 near copies of 40 texts that share a passage: as many candidate pairs as
+    documents, not their square, and no link lost."""
+    rnd = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    data = []
+    for i in range(1200):
+        own = [f"t{i % 40}w{j}" for j in range(60)]
+        for _ in range(rnd.randint(0, 3)):
+            own[rnd.randrange(60)] = f"x{rnd.randrange(10**9)}"
+        data.append((i, " ".join(own + passage)))
+    counts = []
+    linked = J.JaccardJoin._linked
+    monkeypatch.setattr(J.JaccardJoin, "_linked", lambda self, pairs, name: counts.append(pairs.count()) or linked(self, pairs, name))
+    monkeypatch.setattr(J, "BLOCK_TIMES", 10**9)  # no gram is recognised as frequent
+    got = J.JaccardJoin(spark.createDataFrame(data, "doc_id long, text string"), 4, 80).components().collect()
+    assert sum(counts) < 10 * 1200
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == brute(data, 4, 80)
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 60, 700, 9000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        for change in (0, n // 10, n // 3):
+            b = np.unique(np.concatenate([a[change:], rng.integers(0, 1 << 63, change + n // 7, dtype=np.uint64) * np.uint64(2) + np.uint64(1)]))
+            apart = len(np.setxor1d(a, b))
+            assert J.least_difference(J.parts_of(a), J.parts_of(b)) <= apart
+            assert n < 60 or n > 5000 or J.least_difference(J.parts_of(a), J.parts_of(b)) >= 0.6 * apart
+
+
 def test_prefixes_are_long_enough():
     for percent in (50, 80, 85, 99, 100):
         for n in range(1, 200):

@@ -11,15 +11,20 @@ the threshold, and each remaining pair is verified once on the whole sets.
   all blocks order the frequent grams last.  Any common order is correct, so the bound on
   the reported grams (``FREQUENT``, broadcast) has no effect on the result.
 * Candidates come in rounds.  First each prefix gram's documents meet only the smallest of
-  similar size, then ``ROUNDS`` times each meets ``NEIGHBOURS`` others of its grams, in a new
-  order each time, if they are of other components: a number of pairs linear in the rows each time; verified links give
-  components.  Last, pairs of different components that share a prefix gram are all
-  enumerated and filtered.  A large group of near copies is one component by then, so its
-  pairs are never spelled out, and no link between components is lost.
-* The suffix filter compares the sets' counts in ranges of gram hashes, of about two grams
-  each: the differences bound the size of the symmetric difference from below.
-
-Texts are read three times and never shuffled; what moves are prefix grams (about
+  similar size; verified links give components, and grams whose documents are all in one
+  component are closed.  Of a gram that more than ``COLD`` documents still hold, every
+  document outside the gram's largest component looks at the others of other components and
+  proposes the likeliest one (``BEST_ROUNDS`` times: a number of pairs linear in the rows each
+  time, with which a large group of near copies becomes one component).  Last, all pairs of
+  different components that share an open prefix gram and pass the filters are verified, so
+  no link between components is lost.
+* Looking at others happens in tiles of a bounded number of documents, by array operations
+  on bitmaps; only pairs that pass every filter leave a tile as rows.  The largest component
+  of a gram is not copied, the others go to each tile of it.
+* The suffix filter compares two bitmaps of the sets' ranges of gram hashes, four to eight
+  a gram: each range that only one set reaches is a gram that only one set has.
+
+Texts are read a few times and never shuffled; what moves are prefix grams (about
 1 - threshold of all), and the sets of documents in candidate pairs.
 
 Defined cases: null, empty or wordless texts have an empty set, link with nothing and are
@@ -37,17 +42,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from . import bloom, words
-from .common import map_batches, materialize
+from .common import map_batches, materialize, ship_package
 from .graph import connected_components
 
 FREQUENT = 1 << 17
 BLOCK_GRAMS = 4_000_000
 BLOCK_TIMES = 3
-ROUNDS, NEIGHBOURS = 1, 16
-LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 3, 12
+BEST_ROUNDS = 2
+COLD = 16  # documents of a gram whose pairs are joined as rows
+TILE = 2048  # documents of a tile
+LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 6, 15
 _ROWS = 1 << 16
 
 
@@ -93,17 +99,26 @@ def node_of(found: np.ndarray) -> int:
 
 
 def parts_of(found: np.ndarray) -> bytes:
-    """How many grams lie in each of 2**k equal ranges of hashes (255 at most, which
-    keeps the bound)."""
-    k = min(max(len(found).bit_length() - 2, LEAST_PARTS_LOG2), MOST_PARTS_LOG2)
-    counts = np.bincount((found >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    """Which of 2**k equal ranges of hashes hold a gram, as bits."""
+    k = min(max(len(found).bit_length() + 2, LEAST_PARTS_LOG2), MOST_PARTS_LOG2)
+    held = np.zeros(1 << k, bool)
+    held[(found >> np.uint64(64 - k)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows of bytes) of as many ranges as ``size`` bytes hold."""
+    if bits.shape[1] == size:
+        return bits
+    held = np.unpackbits(bits, axis=1, bitorder="little").reshape(len(bits), size * 8, -1).any(axis=2)
+    return np.packbits(held, axis=1, bitorder="little")
 
 
 def least_difference(x: bytes, y: bytes) -> int:
     """A bound from below on how many grams only one of two sets has."""
-    a, b = (np.frombuffer(p, np.uint8).astype(np.int64) for p in ((x, y) if len(x) <= len(y) else (y, x)))
-    return int(np.abs(a - b.reshape(len(a), -1).sum(axis=1)).sum())
+    size = min(len(x), len(y))
+    a, b = (folded(np.frombuffer(p, np.uint8)[None, :], size) for p in (x, y))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _describe(n: int, keep: list[str]):
@@ -278,14 +293,68 @@ def _near(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            most = total - 2 * -(-percent * total // (100 + percent))
+            most = most_difference(batch.column("na").to_numpy() + batch.column("nb").to_numpy(), percent)
             keep = [i for i, (x, y) in enumerate(zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist(), strict=True)) if least_difference(x, y) <= most[i]]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
     return run
 
 
+def most_difference(total, percent: int):
+    """How many grams only one of two sets may have, whose sizes add up to ``total``."""
+    return total - 2 * -(-percent * total // (100 + percent))
+
+
+def _tile(percent: int, best: bool):
+    """Pairs of a gram's visiting documents with resident ones that pass all filters; of
+    each visitor all, or that of the least difference."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        visits = rows.column("visits").to_numpy()
+        facts = {c: rows.column(c).to_numpy() for c in ("node", "n", "pos", "root")}
+        facts = {c: v.astype(np.int64) for c, v in facts.items()}
+        parts = rows.column("parts").to_pylist()
+        sizes = np.array([len(x) for x in parts])
+        sides = {}
+        for visiting in (False, True):
+            for size in np.unique(sizes[visits == visiting]).tolist():
+                at = np.flatnonzero((visits == visiting) & (sizes == size))
+                sides[visiting, size] = {c: v[at] for c, v in facts.items()}, np.frombuffer(b"".join(parts[i] for i in at), np.uint8).reshape(len(at), size)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for (visiting, x), (guest, mine) in sides.items():
+            for (other, y), (home, theirs) in sides.items():
+                # Sets within the threshold are of one size of bitmap or of neighbouring ones.
+                if not visiting or other or max(x, y) > 4 * min(x, y):
+                    continue
+                a, b = (np.ascontiguousarray(folded(v, min(x, y))).view(np.uint64) for v in (mine, theirs))
+                step = max(1, (1 << 22) // b.size)
+                for i in range(0, len(a), step):
+                    u = {c: v[i : i + step, None] for c, v in guest.items()}
+                    v = {c: w[None, :] for c, w in home.items()}
+                    first = (u["n"] < v["n"]) | ((u["n"] == v["n"]) & (u["node"] < v["node"]))
+                    low, high = np.minimum(u["n"], v["n"]), np.maximum(u["n"], v["n"])
+                    total = u["n"] + v["n"]
+                    pos = np.where(first, u["pos"], v["pos"])
+                    left = np.minimum(u["n"] - u["pos"], v["n"] - v["pos"])
+                    may = (u["root"] != v["root"]) & (100 * low >= percent * high) & (pos < index_prefix(low, percent)) & (left >= (percent * total + 99 + percent) // (100 + percent))
+                    p, q = np.nonzero(may)
+                    most = most_difference(total[p, q], percent)
+                    for j in range(0, len(p), 1 << 14):
+                        k, m = p[j : j + (1 << 14)], q[j : j + (1 << 14)]
+                        gap = np.bitwise_count(a[i + k] ^ b[m]).sum(axis=1, dtype=np.int64)
+                        keep = gap <= most[j : j + (1 << 14)]
+                        found.append((guest["node"][i + k[keep]], home["node"][m[keep]], gap[keep]))
+        a, b, gap = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
+        if best:
+            order = np.lexsort((b, gap, a))
+            a, b = a[order], b[order]
+            keep = np.append(True, a[1:] != a[:-1])[: len(a)]
+            a, b = a[keep], b[keep]
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,7 +418,7 @@ class JaccardJoin:
 
     def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that reach the threshold, verified on the whole sets."""
-        pairs = materialize(self._possible(pairs), f"{name}-pairs")
+        pairs = materialize(pairs, f"{name}-pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         chosen = self.nodes.join(ends, "node", "left_semi").select(F.col("node").bitwiseXOR(F.col("dk")).alias("key"))
         bits = self.spark.sparkContext.broadcast(bloom.build(chosen, "key"))
@@ -357,30 +426,32 @@ class JaccardJoin:
         held = pairs.join(grams.toDF("a", "x"), "a").join(grams.toDF("b", "y"), "b")
         return materialize(map_batches(held, _verify(self.percent), "a long, b long").distinct(), f"{name}-links")
 
-    def links(self) -> DataFrame:
-        """(a, b): links between nodes, enough of them to connect all that are linked."""
+    def _open(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows of the grams whose documents are in several components, with their root,
+        how many rows the gram has, its largest component and how many rows are not in it."""
+        groups = connected_components(links)
+        rooted = rows.select("gram", "node", "n", "pos").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        by_root = rooted.groupBy("gram", "root").agg(F.count("*").alias("of_root"))
+        of_gram = by_root.groupBy("gram").agg(F.sum("of_root").alias("held"), F.max_by("root", "of_root").alias("major"), F.max("of_root").alias("most"), F.count("*").alias("roots"))
+        several = of_gram.where("roots > 1").select("gram", "held", "major", (F.col("held") - F.col("most")).alias("minor"))
+        return materialize(rooted.join(several, "gram"), "open-grams")
+
+    def _hot_pairs(self, rows: DataFrame, best: bool) -> DataFrame:
+        """Pairs of the grams that many documents hold, from tiles: each document is a
+        resident of one tile, and those outside the gram's largest component visit all."""
+        hot = rows.where(F.col("held") > COLD).join(self.nodes.select("node", "parts"), "node")
+        tiles, blocks = (F.ceil(F.col(c) / TILE).cast("int") for c in ("held", "minor"))
+        part = lambda count, seed: F.pmod(F.xxhash64("node", F.lit(seed)), count).cast("int")
+        every = lambda count: F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)
+        facts = ["gram", "node", "n", "pos", "root", "parts"]
+        at_home = hot.select(*facts, F.lit(False).alias("visits"), part(tiles, 1).alias("tile"), F.explode(every(blocks)).alias("block"))
+        guests = hot.where("root != major").select(*facts, F.lit(True).alias("visits"), F.explode(every(tiles)).alias("tile"), part(blocks, 2).alias("block"))
+        return at_home.union(guests).groupBy("gram", "tile", "block").applyInArrow(_tile(self.percent, best), "a long, b long").distinct()
+
+    def _cold_pairs(self, rows: DataFrame) -> DataFrame:
         p = self.percent
-        rows = self._shared()
-        hubs = rows.where("hub is not null").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        links = self._linked(hubs, "hub")
-        rows = rows.drop("hub").withColumn("root", F.col("node"))
-        for turn in range(ROUNDS + 1):
-            # Grams whose documents are in one component have nothing to add.
-            groups = connected_components(links)
-            rooted = rows.drop("root").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            of_gram = Window.partitionBy("gram")
-            several = rooted.withColumns({"low": F.min("root").over(of_gram), "high": F.max("root").over(of_gram)}).where("low < high")
-            rows = materialize(several.drop("low", "high"), "open-grams")
-            if turn == ROUNDS:
-                break
-            row = Window.partitionBy("gram").orderBy(F.xxhash64("node", F.lit(turn)))
-            before = F.array(*(F.lag(F.struct("node", "root", "n"), k).over(row) for k in range(1, NEIGHBOURS + 1)))
-            apart = lambda b: (b["root"] != F.col("root")) & (F.least(b["n"], F.col("n")) * 100 >= F.greatest(b["n"], F.col("n")) * p)
-            met = rows.withColumn("all", before).withColumn("before", F.explode(F.filter("all", apart)))
-            links = links.union(self._linked(met.select(F.least("node", "before.node").alias("a"), F.greatest("node", "before.node").alias("b")).distinct(), f"round{turn}"))
-        left = rows
-        x = left.select("gram", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "pos", "root")))
-        y = left.select("gram", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "root")))
+        cold = rows.where(F.col("held") <= COLD)
+        x, y = (cold.select("gram", *(F.col(c).alias(f"{c}{i}") for c in ("node", "n", "pos", "root"))) for i in (1, 2))
         overlap = f"({p} * (n1 + n2) + {99 + p}) div {100 + p}"
         pairs = (
             x.join(y, "gram")
@@ -391,7 +462,24 @@ class JaccardJoin:
             .select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"))
             .distinct()
         )
-        return links.union(self._linked(pairs, "cross"))
+        return self._possible(pairs)
+
+    def links(self) -> DataFrame:
+        """(a, b): links between nodes, enough of them to connect all that are linked."""
+        ship_package(self.spark)
+        rows = self._shared()
+        hubs = rows.where("hub is not null").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        links = self._linked(self._possible(hubs), "hub")
+        rows = self._open(rows, links)
+        for turn in range(BEST_ROUNDS):
+            if rows.where(F.col("held") > COLD).isEmpty():
+                break
+            found = self._linked(self._hot_pairs(rows, best=True), f"best{turn}")
+            if found.isEmpty():
+                break
+            links = links.union(found)
+            rows = self._open(rows, links)
+        return links.union(self._linked(self._cold_pairs(rows).union(self._hot_pairs(rows, best=False)).distinct(), "cross"))
 
     def components(self) -> DataFrame:
         """doc_id, the extra columns, n_shingles, component_id and root (the component's
