@@ -1,6 +1,7 @@
 """Cross-parsing against a search in the training text, and held-out accuracy."""
 
 import math
+import pickle
 import random
 
 import numpy as np
@@ -55,17 +56,68 @@ def test_phrases_of_segments(texts, segment):
 def test_automaton_knows_all_substrings():
     rng = np.random.default_rng(2)
     text = rng.integers(0, 3, 60)
-    table = L.automaton(text, 3)
-    assert len(table) <= 2 * len(text)
+    states, edges = L.automaton(text)
+    assert states <= 2 * len(text) and len(edges) <= 3 * len(text)
+    table = L.Transitions(edges[:, 0] * 3 + edges[:, 1], edges[:, 2])
     known = {tuple(text[a:b]) for a in range(60) for b in range(a + 1, 61)}
     for _ in range(500):
         word = tuple(rng.integers(0, 3, rng.integers(1, 9)))
         state = 0
         for c in word:
-            state = table[state, c] if state >= 0 else -1
+            state = int(table.get(np.array([state * 3 + c]))[0]) if state >= 0 else -1
         assert (state >= 0) == (word in known)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 10**6), unique=True, max_size=300))
+def test_transitions(keys):
+    keys = np.array(keys, np.int64)
+    table = L.Transitions(keys, np.arange(len(keys)))
+    assert table.get(keys).tolist() == list(range(len(keys)))
+    others = np.setdiff1d(np.arange(0, 2000), keys)
+    assert (table.get(others.reshape(-1, 1)) == -1).all()
+
+
+def test_large_alphabets_stay_small():
+    rnd = random.Random(3)
+    alphabet = [chr(0x4E00 + i) for i in range(20000)]
+    samples = {f"l{k}": ["".join(rnd.choice(alphabet[2000 * k % 17000 :][:3000]) for _ in range(L.SAMPLE_CHARS))] for k in range(10)}
+    model = L.Model(samples)
+    assert len(model.langs) == 10 and len(pickle.dumps(model)) < 100 << 20
+    for k in (0, 4, 9):
+        assert model.predict([samples[f"l{k}"][0][5000:5040]])[0] == [f"l{k}"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 60_000), min_size=1, max_size=200))
+def test_fair_share(sizes):
+    share = L.fair_share(sizes)
+    used = sum(min(s, share) + 1 for s in sizes)
+    assert used <= L.SAMPLE_CHARS + len(sizes) or max(sizes) <= share
+    assert used <= L.SAMPLE_CHARS or share == max(sizes) or share == 0
+    # What is left could not lengthen every cut text by one more character.
+    cut = sum(s > share for s in sizes)
+    assert not cut or L.SAMPLE_CHARS - used < 2 * len(sizes)
+
+
+def test_few_long_texts_are_sampled_whole_up_to_the_bound(spark):
+    rnd = random.Random(5)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    data = [(i, text(50_000), "few") for i in range(5)] + [(100 + i, text(100), "short") for i in range(20)]
+    model = L.train(spark.createDataFrame(data, "doc_id long, text string, lang string"), F.lit(True))
+    sizes = dict(zip(model.langs, model.sizes, strict=True))
+    assert sizes["few"] > 0.9 * L.SAMPLE_CHARS * 8 / 9 and 1500 < sizes["short"] <= 2020
+
+
+def test_repeated_ids_and_many_labels_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGS", 3)
+    seen = []
+    monkeypatch.setattr(L, "Model", lambda samples: seen.append(samples))
+    rows = [(7, f"text {i} of one id", "en") for i in range(400)] + [(i, f"some text {i}", f"x{i}") for i in range(50)] + [(1000 + i, "ein text", "de") for i in range(3)] + [(2000 + i, "un texte", "fr") for i in range(2)]
+    L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert set(seen[0]) == {"en", "de", "fr"} and seen[0]["en"] == ["text 0 of one id"]
+
+
 def test_held_out_accuracy_and_odd_rows(spark, odd_docs, no_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     apart = L.held_out("doc_id")

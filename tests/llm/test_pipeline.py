@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline as P
 import pytest
 from conftest_llm import key
+from pyspark.sql import functions as F
 from test_jaccard_join import brute as near_duplicates
 from velomart.llm.common import materialize
 
@@ -32,6 +33,13 @@ def test_odd_rows(spark, odd_docs):
     assert P.sharded(spark, docs, SF).count() == docs.count()
 
 
+def test_unlabelled_documents_pass_the_first_stage(spark, odd_docs):
+    docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = P.known_language(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(any(c.isalpha() for c in r.text or "") for r in docs.collect())
+
+
 @pytest.mark.parametrize("stage", [f for _, f in P.STAGES])
 def test_empty_table(spark, no_docs, stage):
     assert stage(spark, no_docs, SF).count() == 0

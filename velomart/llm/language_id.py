@@ -6,16 +6,19 @@ match that the language's text holds (or one letter that it lacks).  Text like t
 training text needs few long phrases: phrases * log2(training length) / length estimates
 the cross-entropy in bits a letter, and the language of the least wins.
 
-Training is a fit on a bounded sample: ``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS``
-characters a language, drawn by a hash of the id.  The model is a table per language of
-at most twice as many states as characters, by the letters seen, so its size has that
-bound whatever the corpus; it is broadcast.  Every text is parsed whole, in segments of
+Training is a fit on a bounded sample: the ``MOST_LANGS`` languages of the most labelled
+rows, ``SAMPLE_DOCS`` documents of each, drawn by a hash of the id, and ``SAMPLE_CHARS``
+characters, shared so that short texts are whole and longer ones give a stretch of one
+length each, from a place that the id decides.  The model is a hash table of the automata's
+transitions, at most three for each character, so its size has that bound whatever the
+corpus or the alphabet; it is broadcast.  Every text is parsed whole, in segments of
 ``SEGMENT`` symbols that advance side by side (a phrase ends where its segment ends).
 
 A text is lower-cased; letters are symbols, everything else between them is one space.
 
-Defined cases: a null text or one without a letter is ``und`` with score 0; if nothing is
-labelled every text is ``und``; ties go to the language that sorts first; equal rows get
+Defined cases: a null text or one without a letter is ``und`` with score 0 and no
+``has_letter``; if nothing is labelled every text is ``und``; of rows of one id and language
+the least text counts at training; ties go to the language that sorts first; equal rows get
 equal results; an empty table gives no rows; other columns are ignored.
 """
 
@@ -31,12 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import map_batches
+from .common import map_batches, materialize
 
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 32_768
+MOST_LANGS = 128
 SEGMENT = 1024
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 20
 UNDETERMINED = "und"
 SPACE = 1  # symbol of all that is no letter; 0 is a letter that no language's sample has
 
@@ -59,8 +63,9 @@ def symbols(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return found[keep]
 
 
-def automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
-    """The suffix automaton of a row of symbols as a table state x symbol -> state, or -1."""
+def automaton(text: np.ndarray) -> tuple[int, np.ndarray]:
+    """The suffix automaton of a row of symbols: how many states it has, and its
+    transitions as rows (state, symbol, state); state 0 is the root."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in text.tolist():
@@ -86,11 +91,45 @@ def automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = clone
         last = now
-    table = np.full((len(nxt), n_symbols), -1, np.int32)
-    for state, row in enumerate(nxt):
-        for c, to in row.items():
-            table[state, c] = to
-    return table
+    return len(nxt), np.array([(state, c, to) for state, row in enumerate(nxt) for c, to in row.items()], np.int64).reshape(-1, 3)
+
+
+class Transitions:
+    """(state, symbol) -> state by open addressing, for many pairs at once."""
+
+    SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.targets = np.full(1 << self.bits, -1, np.int32)
+        at, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            # One key of each free slot gets it; the others go on to the next slot.
+            slots, first = np.unique(at[left], return_index=True)
+            free = self.keys[slots] < 0
+            placed = left[first[free]]
+            self.keys[slots[free]], self.targets[slots[free]] = keys[placed], targets[placed]
+            left = np.setdiff1d(left, placed, assume_unique=True)
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self.SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The target of each key, or -1."""
+        at = self._slots(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.targets[at], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slot = (at.ravel()[open_] + 1) & (len(self.keys) - 1)
+            at.ravel()[open_] = slot
+            found, wanted = self.keys[slot], keys.ravel()[open_]
+            hit = found == wanted
+            out.ravel()[open_[hit]] = self.targets[slot[hit]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
 
 
 class Model:
@@ -100,8 +139,7 @@ class Model:
         """``samples``: the sampled texts of each language, in a fixed order."""
         joined = {}
         for lang in sorted(samples):
-            text = " ".join(samples[lang])[:SAMPLE_CHARS]
-            codes = codes_of(text)
+            codes = codes_of(" ".join(samples[lang]))
             if letters()[codes].any():
                 joined[lang] = codes
         self.langs = list(joined)
@@ -109,15 +147,16 @@ class Model:
         self.known = known
         table = self.symbol_table()
         self.width = len(known) + 2
-        tables, self.sizes, self.roots, base = [], [], [], 0
+        edges, self.sizes, self.roots, base = [], [], [], 0
         for codes in joined.values():
             text = symbols(codes, table)
-            states = automaton(text, self.width)
-            tables.append(np.where(states >= 0, states + base, -1).astype(np.int32))
+            states, found = automaton(text)
+            edges.append(np.column_stack([(found[:, 0] + base) * self.width + found[:, 1], found[:, 2] + base]))
             self.roots.append(base)
             self.sizes.append(len(text))
-            base += len(states)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+            base += states
+        edges_ = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
+        self.next = Transitions(np.ascontiguousarray(edges_[:, 0]), edges_[:, 1])
 
     def symbol_table(self) -> np.ndarray:
         table = np.where(letters(), 0, SPACE).astype(np.uint16)
@@ -132,12 +171,12 @@ class Model:
         state = np.repeat(roots, len(lengths), axis=1)
         alive = np.searchsorted(-lengths, -np.arange(len(rows)), "left")
         for at, n in enumerate(alive.tolist()):
-            now, c = state[:, :n], rows[at, :n]
-            to = self.table[now * self.width + c]
+            now, c = state[:, :n], rows[at, :n].astype(np.int64)
+            to = self.next.get(now * self.width + c)
             stuck = to < 0
             if stuck.any():
                 lang, lane = np.nonzero(stuck)
-                again = self.table[roots[lang, 0] * self.width + c[lane]]
+                again = self.next.get(roots[lang, 0] * self.width + c[lane])
                 # The phrase before ends; a symbol that the language lacks is one too.
                 count[lang, lane] += (now[lang, lane] != roots[lang, 0]).astype(np.int64) + (again < 0)
                 to[lang, lane] = np.where(again < 0, roots[lang, 0], again)
@@ -175,11 +214,12 @@ class Model:
         has = np.where(np.diff(offsets) > 0, has, 0) > 0
         return bits / np.maximum(1, size), has
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language, score and whether there is a letter, of each text."""
         lowered = [codes_of((t or "") + " ") for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(c) for c in lowered])]).astype(np.int64)
         if not self.langs or not texts:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [bool(letters()[c].any()) for c in lowered]
         bits, has = self.entropy(np.concatenate(lowered), offsets)
         best = bits.argmin(axis=0)
         least = bits[best, np.arange(len(texts))]
@@ -188,7 +228,7 @@ class Model:
             score = np.clip(np.where(second > 0, 1 - least / np.maximum(second, 1e-300), 0.0), 0.0, 1.0)
         else:
             score = np.ones(len(texts))
-        return [self.langs[b] if h else UNDETERMINED for b, h in zip(best, has, strict=True)], np.where(has, score, 0.0).tolist()
+        return [self.langs[b] if h else UNDETERMINED for b, h in zip(best, has, strict=True)], np.where(has, score, 0.0).tolist(), has.tolist()
 
 
 _TABLES: dict[int, np.ndarray] = {}
@@ -209,29 +249,45 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the labelled rows for which ``learn`` holds.
 
-    Ids are drawn without reading a text; then the drawn texts are read: at most
-    ``SAMPLE_DOCS`` a language, shortened to ``SAMPLE_CHARS``, reach the driver.
+    Ids are drawn without reading a text; then the drawn texts are stored, one for each id
+    and language, and at most ``SAMPLE_CHARS`` characters a language reach the driver.
     """
-    known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    draw = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    drawn = known.withColumn("nth", F.row_number().over(draw)).where(f"nth <= {SAMPLE_DOCS}").collect()
-    if not drawn:
+    usable = learn & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
+    known = docs.where(usable).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"))
+    most = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGS).select("lang")
+    draw = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    drawn = known.distinct().join(F.broadcast(most), "lang", "left_semi").withColumn("nth", F.row_number().over(draw)).where(f"nth <= {SAMPLE_DOCS}")
+    drawn = materialize(drawn, "drawn")  # at most MOST_LANGS * SAMPLE_DOCS rows
+    texts = docs.where(usable & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    read = texts.join(F.broadcast(drawn), ["lang", "id"]).groupBy("lang", "nth", "id").agg(F.min("text").alias("text"))
+    read = materialize(read.withColumn("size", F.length("text")), "drawn-texts")
+    sizes: dict[str, list[int]] = {}
+    for row in read.select("lang", "size").collect():
+        sizes.setdefault(row.lang, []).append(row.size)
+    if not sizes:
         return Model({})
-    order = {(row.lang, row.id): row.nth for row in drawn}
-    ids = sorted({row.id for row in drawn})
-    part = max(64, 2 * SAMPLE_CHARS // SAMPLE_DOCS)
-    read = (
-        docs.where(F.col(id_col).isin(ids) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
-        .select("id", "lang", F.substring("text", 1, part).alias("text"))
-        .collect()
-    )
+    # The places within the longer texts are spread evenly, by a hash of the id.
+    share = F.create_map(*(x for lang, s in sizes.items() for x in (F.lit(lang), F.lit(fair_share(s)))))[F.col("lang")]
+    begin = F.pmod(F.xxhash64("id"), F.greatest(F.col("size") - F.col("share"), F.lit(0)) + 1).cast("int")
+    parts = read.withColumn("share", share).select("lang", "nth", F.substring(F.col("text"), begin + 1, F.col("share")).alias("text")).collect()
     samples: dict[str, list[str]] = {}
-    for row in sorted((r for r in read if (r.lang, r.id) in order), key=lambda r: (r.lang, order[r.lang, r.id], r.text)):
+    for row in sorted(parts, key=lambda r: (r.lang, r.nth)):
         samples.setdefault(row.lang, []).append(row.text)
     return Model(samples)
 
 
+def fair_share(sizes: list[int]) -> int:
+    """The length to which texts are shortened so that all together, each with a space
+    behind it, have at most ``SAMPLE_CHARS`` characters."""
+    left = SAMPLE_CHARS
+    for i, size in enumerate(sorted(sizes)):
+        each = left // (len(sizes) - i) - 1
+        if size > each:
+            return max(0, each)
+        left -= size + 1
+    return max(sizes)
+
+
 def _predict(sent, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -243,20 +299,20 @@ def _predict(sent, keep_text: bool):
                 while first + len(texts) < len(column) and (not texts or size < BATCH_CHARS):
                     texts.append(column[first + len(texts)].as_py())
                     size += len(texts[-1] or "")
-                langs, scores = model.predict(texts)
+                langs, scores, has = model.predict(texts)
                 names = [n for n in batch.schema.names if n != "text" or keep_text]
                 out = [batch.column(n).slice(first, len(texts)) for n in names]
-                yield pa.RecordBatch.from_arrays([*out, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*out, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(has, pa.bool_())], names=[*names, "lang_pred", "score", "has_letter"])
                 first += len(texts)
 
     return run
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None, keep_text: bool = False) -> DataFrame:
-    """doc_id, the columns ``extra``, lang_pred and score of each row, and text with
-    ``keep_text``."""
+    """doc_id, the columns ``extra``, lang_pred, score and has_letter of each row, and text
+    with ``keep_text``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("doc_id"), *(c.alias(n) for n, c in (extra or {}).items()), F.col(text_col).cast("string").alias("text"))
     fields = [f for f in rows.schema if f.name != "text" or keep_text]
-    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("has_letter", T.BooleanType())])
     return map_batches(rows, _predict(sent, keep_text), schema)
