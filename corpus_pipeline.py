@@ -36,11 +36,12 @@ def _key():
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of no language: those without a letter."""
+    """Drops documents of no language: null texts and those without a letter.  Nothing else
+    goes, also where no row has a label to learn from."""
     model = language_id.train(docs, ~language_id.held_out("doc_id"))
     carried = {f"column{i}": F.col(c) for i, c in enumerate(docs.columns)}
     found = language_id.identify(docs, model, extra=carried)
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*(F.col(n).alias(c) for n, c in zip(carried, docs.columns, strict=True)))
+    return found.where("has_letter").select(*(F.col(n).alias(c) for n, c in zip(carried, docs.columns, strict=True)))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
