@@ -62,7 +62,7 @@ def op5_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents")).drop("slot")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +201,7 @@ FROM embeddings JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)"""
 
 _OP6_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(cast(doc_id AS VARCHAR), '')) AS key
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(cast(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key
   FROM documents
 ), s AS (
   SELECT source, cast(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source
@@ -211,22 +211,15 @@ WITH d AS (
   FROM s
 ), t AS (
   SELECT *, least(cast(3 * source_size AS DOUBLE), (SELECT arg_min(level, 3 * source_size / weight) FROM l WHERE level <= 3 * source_size / weight) * weight) AS target FROM l
-), total AS (
-  SELECT cast(sum(size) AS BIGINT) AS n, greatest(1, least(4096, cast(sum(size) AS BIGINT) // 65536)) AS block FROM d
-), share AS (
-  SELECT source, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low, CASE WHEN row_number() OVER (ORDER BY source NULLS LAST) = count(*) OVER () THEN 1 ELSE high END AS high
-  FROM (SELECT source, sum(target) OVER (ORDER BY source NULLS LAST) / (SELECT n FROM total) AS high FROM t)
-), slot AS (
-  SELECT (k % 2147483648) * 2654435769 % 4294967296 / 4294967296.0::DOUBLE AS point FROM (SELECT unnest(range(0, (n + block - 1) // block)) AS k FROM total)
-), quota AS (
-  SELECT share.source, count(*) * (SELECT block FROM total) AS quota FROM slot JOIN share ON point >= low AND point < high GROUP BY share.source
+), q AS (
+  SELECT *, CASE WHEN target > 0 THEN greatest(cast(round(target) AS BIGINT), 1) ELSE 0 END AS quota FROM t
 ), line AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d
 )
-SELECT line.doc_id, line.size, t.source_size, t.target, line.source,
-       cast(sum(greatest(0, least(start + lap * t.source_size + line.size, coalesce(quota, 0)) - (start + lap * t.source_size))) AS BIGINT) AS taken
-FROM line JOIN t ON t.source IS NOT DISTINCT FROM line.source LEFT JOIN quota ON quota.source IS NOT DISTINCT FROM line.source, (SELECT unnest([0, 1, 2]) AS lap)
-GROUP BY line.doc_id, line.size, t.source_size, t.target, line.source, line.start, line.key"""
+SELECT line.doc_id, line.size, q.source_size, q.target, line.source,
+       cast(sum(greatest(0, least(start + lap * q.source_size + line.size, quota) - (start + lap * q.source_size))) AS BIGINT) AS taken
+FROM line JOIN q ON q.source IS NOT DISTINCT FROM line.source, (SELECT unnest([0, 1, 2]) AS lap)
+GROUP BY line.doc_id, line.size, q.source_size, q.target, line.source, line.start, line.key"""
 
 _OP7_SQL = rf"""
 WITH RECURSIVE w AS (
