@@ -7,6 +7,7 @@ import os
 import pyarrow as pa
 import pytest
 from conftest_llm import key
+from pyspark.sql import functions as F
 from velomart.llm import warc as W
 from velomart.llm.common import scratch_folder
 
@@ -68,6 +69,36 @@ def test_files_are_the_same_each_time(spark, pages):
     assert first and first == files()
 
 
+def many_pages(spark, count, parts):
+    """Pages of which a third has no id and some ids repeat, with copies among them."""
+    page = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 7 == 0, F.lit(77)).otherwise(F.col("id")).cast("long")
+    html = F.concat(F.lit("<p>"), F.repeat(F.sha2((F.col("id") % 40_000).cast("string"), 256), (F.col("id") % 5 + 1).cast("int")))
+    rows = spark.range(count).select(page.alias("page_id"), F.concat(F.lit("http://x/"), F.col("id").cast("string")).alias("url"), html.alias("html"))
+    return rows.repartition(parts, F.xxhash64("url", F.lit(parts)))
+
+
+def test_many_pages_give_the_same_files_from_other_partitions(spark):
+    def files(parts, shuffled):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        folder = scratch_folder(spark, "warc")
+        try:
+            W.write_archive(many_pages(spark, 60_000, parts), folder, shards=12)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        rows = spark.read.schema(W.MANIFEST).parquet(f"{folder}/manifest").collect()
+        return folder, {r.file: (r.records, r.bytes, r.sha256) for r in rows}
+
+    (folder, first), (_, again) = files(3, 5), files(8, 8)
+    assert first == again and sum(r[0] for r in first.values()) == 60_000
+    shards = {}
+    for name, (records, _, _) in first.items():
+        shards[name[:10]] = shards.get(name[:10], 0) + records
+    assert len(shards) == 12 and max(shards.values()) < 2 * 60_000 / 12
+    got = W.read_archive(spark, folder)
+    assert got.where("record_type = 'revisit'").count() == got.where("refers_to is not null").count() > 0
+
+
 def test_empty_archive(spark, pages):
     folder = scratch_folder(spark, "warc")
     W.write_archive(pages.limit(0), folder)

@@ -1,7 +1,10 @@
 """A deterministic sharded WARC writer and its reader.
 
-Writing: records are range-sorted by page id into shards (one exchange of the
-payloads); a shard's task rolls its files by compressed size, each record being its own
+Writing: records are range-sorted by page id and payload digest into shards (one exchange
+of the payloads), which are as many as the payload bytes ask for.  The splitters come from a
+sample that a hash of the record draws, weighed by bytes, so shards and files are the same
+whatever the partitions or cores; ids that are null or repeated are cut between digests.  Of
+the sample ``SAMPLE_KEYS`` keys a shard reach the driver.  A shard's task rolls its files by compressed size, each record being its own
 gzip member, and regenerates record headers, block and payload digests.  A file is
 written under a temporary name of its attempt and renamed when complete, so a lost or
 repeated attempt leaves nothing that counts; the list of files, with sizes and digests,
@@ -10,7 +13,7 @@ becomes the manifest, written last.  Only files of a manifest are read.
 Equal payloads of at least ``REVISIT_BYTES`` are stored once: the record of the smallest
 page id is the response, the others are revisits that refer to it.  The decisions are
 made on digests alone and meet the payloads inside the sort: a decision row is dealt by
-the same page id and sorts before its page.
+the same key and sorts before its page.
 
 Defined cases: a null payload is empty; a null url has no target header; line breaks in
 a url are escaped; a row without a page id is always a response and never referred to;
@@ -25,16 +28,20 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, scratch_folder
+from .common import map_batches, scratch_folder, ship_package
 
 REVISIT_BYTES = 100
 ROLL_BYTES = 4 << 20  # a file is closed once it holds this many compressed bytes
 SHARD_BYTES = 64 << 20  # payload bytes dealt to one shard, about
+SAMPLE_KEYS = 64  # keys sampled for one shard
+RECORD_BYTES = 512  # what a record weighs beside its payload
 LEVEL = 6
 STEP_BYTES = 1 << 14
 #: Fixed values of the format: version, revisit profile and the names of the headers.
@@ -91,6 +98,7 @@ class _Roller:
     def __init__(self, folder: str, shard: int) -> None:
         self.store, self.folder = open_store(folder)
         self.shard, self.number, self.out = shard, 0, None
+        self.began = None  # page and digest of the last response that others revisit
         self.attempt = uuid.uuid4().hex[:8]
         self.store.create_dir(self.folder, recursive=True)
 
@@ -125,21 +133,19 @@ def _write(folder: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, closed = None, []
-        page, decided, seen = None, {}, set()
+        decided, refers = None, None  # page and digest of the last decision, and what it says
         for batch in batches:
             for row in range(batch.num_rows):
                 shard, page_id, decision, digest, refers_to, url, html = (batch.column(c)[row].as_py() for c in ("shard", "page_id", "decision", "digest", "refers_to", "url", "html"))
-                if roller is None:
-                    roller = _Roller(folder, shard)
-                if page_id != page:
-                    page, decided, seen = page_id, {}, set()
                 if decision:
-                    decided[digest] = refers_to
+                    decided, refers = (page_id, digest), refers_to
                     continue
-                target = decided.get(digest) if page_id is not None else None
-                if target is not None and target == page_id and digest not in seen:
-                    target = None
-                seen.add(digest)
+                if roller is None or roller.shard != shard:
+                    closed.append(roller.close() if roller else None)
+                    roller = _Roller(folder, shard)
+                target = refers if decided == (page_id, digest) else None
+                if target is not None and target == page_id and not roller.began == decided:
+                    target, roller.began = None, decided
                 closed.append(roller.add(member(record(page_id, url, html or b"", digest, target)), page_id))
         if roller is not None:
             closed.append(roller.close())
@@ -149,15 +155,43 @@ def _write(folder: str):
     return run
 
 
+def _order_key() -> Column:
+    """A text that sorts as page id (null last) and digest do."""
+    biased = F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.when(F.col("page_id").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), biased)), F.col("digest"))
+
+
+def _splitters(small: DataFrame, shards: int, rows: int) -> np.ndarray:
+    """The least key of each shard but the first, by cumulative bytes of a sample that a
+    hash of the record draws; at most about ``SAMPLE_KEYS`` keys a shard are collected."""
+    drawn = min(1.0, SAMPLE_KEYS * shards / max(1, rows))
+    chance = F.pmod(F.xxhash64("page_id", "digest"), F.lit(1 << 40)) < int(drawn * (1 << 40))
+    sample = small.where(chance).groupBy(_order_key().alias("key")).agg(F.sum(F.col("bytes") + RECORD_BYTES).alias("weight")).toArrow()
+    keys = np.array(sample["key"].to_pylist(), "S")
+    order = np.argsort(keys, kind="stable")
+    keys, weights = keys[order], sample["weight"].to_numpy()[order]
+    total = np.cumsum(weights)
+    cuts = np.searchsorted(total, np.arange(1, shards) * (total[-1] / shards)) if len(keys) else np.zeros(0, np.int64)
+    return np.unique(keys[cuts[(cuts > 0) & (cuts < len(keys))]])
+
+
+def _shard_of(splitters: np.ndarray):
+    def shard(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(splitters, keys.to_numpy().astype("S"), "right").astype(np.int32))
+
+    return F.pandas_udf(shard, "int")
+
+
 def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", shards: int | None = None) -> str:
     """Writes the archive of ``pages`` to a new ``folder``; returns the path of its manifest."""
     spark = pages.sparkSession
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumn("digest", F.sha2("html", 256))
     small = rows.select("page_id", "digest", F.length("html").cast("long").alias("bytes"))
+    count, total = small.agg(F.count("*"), F.sum("bytes")).first()
     if shards is None:
-        total = small.agg(F.sum("bytes")).first()[0] or 0
-        shards = max(1, -(-total // SHARD_BYTES), spark.sparkContext.defaultParallelism)
+        shards = max(1, -(-(total or 0) // SHARD_BYTES))
+    splitters = _splitters(small, shards, count)
     shared = small.where(f"bytes >= {REVISIT_BYTES} and page_id is not null")
     # One row for each digest that more than one row has; then one for each page that has it.
     repeated = shared.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -166,10 +200,13 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     records = decisions.withColumns(nothing | {"decision": F.lit(True)}).unionByName(
         rows.withColumns({"refers_to": F.lit(None).cast("long"), "decision": F.lit(False)})
     )
+    ship_package(spark)
+    shard = _shard_of(splitters)(_order_key()) if len(splitters) else F.lit(0)
     dealt = (
-        records.repartitionByRange(shards, F.col("page_id").asc_nulls_last())
-        .sortWithinPartitions(F.col("page_id").asc_nulls_last(), F.col("decision").desc(), "digest", "url")
-        .select(F.spark_partition_id().alias("shard"), "page_id", "decision", "digest", "refers_to", "url", "html")
+        records.withColumn("shard", shard)
+        .repartitionById(len(splitters) + 1, "shard")
+        .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "digest", F.col("decision").desc(), "url")
+        .select("shard", "page_id", "decision", "digest", "refers_to", "url", "html")
     )
     manifest = f"{folder}/manifest"
     map_batches(dealt, _write(f"{folder}/data"), MANIFEST).write.parquet(manifest)
