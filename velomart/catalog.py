@@ -84,7 +84,7 @@ class Inputs:
     def with_repeated_rides(self) -> Inputs:
         """The same relations over trips of which some are there twice."""
         other = Inputs(self.spark, self.sf_dir)
-        other.__dict__["bronze_trips"] = fixtures.fixture_trips_with_repeats(self.spark, self.sf_dir)
+        other.__dict__["bronze_trips"] = fixtures.with_repeats(self.bronze_trips)
         return other
 
     @cached_property

@@ -74,10 +74,9 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_trips_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_repeats(trips: DataFrame) -> DataFrame:
     """The trips, and some of them a second time: what the unique checks are to find."""
-    trips = fixture_trips(spark, sf_dir)
-    return trips.unionByName(trips.where(F.col("ride_id").cast("long") % REPEATED_RIDE_EVERY == 0))
+    return trips.unionByName(trips.where(F.col("ride_id").try_cast("long") % REPEATED_RIDE_EVERY == 0))
 
 
 def fixture_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
