@@ -387,6 +387,7 @@ _TRIPS_OF = {
     "quality_report": _REPEATED_TRIPS,
     "quality_duplicates": _REPEATED_TRIPS,
     "quality_unexpected": _REPEATED_TRIPS,
+    "quality_after_refresh": _REPEATED_TRIPS,
     "monthly_load_marts": _COMPLETE_TRIPS,
 }
 
@@ -516,6 +517,7 @@ SELECT r.pipeline_name, r.year, r.month FROM requested r
 WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.status = 'success' AND l.pipeline_name = r.pipeline_name
                   AND l.year = r.year AND l.month = r.month)""",
         "quality_report": f"SELECT *, failures = 0 AS passed FROM (\n{checks}\n) AS c",
+        "quality_after_refresh": f"SELECT *, failures = 0 AS passed FROM (\n{checks}\n) AS c",
         "quality_duplicates": _failing_values_sql(UNIQUE),
         "quality_unexpected": _failing_values_sql(ACCEPTED_VALUES),
         "weather_window": _weather_select("AND obs_date BETWEEN DATE '2024-02-01' AND DATE '2024-02-29'"),

@@ -22,6 +22,7 @@ from velomart.operators import marts, quality, reports
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.operators.weather import pivot_observations
+from velomart.plans.build import build_marts, stored_report
 from velomart.plans.ingest import TRIPS_PIPELINE, Layout
 from velomart.plans.ledger import LoadLedger, pending_months
 from velomart.plans.monthly import monthly_load
@@ -63,6 +64,7 @@ WEATHER_WINDOW = (2024, 2)
 CSV_SPLIT_MONTH = 6  # trips up to June land in one CSV layout, later ones in another
 EXTRA_CSV_COLUMN = "rental_access_method"
 
+REPLACED_MONTH = (2024, 3)  # the month that comes in anew in quality_after_refresh
 AVERAGE_DIGITS = 6  # averages of averages are compared at this precision
 
 
@@ -245,6 +247,29 @@ def _monthly_load_marts(i: Inputs) -> DataFrame:
     )
 
 
+def _quality_after_refresh(i: Inputs) -> DataFrame:
+    """The report from stored check results, after one month came in anew.
+
+    All months are loaded, built and checked, one of them without its repeated rides; then
+    that month is replaced and its marts are refreshed, and the report reads its folders
+    and the touched buckets of keys alone.
+    """
+    root = scratch_path(i.spark, "checked")
+    names = ("trips_landing", "weather_landing", "trips_bronze", "weather_bronze", "marts", "ledger")
+    layout = Layout(**{name: f"{root}/{name}" for name in names}, key_buckets=4)
+    year, month = REPLACED_MONTH
+    replaced = (F.year("started_at") == year) & (F.month("started_at") == month)
+    complete = fixtures.with_repeats(i.bronze_trips)
+    tables.write_bronze(complete.where(~replaced), layout.trips_bronze)
+    tables.write_bronze(i.bronze_trips.where(replaced), layout.trips_bronze, year, month)
+    tables.write_bronze(pivot_observations(i.observations), layout.weather_bronze, date_col="weather_date")
+    build_marts(i.spark, layout, check=False)
+    stored_report(i.spark, layout).collect()
+    tables.write_bronze(complete.where(replaced), layout.trips_bronze, year, month)
+    build_marts(i.spark, layout, check=False, months=[REPLACED_MONTH])
+    return stored_report(i.spark, layout)
+
+
 def _mart_roundtrip(i: Inputs) -> DataFrame:
     """Store the station-daily mart in month folders and read it back in order."""
     path = scratch_path(i.spark, "fct_station_daily")
@@ -382,6 +407,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "quality_report": lambda i: quality.check_results(i.with_repeated_rides().checked_tables()),
     "quality_duplicates": lambda i: quality.duplicate_values(i.with_repeated_rides().checked_tables()),
     "quality_unexpected": lambda i: quality.unexpected_values(i.with_repeated_rides().checked_tables()),
+    "quality_after_refresh": _quality_after_refresh,
     "weather_window": _weather_window,
     "csv_union_roundtrip": _csv_union_roundtrip,
     "json_observations": _json_observations,

@@ -40,6 +40,12 @@ class Layout:
     marts: str
     ledger: str
     seed: str | None = None
+    checks: str | None = None  # stored check results; by default beside the marts
+    key_buckets: int = 16  # of stored ride ids: a bucket of a month is one folder
+
+    @property
+    def check_root(self) -> str:
+        return (self.checks or f"{self.marts.rstrip('/')}_checks").rstrip("/")
 
     def landed(self, root: str, year: int, month: int) -> str:
         return f"{root.rstrip('/')}/{year:04d}{month:02d}"

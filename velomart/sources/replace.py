@@ -40,6 +40,11 @@ class Folder:
         """Names in the folder; empty if there is none."""
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))) if self.has() else []
 
+    def files(self) -> list[tuple[str, int, int]]:
+        """Name, size and time of change of each file in the folder itself."""
+        entries = self._fs.listStatus(self._path(self.path)) if self.has() else []
+        return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in entries if s.isFile())
+
     def delete(self, path: str | None = None) -> None:
         self._fs.delete(self._path(path or self.path), True)
 
