@@ -36,6 +36,8 @@ def _layout(args: argparse.Namespace) -> Layout:
         marts=args.marts or f"{root}/marts",
         ledger=args.ledger or f"{root}/state/loads",
         seed=args.seed,
+        checks=args.checks,
+        key_buckets=args.key_buckets,
     )
 
 
@@ -43,8 +45,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="velomart", description=__doc__.splitlines()[0])
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--root", required=True, help="deployment folder on shared storage")
-    for name in ("trips-landing", "weather-landing", "trips-bronze", "weather-bronze", "marts", "ledger", "seed"):
+    for name in ("trips-landing", "weather-landing", "trips-bronze", "weather-bronze", "marts", "ledger", "seed", "checks"):
         common.add_argument(f"--{name}", default=None)
+    common.add_argument("--key-buckets", type=int, default=None, help="buckets of stored ride ids")
     common.add_argument("--no-check", action="store_true", help="skip the data-quality gates")
     sub = parser.add_subparsers(dest="command", required=True)
     monthly = sub.add_parser("monthly", parents=[common], help="load one month")

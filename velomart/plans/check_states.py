@@ -7,7 +7,7 @@ What the checks find in a folder is stored beside the marts as rows that add up:
   accepted-values column and, where a folder holds every row of a key (a date in its own
   month), the values that occur twice;
 * ``keys``: for unique columns whose values may meet in any folder (ride ids), every value
-  with its count, in ``layout.key_buckets`` buckets by hash, sorted;
+  with its count, in ``layout.buckets`` buckets by hash, sorted;
 * ``repeats``: the values of those columns that occur more than once in all folders.
 
 An entry carries the print of the folder it was made from (names, sizes and times of its
@@ -100,7 +100,7 @@ class CheckStates:
     def __init__(self, spark: SparkSession, layout: Layout, table: StoredTable, checks: Sequence[Check] = DECLARED_CHECKS):
         self.spark = spark
         self.table = table
-        self.buckets = layout.key_buckets
+        self.buckets = layout.buckets
         self.checks = [c for c in checks if c.table == table.name]
         self.keyed = [c.column for c in self.checks if c.kind == UNIQUE and c.column not in table.own_keys]
         self.root = f"{layout.check_root}/{table.name}"

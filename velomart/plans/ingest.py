@@ -19,6 +19,7 @@ from velomart.plans.ledger import LoadLedger
 from velomart.sources.landing import read_observation_pages, read_trip_csvs
 from velomart.sources.tables import month_partition, path_exists, write_bronze
 
+KEY_BUCKETS = 16
 TRIPS_PIPELINE = "trips"
 WEATHER_PIPELINE = "weather"
 
@@ -41,7 +42,11 @@ class Layout:
     ledger: str
     seed: str | None = None
     checks: str | None = None  # stored check results; by default beside the marts
-    key_buckets: int = 16  # of stored ride ids: a bucket of a month is one folder
+    key_buckets: int | None = None  # of stored ride ids (a bucket of a month is one folder)
+
+    @property
+    def buckets(self) -> int:
+        return self.key_buckets or KEY_BUCKETS
 
     @property
     def check_root(self) -> str:
