@@ -397,6 +397,28 @@ def oracle_sql() -> dict[str, str]:
     return {**reference, **_training_data()[1]}
 
 
+def _versions_sql() -> str:
+    """Rows by mart and month: of all trips, and with the members' trips of one month alone."""
+    march = "trip_date >= DATE '2024-03-01' AND trip_date < DATE '2024-04-01'"
+    stored = {"fct_trips": "fct_trips", "fct_trip_daily": "trip_daily", "fct_trip_daily_enriched": "trip_daily"}
+    stored |= {f"fct_{t}": t for t in ("station_daily", "station_hourly")}
+    stored |= {f"fct_station_{t}": t for t in ("flows_daily", "flows_hourly")}
+    parts = []
+    for mart, table in stored.items():
+        if mart == "fct_trips":
+            members = "member_casual = 'member'"
+        elif mart.startswith("fct_trip_daily"):
+            members = "trip_date IN (SELECT trip_date FROM fct_trips WHERE member_casual = 'member')"
+        else:
+            members = "member_trips > 0"
+        for version, kept in ((1, "true"), (2, f"(NOT ({march}) OR {members})")):
+            parts.append(
+                f"SELECT cast({version} AS BIGINT) AS version, '{mart}' AS mart, "
+                f"cast(date_trunc('month', trip_date) AS DATE) AS trip_month, count(*) AS n_rows FROM {table} WHERE {kept} GROUP BY 3"
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
 def _bodies() -> dict[str, str]:
     """The final SELECT of every query (to be prefixed with the shared CTEs)."""
     all_hours = _default_hours()
@@ -518,6 +540,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.status = 'success' AND l.pipeli
                   AND l.year = r.year AND l.month = r.month)""",
         "quality_report": f"SELECT *, failures = 0 AS passed FROM (\n{checks}\n) AS c",
         "quality_after_refresh": f"SELECT *, failures = 0 AS passed FROM (\n{checks}\n) AS c",
+        "marts_by_version": _versions_sql(),
         "quality_duplicates": _failing_values_sql(UNIQUE),
         "quality_unexpected": _failing_values_sql(ACCEPTED_VALUES),
         "weather_window": _weather_select("AND obs_date BETWEEN DATE '2024-02-01' AND DATE '2024-02-29'"),

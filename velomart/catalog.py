@@ -10,7 +10,7 @@ shared checkpoint folder and read the result back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +22,11 @@ from velomart.operators import marts, quality, reports
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.operators.weather import pivot_observations
-from velomart.plans.build import build_marts, stored_report
+from velomart.plans.build import build_marts, load_marts, stored_report
 from velomart.plans.ingest import TRIPS_PIPELINE, Layout
 from velomart.plans.ledger import LoadLedger, pending_months
 from velomart.plans.monthly import monthly_load
+from velomart.plans.versions import published
 from velomart.plans.views import read_ordered_mart
 from velomart.session import scratch_path
 from velomart.sources import fixtures, landing, tables
@@ -270,6 +271,27 @@ def _quality_after_refresh(i: Inputs) -> DataFrame:
     return stored_report(i.spark, layout)
 
 
+def _marts_by_version(i: Inputs) -> DataFrame:
+    """Rows of each mart and month in two versions: all months are built, one of them comes
+    in anew without its casual rides, and its marts are refreshed; both versions are read."""
+    root = scratch_path(i.spark, "versions")
+    names = ("trips_landing", "weather_landing", "trips_bronze", "weather_bronze", "marts", "ledger")
+    layout = Layout(**{name: f"{root}/{name}" for name in names})
+    year, month = REPLACED_MONTH
+    tables.write_bronze(i.bronze_trips, layout.trips_bronze)
+    tables.write_bronze(pivot_observations(i.observations), layout.weather_bronze, date_col="weather_date")
+    build_marts(i.spark, layout, check=False)
+    of_month = (F.year("started_at") == year) & (F.month("started_at") == month)
+    tables.write_bronze(i.bronze_trips.where(of_month & (F.col("member_casual") == "member")), layout.trips_bronze, year, month)
+    build_marts(i.spark, layout, check=False, months=[REPLACED_MONTH])
+    counts = [
+        df.groupBy(F.lit(number).cast("bigint").alias("version"), F.lit(name).alias("mart"), TRIP_MONTH).agg(F.count(F.lit(1)).alias("n_rows"))
+        for number in published(i.spark, layout)
+        for name, df in load_marts(i.spark, layout, number).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _mart_roundtrip(i: Inputs) -> DataFrame:
     """Store the station-daily mart in month folders and read it back in order."""
     path = scratch_path(i.spark, "fct_station_daily")
@@ -408,6 +430,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "quality_duplicates": lambda i: quality.duplicate_values(i.with_repeated_rides().checked_tables()),
     "quality_unexpected": lambda i: quality.unexpected_values(i.with_repeated_rides().checked_tables()),
     "quality_after_refresh": _quality_after_refresh,
+    "marts_by_version": _marts_by_version,
     "weather_window": _weather_window,
     "csv_union_roundtrip": _csv_union_roundtrip,
     "json_observations": _json_observations,

@@ -1,7 +1,8 @@
 """Mart build job: stage -> check -> marts in dependency order -> check.
 
 Marts are parquet tables under ``layout.marts``, each stored in month folders
-(``trip_month=YYYY-MM-01``).  Two modes:
+(``trip_month=YYYY-MM-01``) of the builds that wrote them (``plans/versions.py``).  Two
+modes:
 
 * full rebuild (``months=None``): every mart is recomputed from all of bronze
   and replaced as a whole;
@@ -12,10 +13,11 @@ Marts are parquet tables under ``layout.marts``, each stored in month folders
   is left.  Every mart row belongs to the month of its trip date, so a refresh gives
   the same rows as a full rebuild for those months.
 
-Every mart is written aside, checked, and then takes the stored one's place.
-Downstream marts read their inputs back from the written tables, which cuts
-the lineage at every stage.  A failing check stops its lane before anything
-downstream is written.
+Every mart is written to folders of this build and checked.  Downstream marts read their
+inputs back from the written tables, which cuts the lineage at every stage.  A failing
+check stops its lane before anything downstream is written.  Once all marts are there, one
+step makes them the current version; until then, and where a build fails, readers see the
+marts of before.
 """
 
 from __future__ import annotations
@@ -27,15 +29,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from velomart.operators import marts
 from velomart.operators.joins import TRIP_MONTH, with_trip_month
 from velomart.operators.quality import assert_checks_pass, checks_for, collect_check_results
 from velomart.operators.staging import stage_trips, stage_weather
+from velomart.plans import versions
 from velomart.plans.check_states import refresh_report, stored_tables
 from velomart.plans.ingest import Layout
 from velomart.schemas import HOLIDAY_SCHEMA, STAGED_TRIP_COLUMNS, TRIP_BRONZE_SCHEMA, WEATHER_SCHEMA
+from velomart.sources.replace import Folder
 from velomart.sources.seed import read_holidays
 from velomart.sources.tables import read_bronze_trips, read_bronze_weather, read_mart, write_mart
 
@@ -75,10 +79,6 @@ def in_months(col: str, months: Months, as_timestamp: bool) -> Column:
     return reduce(lambda x, y: x | y, ranges)
 
 
-def _month_folders(months: Months) -> Column:
-    return F.col(TRIP_MONTH).isin(*[a for a, _ in _month_bounds(months)])
-
-
 def _landed_in(partitions: Months) -> Column:
     """Bronze folders of these landed months (partition columns, so others are not listed)."""
     pairs = [(F.col("year").cast("int") == y) & (F.col("month").cast("int") == m) for y, m in sorted(set(partitions))]
@@ -91,34 +91,24 @@ def _gate(tables: dict[str, DataFrame]) -> None:
         assert_checks_pass(collect_check_results(tables, checks))
 
 
-def _materialise(
-    spark: SparkSession,
-    layout: Layout,
-    name: str,
-    df: DataFrame,
-    check: bool,
-    months: Months | None = None,
-) -> DataFrame:
-    """Write one mart (all months, or just ``months``) and return what was written.
+def _materialise(spark: SparkSession, layout: Layout, build: str, name: str, df: DataFrame, check: bool) -> DataFrame:
+    """Write the folders of one mart for this build and return what was written.
 
-    The rows are checked before they take the place of the stored ones.  Unique ride
-    ids need no second check on the facts, which are a subset of the staged trips.
+    The rows are checked before they stand under the mart's name.  Unique ride ids need no
+    second check on the facts, which are a subset of the staged trips.
     """
-    path = mart_path(layout, name)
+    path = versions.build_path(mart_path(layout, name), build)
     stored_df = with_trip_month(df)
-    folders = None if months is None else [f"{TRIP_MONTH}={first.isoformat()}" for first, _ in _month_bounds(months)]
     write_mart(
         stored_df,
         path,
         marts.mart_sort_keys(name),
         [TRIP_MONTH],
-        replaced=folders,
         check=(lambda rows: _gate({name: rows})) if check else None,
         # Trip facts come from bronze months as they are stored; the others are aggregates.
         rebalance=name != "fct_trips",
     )
-    stored = read_mart(spark, path, schema=stored_df.schema)
-    return stored if months is None else stored.where(_month_folders(months))
+    return read_mart(spark, path, schema=stored_df.schema)
 
 
 def build_marts(
@@ -128,18 +118,22 @@ def build_marts(
     concurrent_jobs: int = 5,
     months: Months | None = None,
     partitions: Months | None = None,
+    keep: int = versions.KEPT_VERSIONS,
 ) -> dict[str, str]:
-    """Rebuild every mart (or refresh ``months``); returns mart name -> path.
+    """Rebuild every mart (or refresh ``months``) and make the result the current version;
+    returns mart name -> root folder (read them with :func:`load_marts`).
 
     The trip chain (facts -> daily -> enriched) and the four station / flow marts
     do not depend on each other, so they are submitted as concurrent Spark jobs
     from driver threads (Spark's scheduler interleaves their stages on the
     executors).  Any failure -- a task error or a failed check -- is raised
     after the running lanes finish; nothing downstream of a failed lane runs.
-    ``partitions`` are the landed months that hold trips of ``months`` (default: any).
+    ``partitions`` are the landed months that hold trips of ``months`` (default: any);
+    ``keep`` is the number of versions that stay readable.
     """
     if months is not None and not months:
         return {name: mart_path(layout, name) for name in MART_ORDER}
+    base, build = versions.current(spark, layout), versions.new_build()
     all_staged = stage_trips(read_bronze_trips(spark, layout.trips_bronze))
     all_weather = stage_weather(read_bronze_weather(spark, layout.weather_bronze))
     holidays = read_holidays(spark, layout.seed)
@@ -162,7 +156,7 @@ def build_marts(
             assert_checks_pass(report.collect())
 
     def mat(name: str, df: DataFrame) -> DataFrame:
-        return _materialise(spark, layout, name, df, check, months)
+        return _materialise(spark, layout, build, name, df, check)
 
     def trip_chain() -> None:
         facts = mat("fct_trips", marts.trip_facts(staged))
@@ -176,32 +170,47 @@ def build_marts(
         lambda: mat("fct_station_flows_daily", marts.flows_daily(staged)),
         lambda: mat("fct_station_flows_hourly", marts.flows_hourly(staged)),
     ]
+    folders = None if months is None else [f"{TRIP_MONTH}={first.isoformat()}" for first, _ in _month_bounds(months)]
+    try:
+        _run_lanes(spark, lanes, concurrent_jobs)
+        written = {}
+        for name in MART_ORDER:
+            held = Folder(spark, versions.build_path(mart_path(layout, name), build)).children()
+            written[name] = [f for f in held if f.startswith(f"{TRIP_MONTH}=")]
+        versions.publish(spark, layout, base, build, written, folders)
+    except BaseException:
+        versions.discard(spark, layout, MART_ORDER, build)
+        raise
+    versions.clean(spark, layout, MART_ORDER, keep)
+    return {name: mart_path(layout, name) for name in MART_ORDER}
+
+
+def _run_lanes(spark: SparkSession, lanes: list, concurrent_jobs: int) -> None:
     if concurrent_jobs <= 1:
         for lane in lanes:
             lane()
-    else:
-
-        def in_pool(index: int, lane) -> None:
-            # One scheduler pool per lane: with FAIR scheduling a large lane
-            # does not hold every executor while the small marts wait.
-            try:
-                context = spark.sparkContext
-            except Exception:  # Spark Connect: the server schedules
-                context = None
+        return
+
+    def in_pool(index: int, lane) -> None:
+        # One scheduler pool per lane: with FAIR scheduling a large lane
+        # does not hold every executor while the small marts wait.
+        try:
+            context = spark.sparkContext
+        except Exception:  # Spark Connect: the server schedules
+            context = None
+        if context is not None:
+            context.setLocalProperty("spark.scheduler.pool", f"mart-lane-{index}")
+        try:
+            lane()
+        finally:
             if context is not None:
-                context.setLocalProperty("spark.scheduler.pool", f"mart-lane-{index}")
-            try:
-                lane()
-            finally:
-                if context is not None:
-                    context.setLocalProperty("spark.scheduler.pool", None)
-
-        with ThreadPoolExecutor(max_workers=concurrent_jobs, thread_name_prefix="mart") as pool:
-            futures = [pool.submit(in_pool, k, lane) for k, lane in enumerate(lanes)]
-            wait(futures)
-        for f in futures:
-            f.result()
-    return {name: mart_path(layout, name) for name in MART_ORDER}
+                context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=concurrent_jobs, thread_name_prefix="mart") as pool:
+        futures = [pool.submit(in_pool, k, lane) for k, lane in enumerate(lanes)]
+        wait(futures)
+    for f in futures:
+        f.result()
 
 
 def trip_months_in_partition(spark: SparkSession, layout: Layout, year: int, month: int) -> list[tuple[int, int]]:
@@ -243,11 +252,23 @@ def mart_schemas(spark: SparkSession) -> dict[str, StructType]:
 def stored_report(spark: SparkSession, layout: Layout) -> DataFrame:
     """The report of all declared checks over staging, marts and seed, from stored
     results: after a refresh only the folders that changed are read."""
-    return refresh_report(spark, layout, stored_tables(spark, layout, mart_schemas(spark)))
+    return refresh_report(spark, layout, stored_tables(spark, layout, load_marts(spark, layout), versions.current(spark, layout)))
 
 
-def load_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The stored marts as DataFrames (for the report layer), read with their
-    declared schemas."""
+def load_marts(spark: SparkSession, layout: Layout, version: int | None = None) -> dict[str, DataFrame]:
+    """The stored marts as DataFrames (for the report layer), read with their declared
+    schemas: all of the current version, or of another that is kept."""
+    held = versions.current(spark, layout) if version is None else versions.read_version(spark, layout, version)
+    if held is None:
+        raise FileNotFoundError(f"no version of the marts in {layout.marts}")
     schemas = mart_schemas(spark)
-    return {name: read_mart(spark, mart_path(layout, name), schema=schemas[name]) for name in MART_ORDER}
+    return {name: _read_version(spark, mart_path(layout, name), held, name, schemas[name]) for name in MART_ORDER}
+
+
+def _read_version(spark: SparkSession, root: str, version: versions.MartVersion, name: str, schema: StructType) -> DataFrame:
+    paths = version.paths(root, name)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    # The builds' names are a folder column of the scan, which no reader needs.
+    reader = spark.read.schema(StructType([*schema.fields, StructField("build", StringType())]))
+    return reader.option("basePath", root).parquet(*paths).select(*schema.names)

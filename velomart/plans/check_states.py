@@ -39,10 +39,11 @@ from velomart.operators.joins import TRIP_MONTH
 from velomart.operators.quality import ACCEPTED_VALUES, DECLARED_CHECKS, NOT_NULL, UNIQUE, Check
 from velomart.operators.staging import stage_trips, stage_weather
 from velomart.plans.ingest import Layout
+from velomart.plans.versions import MartVersion
 from velomart.schemas import TRIP_BRONZE_SCHEMA, WEATHER_SCHEMA
 from velomart.sources.replace import Folder
 from velomart.sources.seed import read_holidays
-from velomart.sources.tables import read_bronze, read_mart
+from velomart.sources.tables import read_bronze
 
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a null
 _STATE = "column_name string, check_name string, value string, n bigint, part string, print string"
@@ -53,17 +54,19 @@ _REPEATS = "column_name string, bucket int, value string, n bigint"
 @dataclass(frozen=True)
 class StoredTable:
     """A table in folders.  ``rows`` has the checked columns and those of the folders;
-    ``own_keys`` are unique columns whose equal values always share a folder."""
+    ``own_keys`` are unique columns whose equal values always share a folder; ``parts`` the
+    folders' paths where they are not all those under ``root``."""
 
     name: str
     root: str
     rows: DataFrame
     folders: tuple[str, ...]
     own_keys: tuple[str, ...] = ()
+    parts: tuple[str, ...] | None = None
 
 
-def stored_tables(spark: SparkSession, layout: Layout, mart_schemas: dict | None = None) -> list[StoredTable]:
-    """Staging over bronze and, where ``mart_schemas`` has their schemas, the stored marts."""
+def stored_tables(spark: SparkSession, layout: Layout, marts: dict[str, DataFrame] | None = None, version: MartVersion | None = None) -> list[StoredTable]:
+    """Staging over bronze and, where they are given, the stored marts of a version."""
     months = ("year", "month")
     trips = read_bronze(spark, layout.trips_bronze, TRIP_BRONZE_SCHEMA)
     weather = read_bronze(spark, layout.weather_bronze, WEATHER_SCHEMA)
@@ -71,9 +74,9 @@ def stored_tables(spark: SparkSession, layout: Layout, mart_schemas: dict | None
         StoredTable("stg_trips", layout.trips_bronze, stage_trips(trips, keep=months), months),
         StoredTable("stg_weather_daily", layout.weather_bronze, stage_weather(weather, keep=months), months),
     ]
-    for name, schema in (mart_schemas or {}).items():
+    for name, rows in (marts or {}).items():
         root = f"{layout.marts.rstrip('/')}/{name}"
-        found.append(StoredTable(name, root, read_mart(spark, root, schema=schema), (TRIP_MONTH,), ("trip_date",)))
+        found.append(StoredTable(name, root, rows, (TRIP_MONTH,), ("trip_date",), tuple(version.paths(root, name))))
     return found
 
 
@@ -123,6 +126,8 @@ class CheckStates:
 
     def _prints(self) -> dict[str, str]:
         """Label -> print of every folder of the table."""
+        if self.table.parts is not None:
+            return {_label(path.rpartition("/")[2]): self._print(path) for path in self.table.parts}
         # The session is the file system's; one listing a folder, as a scan makes it.
         below = [("", "")]
         for column in self.table.folders:

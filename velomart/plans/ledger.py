@@ -33,13 +33,17 @@ class LoadLedger:
 
     def record(self, pipeline_name: str, year: int, month: int, output_path: str, status: str = SUCCESS) -> None:
         """Append one load event; ``loaded_at`` is naive UTC wall-clock time."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = [(pipeline_name, int(year), int(month), output_path, status, now)]
+        row = [(pipeline_name, int(year), int(month), output_path, status, self.now())]
         self.append(self.spark.createDataFrame(row, LEDGER_SCHEMA))
 
-    def record_all(self, pipeline_name: str, months, output_path: str, status: str) -> None:
-        """Append one event for each (year, month)."""
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    @staticmethod
+    def now() -> dt.datetime:
+        """Naive UTC wall-clock time, as ``loaded_at`` has it."""
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+    def record_all(self, pipeline_name: str, months, output_path: str, status: str, at: dt.datetime | None = None) -> None:
+        """Append one event for each (year, month), of now or of the time ``at``."""
+        now = at or self.now()
         rows = [(pipeline_name, int(y), int(m), output_path, status, now) for y, m in sorted(set(months))]
         if rows:
             self.append(self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1))

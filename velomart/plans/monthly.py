@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from velomart.plans.build import build_marts, mart_path, MART_ORDER, trip_months_in_partition
+from velomart.plans import versions
+from velomart.plans.build import build_marts, trip_months_in_partition
 from velomart.plans.ingest import (
     LOADED,
     SKIPPED_EXISTS,
@@ -150,13 +151,13 @@ def _build_stale(
     months = touched | _stale_months(spark, layout, ledger)
     if not months:
         return {}, []
-    marts_there = all(path_exists(spark, mart_path(layout, name)) for name in MART_ORDER)
-    everything = full_rebuild or not marts_there
-    if everything:
+    # The months count as built from here on: what a load marks while they are built stays stale.
+    began = ledger.now()
+    if full_rebuild or versions.current(spark, layout) is None:
         marts = build_marts(spark, layout, check)
     else:
         marts = build_marts(spark, layout, check, months=sorted(months), partitions=_landed_with(spark, layout, ledger, months))
-    ledger.record_all(MARTS_PIPELINE, months, layout.marts, SUCCESS)
+    ledger.record_all(MARTS_PIPELINE, months, layout.marts, SUCCESS, began)
     return marts, None if full_rebuild else sorted(months)
 
 

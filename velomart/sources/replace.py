@@ -9,6 +9,7 @@ shared file systems; on an object store they copy, but still only after the comm
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -83,3 +84,44 @@ class Folder:
         self.recover()
         if self.has():
             self.delete()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file, unless one is there; True if this call made it.
+
+    The file appears with its whole text, and of several calls at once one makes it:
+    it is written aside and renamed, which HDFS refuses onto a file that is there.  Where
+    a rename replaces the file (local folders), it is linked instead.  On an object store,
+    whose rename copies, two calls in the same moment may both see their own file.
+    """
+    folder = Folder(spark, path.rpartition("/")[0])
+    name = path.rpartition("/")[2]
+    target = folder._path(path)
+    aside = f"{folder.path}/{_NEXT}{name}-{uuid.uuid4().hex[:12]}"
+    folder._fs.mkdirs(folder._path(folder.path))
+    stream = folder._fs.create(folder._path(aside), False)
+    try:
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if folder.has(path):
+            return False
+        if folder._fs.getScheme() == "file":
+            try:
+                os.link(folder._path(aside).toUri().getPath(), target.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        return folder._fs.rename(folder._path(aside), target)
+    finally:
+        if folder.has(aside):
+            folder.delete(aside)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    folder = Folder(spark, path)
+    stream = folder._fs.open(folder._path(path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
