@@ -556,6 +556,7 @@ FROM trips_raw""",
         "json_observations": "SELECT * FROM weather",
         "bronze_roundtrip": "SELECT * FROM stg",
         "ledger_roundtrip": "SELECT * FROM ledger",
+        "ledger_compacted": "SELECT * FROM ledger",
         "ledger_lookup": """
 SELECT r.pipeline_name, r.year, r.month, count(l.pipeline_name) > 0 AS already_loaded, count(l.pipeline_name) AS loads
 FROM requested r LEFT JOIN ledger l

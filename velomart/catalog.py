@@ -208,6 +208,16 @@ def _ledger_roundtrip(i: Inputs) -> DataFrame:
     return ledger.read()
 
 
+def _ledger_compacted(i: Inputs) -> DataFrame:
+    """The ledger after many appends, with compactions in between."""
+    ledger = LoadLedger(i.spark, scratch_path(i.spark, "ledger"))
+    loads = fixtures.fixture_ledger(i.spark, i.sf_dir)
+    for month in range(1, 13):
+        ledger.append(loads.where(F.col("month") == month).coalesce(1))
+        ledger.compact(max_files=3)
+    return ledger.read()
+
+
 def _ledger_lookup(i: Inputs) -> DataFrame:
     """Which requested months the ledger has loads of, and how many."""
     ledger = LoadLedger(i.spark, scratch_path(i.spark, "ledger"))
@@ -437,6 +447,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "bronze_roundtrip": _bronze_roundtrip,
     "ledger_roundtrip": _ledger_roundtrip,
     "ledger_lookup": _ledger_lookup,
+    "ledger_compacted": _ledger_compacted,
     "monthly_load_marts": _monthly_load_marts,
     "mart_roundtrip": _mart_roundtrip,
     "csv_export_roundtrip": _csv_export_roundtrip,

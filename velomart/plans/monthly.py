@@ -11,6 +11,7 @@ from velomart.plans import versions
 from velomart.plans.build import build_marts, trip_months_in_partition
 from velomart.plans.ingest import (
     LOADED,
+    SKIPPED_CLAIMED,
     SKIPPED_EXISTS,
     TRIPS_PIPELINE,
     WEATHER_PIPELINE,
@@ -62,7 +63,9 @@ def monthly_load(
         year, month = previous_month_of()
     ledger = LoadLedger(spark, layout.ledger)
     trips, weather, touched = _load(spark, layout, ledger, year, month, force, station)
-    marts, months = _build_stale(spark, layout, ledger, check, touched, full_rebuild)
+    others = touched if SKIPPED_CLAIMED in (trips, weather) else set()
+    marts, months = _build_stale(spark, layout, ledger, check, touched, full_rebuild, others)
+    ledger.compact()
     return {"year": year, "month": month, "trips": trips, "weather": weather, "months": months, "marts": marts}
 
 
@@ -144,11 +147,13 @@ def _landed_with(spark: SparkSession, layout: Layout, ledger: LoadLedger, months
 
 
 def _build_stale(
-    spark: SparkSession, layout: Layout, ledger: LoadLedger, check: bool, touched: set[Month], full_rebuild: bool = False
+    spark: SparkSession, layout: Layout, ledger: LoadLedger, check: bool, touched: set[Month], full_rebuild: bool = False,
+    others: set[Month] = frozenset(),
 ) -> tuple[dict[str, str], list[Month] | None]:
     """Builds the months that a run touched and those that earlier runs left stale; they
-    count as built once every check has passed."""
-    months = touched | _stale_months(spark, layout, ledger)
+    count as built once every check has passed.  Months of ``others`` are being loaded by
+    another run, which builds them."""
+    months = (touched | _stale_months(spark, layout, ledger)) - others
     if not months:
         return {}, []
     # The months count as built from here on: what a load marks while they are built stays stale.
@@ -195,10 +200,15 @@ def backfill(
     pending = pending_months(requested, ledger.read()).collect()
     todo = sorted({(r.year, r.month) for r in pending})
     touched: set[Month] = set()
+    others: set[Month] = set()
     results = {}
     for year, month in todo:
         trips, weather, months = _load(spark, layout, ledger, year, month, False, station)
         results[(year, month)] = (trips, weather)
-        touched |= months
-    marts, built = _build_stale(spark, layout, ledger, check, touched)
+        if SKIPPED_CLAIMED in (trips, weather):
+            others |= months
+        else:
+            touched |= months
+    marts, built = _build_stale(spark, layout, ledger, check, touched, others=others)
+    ledger.compact()
     return {"loaded": results, "months": built, "marts": marts}

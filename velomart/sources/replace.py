@@ -79,6 +79,16 @@ class Folder:
         if self.has(last):
             self.delete(last)
 
+    def add_files(self, written: str) -> None:
+        """Moves the files of a committed write into this folder, its marker last."""
+        self._fs.mkdirs(self._path(self.path))
+        for name, _, _ in Folder(self.spark, written).files():
+            if not name.startswith(("_", ".")):
+                self.move(f"{written}/{name}", f"{self.path}/{name}")
+        marker = f"{self.path}/_SUCCESS"
+        if not self.has(marker):
+            self._fs.create(self._path(marker), True).close()
+
     def remove(self) -> None:
         """Removes the folder and what an earlier replacement may have left of it."""
         self.recover()

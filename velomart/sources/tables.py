@@ -36,13 +36,14 @@ def write_bronze(
     year: int | None = None,
     month: int | None = None,
     date_col: str = "started_at",
+    ready: Callable[[], None] | None = None,
 ) -> None:
     """Write rows into ``root/year=YYYY/month=MM`` partitions, replacing only those.
 
     With (year, month) the partition comes from the run arguments (the landed
     month), as the monthly load does: that one folder is replaced as a whole, even
-    when the new landing holds no rows, and only once the new rows are written, so a
-    failed reload leaves the old month as it was.  Without
+    when the new landing holds no rows, and only once the new rows are written and
+    ``ready`` has not raised, so a failed reload leaves the old month as it was.  Without
     them each row goes to the month of ``date_col`` and dynamic partition
     overwrite replaces exactly the months present.  Other months are untouched
     either way, so a rerun never duplicates rows.
@@ -53,6 +54,8 @@ def write_bronze(
         written = folder.beside()
         try:
             df.write.parquet(written)
+            if ready is not None:
+                ready()
             folder.replace_by(written)
         finally:
             folder.delete(written)
