@@ -71,3 +71,11 @@ def test_copies_within_and_across_tasks(spark):
 
 def test_empty_table(no_docs):
     assert D.remove_repeats(no_docs).count() == 0
+
+
+def test_texts_of_no_id_and_equal_checksum_are_two_documents(spark):
+    shared = "".join(f"{k} of the words; " for k in range(40))
+    texts = ["plumless" + shared, "buckeroo" + shared]  # a known pair of equal CRC-32
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = sorted(r.n_removed for r in D.remove_repeats(docs).collect())
+    assert got == [0, len(shared)]

@@ -23,7 +23,8 @@ from an earlier document are covered at once.
 
 Defined cases: a null text is empty; texts shorter than ``length`` bytes stay; equal rows
 (same id and text) are one document, judged once; of rows with one id and several texts
-the one with the smaller checksum is earlier; a null id comes last; an empty table gives
+the one with the smaller checksum is earlier (CRC-32, then 31 bits of another hash: 63 bits
+tell the texts apart); a null id comes last; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,7 @@ LENGTH = 100
 GRAM = 40
 SHARD_BYTES = 1 << 20
 GROUP_BYTES = 2 << 20
+SALTS = 32  # parts of the places of one window string
 LAST = (1 << 63) - 1  # the place of a null id
 
 
@@ -345,11 +347,16 @@ def _split(rows: DataFrame, filter_words: DataFrame) -> tuple[DataFrame, DataFra
     return flagged.where(may).drop("word", "bits"), flagged.where(~may).drop("word", "bits")
 
 
+def _checksum(text: Column) -> Column:
+    """CRC-32 of the text, and below it the low 31 bits of its 64-bit hash."""
+    return F.shiftleft(F.crc32(text.cast("binary")), 31).bitwiseOR(F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, group_bytes: int = GROUP_BYTES, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with ``with_text``
     also kept, the bytes that stay."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), _checksum(text).alias("crc"), text.alias("text"))
     texts = rows.select("ord", "crc", "text")
 
     places = map_batches(texts, _places(length), "value long, ord long, crc long, times long").repartition("value").sortWithinPartitions("value")
@@ -368,8 +375,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         .select("ord", "crc", "low", "piece", F.explode(F.expr(f"sequence(0, length(piece) - {length})")).alias("i"))
         .select(F.expr(f"substring(piece, i + 1, {length})").alias("window"), F.struct("ord", "crc", (F.col("low") + F.col("i")).alias("low")).alias("place"))
     )
-    first = window.groupBy("window").agg(F.min("place").alias("first"))
-    strings = window.join(first, "window").where("place != first").select("place.ord", "place.crc", "place.low", (F.col("place.low") + length).alias("high"))
+    # A window that stands at very many places is dealt in parts: the least place of each
+    # part, then of the window, which goes back to the parts.
+    salted = window.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)))
+    least = salted.groupBy("window", "salt").agg(F.min("place").alias("least"))
+    first = least.groupBy("window").agg(F.min("least").alias("first"))
+    parts = least.join(first, "window").select("window", "salt", "first")
+    strings = salted.join(parts, ["window", "salt"]).where("place != first").select("place.ord", "place.crc", "place.low", (F.col("place.low") + length).alias("high"))
 
     covered = found.where("piece is null").drop("piece").union(copies.drop("piece")).union(strings)
     stretches = covered.distinct().groupBy("ord", "crc").agg(F.collect_list(F.struct("low", "high")).alias("all")).select("ord", "crc", F.col("all.low").alias("low"), F.col("all.high").alias("high"))
