@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest_llm import key, near_copies
 from velomart.llm import jaccard_join as J
@@ -110,6 +111,44 @@ def test_many_near_copies_in_several_components(spark, monkeypatch):
     assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == brute(data, 4, 80)
 
 
+def test_done_tiles_are_looked_at_once(spark, monkeypatch):
+    """Texts that share a passage and hardly link: the grams that many of them hold go to
+    the tiles one time."""
+    rnd = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(40))
+    data = [(i, passage + " " + " ".join(f"w{rnd.randrange(10**9)}" for _ in range(30))) for i in range(30)]
+    data += [(i + 40, data[i][1] + f" x{i}") for i in range(3)]
+    looks = []
+    hot = J.JaccardJoin._hot_pairs
+    monkeypatch.setattr(J.JaccardJoin, "_hot_pairs", lambda self, rows, best: looks.append(best) or hot(self, rows, best))
+    monkeypatch.setattr(J, "BLOCK_TIMES", 10**9)  # no gram is recognised as frequent
+    monkeypatch.setattr(J, "COLD", 4)
+    got = J.JaccardJoin(spark.createDataFrame(data, "doc_id long, text string"), 4, 85).components().collect()
+    assert sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in got) == brute(data, 4, 85)
+    assert looks == [True]
+
+
+@pytest.mark.parametrize("tile", [7, 16, 2048])
+def test_all_pairs_of_a_gram_meet_and_no_document_is_twice_in_a_tile(spark, monkeypatch, tile):
+    def met(percent, best):
+        def run(key, rows):
+            rows = rows.select(["node", "root", "visits", "home"]).to_pylist()
+            assert len({r["node"] for r in rows}) == len(rows)
+            pairs = [sorted((x["node"], y["node"])) for x in rows for y in rows if x["visits"] and y["home"] and x["root"] != y["root"]]
+            return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64()), "gram": pa.nulls(len(pairs), pa.int64())})
+
+        return run
+
+    monkeypatch.setattr(J, "_tile", met)
+    monkeypatch.setattr(J, "TILE", tile)
+    join = J.JaccardJoin(spark.createDataFrame([(i, f"t{i} u{i}") for i in range(40)], "doc_id long, text string"), 4, 85)
+    nodes = sorted(r.node for r in join.nodes.collect())
+    major, rest = nodes[:15], nodes[15:]
+    rows = [(1, x, 1, 0, major[0] if x in major else x, 40, major[0], 25) for x in nodes]
+    found = join._hot_pairs(spark.createDataFrame(rows, "gram long, node long, n int, pos int, root long, held long, major long, minor long"), best=False).collect()
+    assert sorted((r.a, r.b) for r in found) == [(a, b) for i, a in enumerate(nodes) for b in nodes[i + 1 :] if a in rest or b in rest]
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(3)
     for n in (1, 5, 60, 700, 9000):

@@ -13,14 +13,17 @@ the threshold, and each remaining pair is verified once on the whole sets.
 * Candidates come in rounds.  First each prefix gram's documents meet only the smallest of
   similar size; verified links give components, and grams whose documents are all in one
   component are closed.  Of a gram that more than ``COLD`` documents still hold, every
-  document outside the gram's largest component looks at the others of other components and
-  proposes the likeliest one (``BEST_ROUNDS`` times: a number of pairs linear in the rows each
-  time, with which a large group of near copies becomes one component).  Last, all pairs of
-  different components that share an open prefix gram and pass the filters are verified, so
-  no link between components is lost.
+  document outside the gram's largest component looks at the others of other components.  A
+  tile gives all its pairs that pass the filters if they are no more than the documents that
+  look, and is done; else each document proposes the likeliest one (``BEST_ROUNDS`` times: a
+  number of pairs linear in the rows each time, with which a large group of near copies
+  becomes one component).  Last, all pairs of different components that pass the filters and
+  share an open prefix gram, of few documents or of a tile not done, are verified, so no link
+  between components is lost.
 * Looking at others happens in tiles of a bounded number of documents, by array operations
   on bitmaps; only pairs that pass every filter leave a tile as rows.  The largest component
-  of a gram is not copied, the others go to each tile of it.
+  of a gram is not copied, the others go to each tile of it, once where they also reside.
+* Bitmaps are shuffled of the sets alone that a Bloom filter of the wanted ones lets through.
 * The suffix filter compares two bitmaps of the sets' ranges of gram hashes, four to eight
   a gram: each range that only one set reaches is a gram that only one set has.
 
@@ -53,6 +56,7 @@ BLOCK_TIMES = 3
 BEST_ROUNDS = 2
 COLD = 16  # documents of a gram whose pairs are joined as rows
 TILE = 2048  # documents of a tile
+NODE_BITS_LOG2 = 26  # of the filter of the nodes whose bitmaps are wanted
 LEAST_PARTS_LOG2, MOST_PARTS_LOG2 = 6, 15
 _ROWS = 1 << 16
 
@@ -288,6 +292,17 @@ def _chosen_sets(n: int, sent):
     return run
 
 
+def _wanted(sent):
+    """Rows whose node passes the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.passes(bits, batch.column("node").to_numpy().view(np.uint64))))
+
+    return run
+
+
 def _near(percent: int):
     """Pairs that the suffix filter lets through."""
 
@@ -305,20 +320,30 @@ def most_difference(total, percent: int):
     return total - 2 * -(-percent * total // (100 + percent))
 
 
+def unordered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs with their smaller node first."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    keep = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+    return a[keep], b[keep]
+
+
 def _tile(percent: int, best: bool):
-    """Pairs of a gram's visiting documents with resident ones that pass all filters; of
-    each visitor all, or that of the least difference."""
+    """Pairs of a gram's visiting documents with resident ones that pass all filters.  With
+    ``best``, if they are more than the visitors, only that of the least difference of each
+    visitor, and a row with the gram, which is not done."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        visits = rows.column("visits").to_numpy()
+        roles = {True: rows.column("visits").to_numpy(), False: rows.column("home").to_numpy()}
         facts = {c: rows.column(c).to_numpy() for c in ("node", "n", "pos", "root")}
         facts = {c: v.astype(np.int64) for c, v in facts.items()}
         parts = rows.column("parts").to_pylist()
         sizes = np.array([len(x) for x in parts])
         sides = {}
         for visiting in (False, True):
-            for size in np.unique(sizes[visits == visiting]).tolist():
-                at = np.flatnonzero((visits == visiting) & (sizes == size))
+            for size in np.unique(sizes[roles[visiting]]).tolist():
+                at = np.flatnonzero(roles[visiting] & (sizes == size))
                 sides[visiting, size] = {c: v[at] for c, v in facts.items()}, np.frombuffer(b"".join(parts[i] for i in at), np.uint8).reshape(len(at), size)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for (visiting, x), (guest, mine) in sides.items():
@@ -345,12 +370,16 @@ def _tile(percent: int, best: bool):
                         keep = gap <= most[j : j + (1 << 14)]
                         found.append((guest["node"][i + k[keep]], home["node"][m[keep]], gap[keep]))
         a, b, gap = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
-        if best:
+        pairs = unordered(a, b)
+        left = best and len(pairs[0]) > roles[True].sum()
+        if left:
             order = np.lexsort((b, gap, a))
             a, b = a[order], b[order]
             keep = np.append(True, a[1:] != a[:-1])[: len(a)]
-            a, b = a[keep], b[keep]
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+            pairs = unordered(a[keep], b[keep])
+        columns = [pa.concat_arrays([pa.array(x), pa.nulls(int(left), pa.int64())]) for x in pairs]
+        gram = pa.concat_arrays([pa.nulls(len(pairs[0]), pa.int64()), pa.array([key[0].as_py()] * int(left), pa.int64())])
+        return pa.table([*columns, gram], names=["a", "b", "gram"])
 
     return run
 
@@ -409,9 +438,15 @@ class JaccardJoin:
         met = rows.repartition("gram").sortWithinPartitions("gram", "n", "node")
         return materialize(map_batches(met, _meet(self.percent), "gram long, node long, n int, pos int, hub long"), "shared-grams")
 
-    def _possible(self, pairs: DataFrame) -> DataFrame:
+    def _bitmaps(self, of: DataFrame) -> DataFrame:
+        """node, n and parts of at least the nodes in ``of``."""
+        bits = self.spark.sparkContext.broadcast(bloom.build(of, "node", NODE_BITS_LOG2))
+        return map_batches(self.nodes.select("node", "n", "parts"), _wanted(bits), "node long, n long, parts binary")
+
+    def _possible(self, pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (a, b) that pass the length and suffix filters."""
-        nodes = self.nodes.select("node", "n", "parts")
+        pairs = materialize(pairs, f"{name}-met")
+        nodes = self._bitmaps(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(nodes.toDF("a", "na", "pa"), "a").join(nodes.toDF("b", "nb", "pb"), "b")
         near = both.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
         return map_batches(near, _near(self.percent), "a long, b long")
@@ -419,6 +454,8 @@ class JaccardJoin:
     def _linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that reach the threshold, verified on the whole sets."""
         pairs = materialize(pairs, f"{name}-pairs")
+        if pairs.isEmpty():
+            return pairs
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         chosen = self.nodes.join(ends, "node", "left_semi").select(F.col("node").bitwiseXOR(F.col("dk")).alias("key"))
         bits = self.spark.sparkContext.broadcast(bloom.build(chosen, "key"))
@@ -426,32 +463,40 @@ class JaccardJoin:
         held = pairs.join(grams.toDF("a", "x"), "a").join(grams.toDF("b", "y"), "b")
         return materialize(map_batches(held, _verify(self.percent), "a long, b long").distinct(), f"{name}-links")
 
-    def _open(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+    def _open(self, rows: DataFrame, groups: DataFrame) -> DataFrame:
         """Rows of the grams whose documents are in several components, with their root,
         how many rows the gram has, its largest component and how many rows are not in it."""
-        groups = connected_components(links)
         rooted = rows.select("gram", "node", "n", "pos").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         by_root = rooted.groupBy("gram", "root").agg(F.count("*").alias("of_root"))
         of_gram = by_root.groupBy("gram").agg(F.sum("of_root").alias("held"), F.max_by("root", "of_root").alias("major"), F.max("of_root").alias("most"), F.count("*").alias("roots"))
         several = of_gram.where("roots > 1").select("gram", "held", "major", (F.col("held") - F.col("most")).alias("minor"))
         return materialize(rooted.join(several, "gram"), "open-grams")
 
+    def _moved(self, rows: DataFrame, before: DataFrame, after: DataFrame, found: DataFrame) -> DataFrame:
+        """The rows with the roots they have after the links in ``found``.  The table of
+        changed roots is no larger than that of the links: Spark broadcasts a small one."""
+        ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        was = ends.join(before, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        moved = was.join(after.toDF("node", "now"), "node").where("root != now").select("root", "now").distinct()
+        return rows.join(materialize(moved, "moved-roots"), "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+
     def _hot_pairs(self, rows: DataFrame, best: bool) -> DataFrame:
-        """Pairs of the grams that many documents hold, from tiles: each document is a
-        resident of one tile, and those outside the gram's largest component visit all."""
-        hot = rows.where(F.col("held") > COLD).join(self.nodes.select("node", "parts"), "node")
+        """Pairs of grams that many documents hold, from tiles, and the grams with tiles that
+        are not done: each document is a resident of one tile, and those outside the gram's
+        largest component visit all."""
+        nodes = self._bitmaps(rows.select("node").distinct()).select("node", "parts")
         tiles, blocks = (F.ceil(F.col(c) / TILE).cast("int") for c in ("held", "minor"))
         part = lambda count, seed: F.pmod(F.xxhash64("node", F.lit(seed)), count).cast("int")
-        every = lambda count: F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)
+        places = F.expr("""inline(concat(
+            transform(sequence(0, blocks - 1), x -> struct(true as home, outside and x = block0 as visits, tile0 as tile, x as block)),
+            transform(filter(sequence(0, tiles - 1), x -> outside and x != tile0), x -> struct(false as home, true as visits, x as tile, block0 as block))))""")
         facts = ["gram", "node", "n", "pos", "root", "parts"]
-        at_home = hot.select(*facts, F.lit(False).alias("visits"), part(tiles, 1).alias("tile"), F.explode(every(blocks)).alias("block"))
-        guests = hot.where("root != major").select(*facts, F.lit(True).alias("visits"), F.explode(every(tiles)).alias("tile"), part(blocks, 2).alias("block"))
-        return at_home.union(guests).groupBy("gram", "tile", "block").applyInArrow(_tile(self.percent, best), "a long, b long").distinct()
+        placed = rows.join(nodes, "node").select(*facts, F.expr("root != major").alias("outside"), tiles.alias("tiles"), blocks.alias("blocks"), part(tiles, 1).alias("tile0"), part(blocks, 2).alias("block0"))
+        return placed.select(*facts, places).groupBy("gram", "tile", "block").applyInArrow(_tile(self.percent, best), "a long, b long, gram long").distinct()
 
     def _cold_pairs(self, rows: DataFrame) -> DataFrame:
         p = self.percent
-        cold = rows.where(F.col("held") <= COLD)
-        x, y = (cold.select("gram", *(F.col(c).alias(f"{c}{i}") for c in ("node", "n", "pos", "root"))) for i in (1, 2))
+        x, y = (rows.select("gram", *(F.col(c).alias(f"{c}{i}") for c in ("node", "n", "pos", "root"))) for i in (1, 2))
         overlap = f"({p} * (n1 + n2) + {99 + p}) div {100 + p}"
         pairs = (
             x.join(y, "gram")
@@ -462,24 +507,36 @@ class JaccardJoin:
             .select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"))
             .distinct()
         )
-        return self._possible(pairs)
+        return self._possible(pairs, "cold")
 
     def links(self) -> DataFrame:
         """(a, b): links between nodes, enough of them to connect all that are linked."""
         ship_package(self.spark)
         rows = self._shared()
         hubs = rows.where("hub is not null").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        links = self._linked(self._possible(hubs), "hub")
-        rows = self._open(rows, links)
-        for turn in range(BEST_ROUNDS):
-            if rows.where(F.col("held") > COLD).isEmpty():
+        links = self._linked(self._possible(hubs, "hub"), "hub")
+        groups = connected_components(links)
+        rows = self._open(rows, groups)
+        cold, hot = rows.where(F.col("held") <= COLD), rows.where(F.col("held") > COLD)
+        rest, rounds = None, BEST_ROUNDS  # the pairs of the hot grams that the rounds leave
+        while not hot.isEmpty():
+            if not rounds:
+                rest = self._hot_pairs(hot, best=False).select("a", "b")
                 break
-            found = self._linked(self._hot_pairs(rows, best=True), f"best{turn}")
+            tiles = materialize(self._hot_pairs(hot, best=True), "tiles")
+            left = tiles.where("gram is not null").select("gram").distinct()
+            found = self._linked(tiles.where("gram is null").select("a", "b").distinct(), f"best{BEST_ROUNDS - rounds}")
+            hot = hot.join(left, "gram", "left_semi")
             if found.isEmpty():
-                break
-            links = links.union(found)
-            rows = self._open(rows, links)
-        return links.union(self._linked(self._cold_pairs(rows).union(self._hot_pairs(rows, best=False)).distinct(), "cross"))
+                rounds = 0
+                continue
+            rounds -= 1
+            links, before = links.union(found), groups
+            groups = connected_components(links)
+            cold = self._moved(cold, before, groups, found)
+            hot = self._open(hot, groups)
+        pairs = self._cold_pairs(cold)
+        return links.union(self._linked(pairs if rest is None else pairs.union(rest).distinct(), "cross"))
 
     def components(self) -> DataFrame:
         """doc_id, the extra columns, n_shingles, component_id and root (the component's
