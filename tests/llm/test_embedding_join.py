@@ -1,5 +1,8 @@
 """The pigeonhole join against all pairs."""
 
+import os
+import threading
+
 import numpy as np
 import pytest
 from conftest_llm import key
@@ -93,3 +96,63 @@ def test_some_block_is_within_its_budget():
         assert np.isclose(E.budgets(dims, 0.9).sum(), 0.2)
         if x @ y >= 0.9:
             assert (parts <= E.budgets(dims, 0.9)).any()
+
+
+def test_pairs_near_the_threshold_are_verified(spark):
+    """Cosines within a sketch's error of the threshold, on both sides of it."""
+    data = [[1.0] + [0.0] * 39]
+    for k in range(60):
+        cos = 0.9 + (k - 30) * 1e-5
+        data.append([cos] + [float(np.sqrt(1 - cos * cos)) if i == k % 39 else 0.0 for i in range(39)])
+    df = spark.createDataFrame(list(enumerate(data)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in E.near_duplicates(df, 0.9).collect()}
+    want = [len(near) for near in brute(data, 0.9)]
+    assert [got[i] for i in range(1, 30)] == want[1:30]
+    assert [got[i] for i in range(32, 61)] == want[32:]
+
+
+def test_disk_is_in_proportion_to_the_input(spark, scratch):
+    rng = np.random.default_rng(5)
+    data = rng.standard_normal((12000, 64)).astype(np.float32)
+    path, seen, done = scratch("vectors"), [], threading.Event()
+    spark.createDataFrame([(i, v) for i, v in enumerate(data.tolist())], "vec_id long, embedding array<float>").write.parquet(path)
+    dirs = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()] + [os.path.dirname(path)]
+
+    def used(*tops):
+        total = 0
+        for name in (os.path.join(d, f) for top in tops for d, _, files in os.walk(top) for f in files):
+            try:
+                total += os.path.getsize(name)
+            except OSError:  # removed since
+                pass
+        return total
+
+    start = used(*dirs)
+
+    def watch():
+        while not done.wait(0.05):
+            seen.append(used(*dirs) - start)
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        got = E.near_duplicates(spark.read.parquet(path)).agg({"n_links": "sum"}).first()[0]
+    finally:
+        done.set()
+        watching.join()
+    assert got == 0
+    assert max(seen) < 4 * used(path)
+
+
+def test_cells_of_several_lengths_and_chunks(spark, monkeypatch):
+    """Many cells, cells in several chunks, chunks of several cells, copies in either."""
+    monkeypatch.setattr(E, "CELL_ROWS", 20)
+    monkeypatch.setattr(E, "TILE_BYTES", 64)
+    rng = np.random.default_rng(9)
+    close = rng.standard_normal(70)
+    data = vectors(11, 70, 150) + vectors(12, 6, 90) + [(close + rng.standard_normal(70) * 0.1).tolist() for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(data)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in E.near_duplicates(df, 0.9).collect()}
+    links = brute(data, 0.9)
+    want = components(range(len(data)), links)
+    assert [(got[i].n_links, got[i].component_id) for i in range(len(data))] == [(len(near), c) for near, c in zip(links, want, strict=True)]
