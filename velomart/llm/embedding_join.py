@@ -61,6 +61,9 @@ SLACK = 1e-9  # of squared distances, for rounding
 COARSE_SLACK = 1e-5  # the same where single precision chooses candidates
 SURE_SLACK = 1e-7  # of distances that bounds decide
 STRIP_BYTES = 4 << 20
+STEPS = 14  # of the distances along a line
+SLAB = 1 << 21  # of such distances at once
+FAR = np.float32(1e9)  # beyond all of them
 PAIRS = 1 << 13
 SEED = 20240101
 
@@ -287,12 +290,21 @@ class _Side:
 FOUND = "a long, b long, links long"  # a node's links; an edge of the forest; a pair to verify has -1
 
 
+def _by_step(distances: np.ndarray, cell: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of distances below STEPS, by cell and whole step, and how many each cell has up to each."""
+    some = np.flatnonzero(distances < STEPS)
+    key = cell[some] * STEPS + distances[some].astype(np.int64)
+    ends = np.cumsum(np.bincount(key, minlength=cells * STEPS).reshape(-1, STEPS), axis=1)
+    return some[np.argsort(key.astype(np.uint16) if cells * STEPS < 1 << 16 else key, kind="stable")], ends
+
+
 class _Meeting:
     """All linked pairs of two chunks of a block, or of one."""
 
     def __init__(self, dims: int, threshold: float):
         self.dims, self.cuts, self.limit = dims, [b for b, _ in blocks(dims)], np.sqrt(np.maximum(0, budgets(dims, threshold)) + SLACK)
         self.radius = _radius(threshold)
+        self.buffer = np.empty(STRIP_BYTES // 4, np.float32)
         self.edges: list[tuple[np.ndarray, np.ndarray]] = []
         self.open: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -319,23 +331,53 @@ class _Meeting:
                 np.add.at(two.links, j, one.copies[i])
                 self.edges.append(local_forest(one.node[i], two.node[j]))
 
-    def compare(self, x: np.ndarray, y: np.ndarray, least: np.float32, ends: np.ndarray | None, same: bool) -> None:
-        """Verifies near ones of rows ``x`` and ``y``, of each ``x`` only the first ``ends`` of ``y``."""
-        left, right = self.one.left[x], np.ascontiguousarray(self.two.right[y].T)
-        at, step = 0, max(1, min(max(64, len(x) // 8), STRIP_BYTES // (4 * len(y))))
-        while at < len(x):
-            end = len(y) if ends is None else int(ends[at])  # they fall
-            if not end:
-                break
-            begin = at if same else 0
-            near = np.flatnonzero((left[at : at + step] @ right[:, begin:end] >= least).ravel())
+    def compare(self, x: slice, y: slice, least: np.float32) -> None:
+        """Verifies near ones of all rows ``x`` and ``y``; of one chunk with itself each pair once."""
+        same, width = self.one is self.two, y.stop - y.start
+        step = max(1, STRIP_BYTES // (4 * width))
+        for at in range(x.start, x.stop, step):
+            begin = at if same else y.start
+            near = np.flatnonzero((self.one.left[at : min(at + step, x.stop)] @ self.two.right[begin : y.stop].T >= least).ravel())
             if len(near):
-                i, j = np.divmod(near, end - begin)
-                i, j = x[at + i], y[begin + j]
-                if same:
-                    i, j = i[i < j], j[i < j]
-                self.verify(i, j)
-            at += step
+                i, j = np.divmod(near, y.stop - begin)
+                i, j = at + i, begin + j
+                self.verify(*((i[i < j], j[i < j]) if same else (i, j)))
+
+    def sort_out(self, strips: list[tuple[int, int, np.ndarray, np.ndarray]], size: int, least: np.float32) -> None:
+        """Verifies near ones of the strips of products in the buffer."""
+        near = np.flatnonzero(self.buffer[:size] >= least)
+        if len(near):
+            of = np.searchsorted([s[0] for s in strips], near, "right") - 1
+            for k in np.unique(of):
+                begin, width, x, y = strips[k]
+                i, j = np.divmod(near[of == k] - begin, width)
+                self.verify(x[i], y[j])
+
+    def cross(self, x: np.ndarray, x_ends: list[int], y: np.ndarray, right: np.ndarray, y_ends: list[int], least: np.float32) -> None:
+        """Verifies near ones of rows whose steps are less than STEPS together; ``x_ends`` and
+        ``y_ends`` are how many have each step at most."""
+        left, strips, size = self.one.left[x], [], 0
+        begin, widest = 0, 0
+        for step, end in enumerate(x_ends):
+            widest = max(widest, y_ends[STEPS - 1 - step])
+            if end - begin < LEAST_ROWS and step < STEPS - 1:  # some more in one product
+                continue
+            if widest > len(self.buffer):
+                self.buffer = np.concatenate([self.buffer[:size], np.empty(widest, np.float32)])
+            while begin < end and widest:
+                most = (len(self.buffer) - size) // widest
+                if not most:
+                    self.sort_out(strips, size, least)
+                    strips, size = [], 0
+                    continue
+                stop = min(end, begin + most)
+                out = self.buffer[size : size + (stop - begin) * widest].reshape(-1, widest)
+                np.matmul(left[begin:stop], right[:widest].T, out=out)
+                strips.append((size, widest, x[begin:stop], y))
+                size, begin = size + out.size, stop
+            begin, widest = end, 0
+        if strips:
+            self.sort_out(strips, size, least)
 
     def join(self, one: _Side, two: _Side, block: int, pivots: np.ndarray) -> None:
         self.one, self.two, self.block = one, two, block
@@ -345,33 +387,51 @@ class _Meeting:
             two.place(block, begin, end)
         reach = np.float32(self.limit[block] + COARSE_SLACK)
         half = (pivots**2).sum(axis=1) / 2
-        mine, theirs = pivots[two.cells], half[two.cells]
-        own = np.einsum("ij,ij->i", two.part, np.repeat(mine, two.ends - two.starts, axis=0)) - np.repeat(theirs, two.ends - two.starts)
+        mine, theirs, sizes = pivots[two.cells], half[two.cells], two.ends - two.starts
+        own = np.einsum("ij,ij->i", two.part, np.repeat(mine, sizes, axis=0)) - np.repeat(theirs, sizes)
+        of, n_cells = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+        slab = max(LEAST_ROWS, SLAB // n_cells)
         for k, cell in enumerate(one.cells):
-            rows = slice(one.starts[k], one.ends[k])
+            low = (-((self.limit[block] + one.most_off[k] + two.most_off) ** 2 + COARSE_SLACK) / 2).astype(np.float32)
+            for m in np.flatnonzero(two.cells == cell):
+                self.compare(slice(one.starts[k], one.ends[k]), slice(two.starts[m], two.ends[m]), low[m])
+            others = two.cells != cell
+            if one is two:
+                others[:k] = False
+            if not others.any():
+                continue
             between = np.sqrt(((mine - pivots[cell]) ** 2).sum(axis=1))
             inverse = np.where(between > 1e-6, 1 / np.maximum(between, 1e-6), 0).astype(np.float32)
             # Along the line between two pivots, the vectors' distances from the middle, less their errors: a
             # pair is no nearer than the sum.
-            part = one.part[rows]
-            ahead = ((part @ pivots[cell] - half[cell]) - (mine @ part.T - theirs[:, None])) * inverse[:, None] - one.off[rows]
-            behind = (own - (two.part @ pivots[cell] - half[cell])) * np.repeat(inverse, two.ends - two.starts) - two.off
-            least_ahead, least_behind = ahead.min(axis=1), np.minimum.reduceat(behind, two.starts)
-            meets = (least_ahead + least_behind <= reach) | (two.cells == cell)
-            if one is two:
-                meets[:k] = False
-            for m in np.flatnonzero(meets):
-                low = np.float32(-((self.limit[block] + one.most_off[k] + two.most_off[m]) ** 2 + COARSE_SLACK) / 2)
-                if two.cells[m] == cell:
-                    x, y = np.arange(one.starts[k], one.ends[k]), np.arange(two.starts[m], two.ends[m])
-                    self.compare(x, y, low, None, one is two)
+            behind = (own - (two.part @ pivots[cell] - half[cell])) * inverse[of] - two.off
+            least_behind = np.minimum.reduceat(behind, two.starts)
+            for at in range(one.starts[k], one.ends[k], slab):
+                rows = slice(at, min(at + slab, one.ends[k]))
+                part = one.part[rows]
+                ahead = mine @ part.T
+                np.subtract(part @ pivots[cell] - half[cell], ahead, out=ahead)
+                ahead += theirs[:, None]
+                ahead *= inverse[:, None]
+                ahead -= one.off[rows]
+                least_ahead = ahead.min(axis=1)
+                left_over = reach - least_ahead - least_behind
+                meets = others & (left_over > 0)
+                if not meets.any():
                     continue
-                s, t = ahead[m], behind[two.starts[m] : two.ends[m]]
-                x, y = np.flatnonzero(s <= reach - least_behind[m]), np.flatnonzero(t <= reach - least_ahead[m])
-                if len(x) and len(y):
-                    s, t = s[x], t[y]
-                    by, to = np.argsort(s), np.argsort(t)
-                    self.compare(one.starts[k] + x[by], two.starts[m] + y[to], low, np.searchsorted(t[to], reach - s[by], "right"), False)
+                # Both sides in steps of what is left over, counted from the nearest vector.
+                scale = np.where(meets, STEPS / np.where(meets, left_over, 1), 1).astype(np.float32)
+                ahead -= np.where(meets, least_ahead, -FAR)[:, None]
+                ahead *= scale[:, None]
+                x, x_ends = _by_step(ahead.ravel(), np.repeat(np.arange(n_cells), ahead.shape[1]), n_cells)
+                y, y_ends = _by_step((behind - np.where(meets, least_behind, -FAR).astype(np.float32)[of]) * scale[of], of, n_cells)
+                x = at + x % ahead.shape[1]
+                right, x_at, y_at = two.right[y], 0, 0
+                for m, (a, b) in enumerate(zip(x_ends.tolist(), y_ends.tolist(), strict=True)):
+                    if a[-1] and b[-1]:
+                        here = slice(y_at, y_at + b[-1])
+                        self.cross(x[x_at : x_at + a[-1]], a, y[here], right[here], b, low[m])
+                    x_at, y_at = x_at + a[-1], y_at + b[-1]
 
     def found(self) -> pa.RecordBatch:
         sides = [self.one] if self.one is self.two else [self.one, self.two]
